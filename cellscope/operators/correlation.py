@@ -4,16 +4,27 @@ Under ANSI mode ``corr`` raises on a constant column; here the ratio is
 ``try_divide(covar_samp, stddev_samp * stddev_samp)``, which is null for a
 constant column or a single row (pandas gives NaN there).
 
-A matrix is one aggregation over all column pairs (each pair's moments are
-map-side partial aggregates), then the single result row is exploded into
-``(col_a, col_b, corr)``. Work is O(rows x pairs) in one scan; nothing but
-the p x p result leaves the executors.
+Matrices have two plans, chosen by width:
+
+* up to ``DIRECT_MAX_COLUMNS`` columns, one lazy aggregation over all column
+  pairs (each pair's moments are map-side partial aggregates), exploded into
+  ``(col_a, col_b, corr)``;
+* wider, the Gram-matrix form: every column is standardised, and for pairwise
+  deletion each gets a presence flag ``k``, the value ``z`` (0 when null) and
+  ``z^2``. Spark ML's ``Correlation`` (a ``treeAggregate`` of BLAS outer
+  products, O(rows x d^2) in the JVM) and ``Summarizer`` give the Gram
+  matrix of that ``3p`` vector, from which each pair's moments over the rows
+  where both are present follow exactly. Planning stays constant in ``p``,
+  and only the ``3p x 3p`` matrix reaches the driver, whatever the row count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,20 +53,31 @@ def matrix_columns(df: DataFrame, columns: Sequence[str] | None = None,
     return numeric_columns(df, exclude)
 
 
+DIRECT_MAX_COLUMNS = 8
+# Variance below this share of the pair count (standardised scale) is zero.
+ZERO_VARIANCE = 1e-10
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None,
-                exclude: Sequence[str] = tuple(K.CORR_EXCLUDE), deletion: str = "pairwise") -> DataFrame:
+                exclude: Sequence[str] = tuple(K.CORR_EXCLUDE), deletion: str = "pairwise",
+                method: str = "auto") -> DataFrame:
     """E7 (``deletion='listwise'``) and E8 (``'pairwise'``) correlation matrix.
 
     Listwise drops a row when any selected column is null; pairwise uses, for
     each pair, the rows where both are present. Result: every ordered pair,
-    diagonal included, as ``(col_a, col_b, corr)``.
+    diagonal included, as ``(col_a, col_b, corr)``; null where a side has no
+    variance. ``method`` is ``direct``, ``gram`` or ``auto`` (by width).
     """
     if deletion not in ("listwise", "pairwise"):
         raise ValueError(f"deletion must be 'listwise' or 'pairwise', not {deletion!r}")
+    if method not in ("auto", "direct", "gram"):
+        raise ValueError("method must be 'auto', 'direct' or 'gram'")
     cols = matrix_columns(df, columns, exclude)
     data = df.select(*[_q(c).alias(f"c{i}") for i, c in enumerate(cols)])
     if deletion == "listwise":
         data = data.dropna()
+    if method == "gram" or (method == "auto" and len(cols) > DIRECT_MAX_COLUMNS):
+        return _gram_matrix(data, cols, deletion)
     idx = range(len(cols))
     aggs, cells = [], []
     if deletion == "listwise":
@@ -89,6 +111,69 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None,
     return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
+def _long(spark, cols: list[str], mat: np.ndarray) -> DataFrame:
+    rows = [(a, b, None if not np.isfinite(mat[i, j]) else float(mat[i, j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
+
+
+def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
+    """Correlation matrix from the Gram matrix of standardised columns."""
+    spark = data.sparkSession
+    p = len(cols)
+    names = [f"c{i}" for i in range(p)]
+    st = data.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+                  *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(names)]).first()
+    nan = np.full((p, p), np.nan)
+    z = {}
+    for i, c in enumerate(names):
+        m, sd = st[f"m{i}"], st[f"s{i}"]
+        if m is None:  # no value at all
+            z[c] = F.lit(0.0)
+            continue
+        scale = sd if sd and sd > 0 else 1.0
+        z[c] = F.coalesce((F.col(c) - F.lit(m)) / F.lit(scale), F.lit(0.0))
+    if deletion == "listwise":
+        parts = [z[c].alias(f"z{i}") for i, c in enumerate(names)]
+        kinds = [f"z{i}" for i in range(p)]
+    else:
+        parts = ([F.when(F.col(c).isNull(), 0.0).otherwise(1.0).alias(f"k{i}") for i, c in enumerate(names)]
+                 + [z[c].alias(f"z{i}") for i, c in enumerate(names)]
+                 + [(z[c] * z[c]).alias(f"q{i}") for i, c in enumerate(names)])
+        kinds = [f"k{i}" for i in range(p)] + [f"z{i}" for i in range(p)] + [f"q{i}" for i in range(p)]
+    vec = VectorAssembler(inputCols=kinds, outputCol="v").transform(data.select(*parts)).select("v")
+    summary = vec.select(Summarizer.metrics("mean", "std", "count").summary(F.col("v")).alias("s")).first()["s"]
+    n = int(summary["count"])
+    if n < 2:
+        return _long(spark, cols, nan)
+    mu, sd = summary["mean"].toArray(), summary["std"].toArray()
+    c = Correlation.corr(vec, "v").first()[0].toArray()
+    cov = np.where(np.outer(sd, sd) > 0, np.nan_to_num(c) * np.outer(sd, sd), 0.0)
+    g = (n - 1) * cov + n * np.outer(mu, mu)
+    if deletion == "listwise":
+        sxx = np.diag(g) - n * mu * mu
+        num = g - n * np.outer(mu, mu)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            out = num / np.sqrt(np.outer(sxx, sxx))
+        bad = sxx <= ZERO_VARIANCE * n
+        out[bad, :] = np.nan
+        out[:, bad] = np.nan
+        return _long(spark, cols, out)
+    k, zz, qq = slice(0, p), slice(p, 2 * p), slice(2 * p, 3 * p)
+    cnt = g[k, k]                 # rows where both are present
+    sx = g[zz, k]                 # sum of z_i over rows where j is present
+    sxx = g[qq, k]                # sum of z_i^2 over those rows
+    sxy = g[zz, zz]               # sum of z_i z_j (zero where either is null)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        num = sxy - sx * sx.T / cnt
+        vx = sxx - sx * sx / cnt
+        vy = vx.T
+        out = num / np.sqrt(vx * vy)
+    bad = (cnt < 2) | (vx <= ZERO_VARIANCE * cnt) | (vy <= ZERO_VARIANCE * cnt)
+    out[bad] = np.nan
+    return _long(spark, cols, out)
+
+
 def target_ranking(matrix: DataFrame, target: str = "target", k: int = 15, include_self: bool = True,
                    direction: str = "top") -> DataFrame:
     """The correlations with ``target`` sorted descending (nulls last);

@@ -57,5 +57,5 @@ def read_first_available(spark: SparkSession, paths: Sequence[str], reader=read_
         try:
             return reader(spark, p, **kwargs)
         except AnalysisException as exc:  # path not found
-            errors.append(f"{p}: {exc.getErrorClass() or exc}")
+            errors.append(f"{p}: {exc.getCondition() or exc}")
     raise FileNotFoundError("none of the paths can be read: " + "; ".join(errors))
