@@ -17,15 +17,17 @@ def numeric_columns(df: DataFrame, exclude: list[str] | tuple[str, ...] = ()) ->
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in skip]
 
 
-def stats_row(df: DataFrame, *aggs: Column) -> DataFrame:
-    """One-row aggregate; its columns are read back with ``.scalar()``."""
-    return df.agg(*aggs)
-
+def fit(df: DataFrame, *aggs: Column):
+    """Run a global aggregate and return its single row (the "fit" step).
+
+    As Spark ML estimators do, one-row statistics (min/max, modes, moments)
+    are computed by one distributed aggregation and brought back as a few
+    numbers, bounded by the number of columns, never by the row count. The
+    "transform" step then uses them as literals, so its plan stays one flat
+    code-generated projection.
+    """
+    return df.agg(*aggs).first()
 
-def scalar(stats: DataFrame, name: str) -> Column:
-    """A lazy scalar subquery on one column of a one-row statistics frame.
 
-    Catalyst runs the subquery once and merges sibling subqueries on the same
-    frame into one job; no join and no driver round trip is involved.
-    """
-    return stats.select(name).scalar()
+def lit_or_null(value, dtype: str = "double") -> Column:
+    return F.lit(value).cast(dtype) if value is not None else F.lit(None).cast(dtype)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellscope import constants as K
-from cellscope.functions._util import NUMERIC_TYPES, scalar
+from cellscope.functions._util import NUMERIC_TYPES
 
 
 def select_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -72,15 +72,16 @@ def mode_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def impute_mode(df: DataFrame, columns: Sequence[str] = tuple(K.PCELL_MODE_COLUMNS)) -> DataFrame:
     """Fill nulls of each column with its mode (nulls ignored, smallest on ties).
 
-    The one-row mode frame is read through scalar subqueries, so no join is
-    planned and the fill stays inside the scan's code-generated stage.
+    The modes are fitted first (one row, as an ML imputer does) and then
+    filled in as literals, inside the scan's code-generated stage.
     """
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    modes = mode_values(df, cols)
+    modes = mode_values(df, cols).first()
     return df.withColumns({
-        c: F.coalesce(F.col(f"`{c}`"), scalar(modes, c).cast(df.schema[c].dataType)) for c in cols})
+        c: F.coalesce(F.col(f"`{c}`"), F.lit(modes[c]).cast(df.schema[c].dataType))
+        for c in cols if modes[c] is not None})
 
 
 def operator_to_string(df: DataFrame, column: str = "operator") -> DataFrame:

@@ -1,9 +1,9 @@
 """Distributions: equal-width histogram (E10), Gaussian density (E11), box
 statistics by category (E12).
 
-Range statistics come from a one-row aggregate read through scalar
-subqueries; the per-row work is a code-generated projection followed by a
-grouped count with map-side partial aggregation (at most ``bins`` groups).
+Range statistics are fitted first (one global aggregate, a few numbers);
+the per-row work is a code-generated projection followed by a grouped
+count with map-side partial aggregation (at most ``bins`` groups).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import scalar
+from cellscope.functions._util import fit
 from cellscope.operators.quantile import exact_quantiles
 
 _TRANSFORMS = {None: lambda c: c, "log1p": F.log1p}
@@ -28,11 +28,13 @@ def _value(df: DataFrame, column: str, transform: str | None) -> DataFrame:
     return df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def _range(stats: DataFrame) -> tuple[Column, Column]:
+def _range(lo: float | None, hi: float | None) -> tuple[Column, Column]:
     """Range ends; a constant column gets [v - 0.5, v + 0.5] as numpy does."""
-    lo, hi = scalar(stats, "lo"), scalar(stats, "hi")
-    same = lo == hi
-    return F.when(same, lo - 0.5).otherwise(lo), F.when(same, hi + 0.5).otherwise(hi)
+    if lo is None:
+        return F.lit(None).cast("double"), F.lit(None).cast("double")
+    if lo == hi:
+        return F.lit(lo - 0.5), F.lit(hi + 0.5)
+    return F.lit(lo), F.lit(hi)
 
 
 def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
@@ -46,8 +48,8 @@ def histogram(df: DataFrame, column: str, bins: int = K.TARGET_BINS, transform:
     ``transform='log1p'`` bins ``log1p(column)``.
     """
     data = _value(df, column, transform)
-    stats = data.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = _range(stats)
+    stats = fit(data, F.min("x").alias("lo"), F.max("x").alias("hi"))
+    lo, hi = _range(stats["lo"], stats["hi"])
     counts = data.groupBy(bin_index(F.col("x"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / F.lit(bins)
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -69,10 +71,10 @@ def kde(df: DataFrame, column: str, grid_points: int = K.KDE_GRID_POINTS, prebin
     the last one scaled to the counts of a ``hist_bins`` histogram.
     """
     data = _value(df, column, transform)
-    stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
-                     F.min("x").alias("lo"), F.max("x").alias("hi"))
-    n, sd = scalar(stats, "n"), scalar(stats, "sd")
-    lo, hi = scalar(stats, "lo"), scalar(stats, "hi")
+    st = fit(data, F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+             F.min("x").alias("lo"), F.max("x").alias("hi"))
+    n, sd = F.lit(st["n"]).cast("bigint"), F.lit(st["sd"]).cast("double")
+    lo, hi = F.lit(st["lo"]).cast("double"), F.lit(st["hi"]).cast("double")
     h = sd * F.pow(n.cast("double"), F.lit(-0.2))
     if prebins:
         # A constant column has one bin; the guard keeps the division defined.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import scalar
+from cellscope.functions._util import fit
 from cellscope.functions.scalar import color_band
 
 
@@ -17,10 +17,10 @@ def map_points(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude", tar
     """``(lat, lon, target, color, popup)`` for each point of ``df``.
 
     Pass a sample (G1/G2) to bound the point count. The colour bands use the
-    min and max of ``log1p(target)`` over the same points (scalar subqueries).
+    min and max of ``log1p(target)`` over the same points (fitted first).
     """
-    stats = df.agg(F.min(F.log1p(F.col(target))).alias("lo"), F.max(F.log1p(F.col(target))).alias("hi"))
-    lo, hi = scalar(stats, "lo"), scalar(stats, "hi")
+    st = fit(df, F.min(F.log1p(F.col(target))).alias("lo"), F.max(F.log1p(F.col(target))).alias("hi"))
+    lo, hi = F.lit(st["lo"]).cast("double"), F.lit(st["hi"]).cast("double")
     popup = F.format_string("Target: %.0f<br>Operator: %s", F.col(target), F.col(operator).cast("string"))
     return df.select(F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.col(target).alias("target"),
                      color_band(F.col(target), lo, hi, epsilon).alias("color"), popup.alias("popup"))

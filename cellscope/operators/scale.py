@@ -3,8 +3,7 @@ normalisation (H5).
 
 The scaler fits all columns with one aggregation (the min and max of every
 column) instead of one job per column; the fitted values enter the row
-expressions as scalar subqueries, so the scaled frame stays lazy and the
-arithmetic stays in the scan's generated code.
+expressions as literals, so the arithmetic stays in the scan's generated code.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import scalar
+from cellscope.functions._util import fit
 from cellscope.functions.scalar import guarded
 
 
@@ -33,14 +32,18 @@ def min_max_scale(df: DataFrame, columns: Sequence[str] = tuple(K.SCORE_INPUT_CO
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    stats = df.agg(*[F.min(F.col(f"`{c}`").cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
-                   *[F.max(F.col(f"`{c}`").cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])
+    stats = fit(df, *[F.min(F.col(f"`{c}`").cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
+                *[F.max(F.col(f"`{c}`").cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])
     out = {}
     for i, c in enumerate(cols):
-        lo, hi = scalar(stats, f"lo{i}"), scalar(stats, f"hi{i}")
+        lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
         x = F.col(f"`{c}`").cast("double")
-        out[scaled_name(c, suffix)] = F.when(x.isNull(), F.lit(None).cast("double")).when(
-            hi == lo, F.lit(0.5)).otherwise(F.try_divide(x - lo, hi - lo))
+        if lo is None:  # no value at all
+            out[scaled_name(c, suffix)] = F.lit(None).cast("double")
+        elif hi == lo:
+            out[scaled_name(c, suffix)] = F.when(x.isNotNull(), F.lit(0.5))
+        else:
+            out[scaled_name(c, suffix)] = (x - F.lit(lo)) / F.lit(hi - lo)
     return df.withColumns(out)
 
 

@@ -10,7 +10,7 @@ and ``v = var(target)``::
 so one aggregation over the data (15 sample moments) serves every
 candidate: O(rows) + O(candidates) instead of O(rows x candidates). The
 candidate table is ``spark.range`` (at most 10,000 rows by the parameter
-limits); the moments enter it as scalar subqueries.
+limits); the 15 fitted moments enter it as literals.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import scalar
 from cellscope.operators.scale import normalise_weights
 
 FEATURES = tuple(K.COMPONENT_COLUMNS)
@@ -82,7 +81,8 @@ def evaluate_candidates(candidates: DataFrame, moments: DataFrame) -> DataFrame:
     """Correlation of each candidate's score with the target (0.0 when the
     score or the target has no variance, as the analysed program does)."""
     a = [F.col(w) * F.lit(s) for w, s in zip(K.WEIGHT_NAMES, SIGNS)]
-    m = {c: scalar(moments, c) for c in moments.columns}
+    row = moments.first()
+    m = {c: F.lit(row[c]).cast("double") for c in moments.columns}
     cov = F.lit(0.0)
     var = F.lit(0.0)
     for i in range(4):

@@ -4,8 +4,8 @@ step counters (H11).
 load -> select present columns (B1) -> defaults for absent ones (B2) ->
 complete rows (B3) -> min-max scale (H1) -> components (H3) -> [search by
 moments (H6/H7)] -> weighted score (H4) -> best row (F1), top-k (F2),
-preview (A5). Everything is one lazy plan; the searched weights reach the
-score through scalar subqueries, never through a driver-side collect.
+preview (A5). Fitted statistics (scaler min/max, the 15 moments, the chosen
+four weights) are single rows; everything per row stays distributed.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import scalar
 from cellscope.operators.clean import complete_cases, default_missing, select_present
 from cellscope.operators.rank import best_row, preview, top_k
 from cellscope.operators.scale import component_scores, min_max_scale, weighted_score
@@ -94,8 +93,10 @@ def score_searched(df: DataFrame, method: str = "grid_search", n_points: int = K
              else random_candidates(spark, n_iterations, seed))
     evaluated = evaluate_candidates(cands, score_moments(featured))
     history = search_history(evaluated)
-    best = best_candidate(evaluated).select("candidate_id", *K.WEIGHT_NAMES, "correlation")
-    scored = weighted_score(featured, {c: scalar(best, c) for c in K.WEIGHT_NAMES})
+    best_row_ = best_candidate(evaluated).select("candidate_id", *K.WEIGHT_NAMES, "correlation").first()
+    best = spark.createDataFrame([best_row_], "candidate_id bigint, w_signal double, w_mobility double, "
+                                              "w_env double, w_congestion double, correlation double")
+    scored = weighted_score(featured, {c: float(best_row_[c]) for c in K.WEIGHT_NAMES})
     shown = scored.select(*[c for c in DISPLAY_COLUMNS if c in scored.columns])
     return RoutingResult(scored, best_row(scored), top_k(shown, top), preview(shown, preview_rows), best, history,
                          counters)
