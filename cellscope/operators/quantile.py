@@ -6,16 +6,18 @@ computes the same numbers (``x[k0] + (x[k1] - x[k0]) * frac`` with
 ``h = p * (n - 1)``, ``k0 = floor(h)``, as pandas and DuckDB
 ``quantile_cont`` do) in distributed steps:
 
-1. ``n`` per group (partial aggregation).
+1. One aggregation: ``n`` per group and ``percentile_approx`` brackets
+   ``[lo, hi]`` around each probability (rank error of the sketch is at most
+   ``n / accuracy``); a small table, written to the checkpoint folder.
 2. Groups with at most ``max_candidates`` rows: ``(group, value)`` counts
    (a hot value collapses to one row), running count over the values of the
    group (window bounded by ``max_candidates``), pick the ranks.
-3. Larger groups: ``percentile_approx`` brackets ``[lo, hi]`` around each
-   probability (rank error of the sketch is at most ``n / accuracy``), an
-   exact count of rows below and inside the bracket verifies it, and only the
-   rows inside are ranked. Brackets that are still too wide are narrowed
-   again with a fixed splitter grid over their own rows. The small bracket
-   table is written to the checkpoint folder between rounds.
+3. Larger groups: only the rows inside each bracket are ranked; rows below
+   it are one count. A bracket holds about ``10 n / accuracy`` rows.
+4. Groups so large that even a bracket exceeds ``max_candidates``: the
+   brackets are verified by exact counts and narrowed again with a fixed
+   splitter grid over their own rows, round by round, the small bracket
+   table written to the checkpoint folder between rounds.
 """
 
 from __future__ import annotations
@@ -42,30 +44,43 @@ def _interp(v0: Column, v1: Column, frac: Column) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    max_candidates: int = 1 << 17, accuracy: int = 100_000, splitters: int = 1000,
+                    max_candidates: int = 1 << 17, accuracy: int = 10_000, splitters: int = 1000,
                     max_rounds: int = 12) -> DataFrame:
     """Quantiles of ``value`` per ``by`` group: rows ``(*by, p, quantile)``.
 
     Nulls (and NaN) are ignored; a group with no value gives no rows.
+    ``max_candidates`` bounds the rows one task ranks; ``accuracy`` is the
+    sketch accuracy of the brackets.
     """
     keys = list(by) or [GROUP_KEY]
     base = df if by else df.withColumn(GROUP_KEY, F.lit(0))
     data = (base.select(*[F.col(f"`{k}`").alias(k) for k in keys], F.col(f"`{value}`").cast("double").alias("x"))
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
-    sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if not by:
-        sizes = F.broadcast(sizes)  # exactly one row
-    small = _small_groups(data, sizes.where(F.col("n") <= max_candidates), keys, probs)
-    has_large = sizes.where(F.col("n") > max_candidates).limit(1).count() > 0
-    out = small
-    if has_large:
-        large = _large_groups(data, sizes.where(F.col("n") > max_candidates), keys, probs,
-                              max_candidates, accuracy, splitters, max_rounds)
-        out = small.unionByName(large)
+    delta = 4.0 / accuracy
+    bounds = []
+    for p in probs:
+        bounds += [max(0.0, p - delta), min(1.0, p + delta)]
+    # Pass A: group sizes and sketch brackets, one aggregation (small result).
+    stats = materialize(data.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("b")), "quantile-stats")
+    small = _small_groups(data, stats, keys, probs, max_candidates)
+    # A bracket of a group holds about 10 n / accuracy rows; within bounds it
+    # is ranked directly, otherwise it is narrowed further first.
+    direct_max = max_candidates * accuracy // 10
+    large = stats.where(F.col("n") > max_candidates)
+    out = small.unionByName(_bracketed(data, large.where(F.col("n") <= direct_max), keys, probs))
+    if large.where(F.col("n") > direct_max).limit(1).count() > 0:
+        out = out.unionByName(_large_groups(data, large.where(F.col("n") > direct_max), keys, probs,
+                                            max_candidates, accuracy, splitters, max_rounds))
     return out if by else out.drop(GROUP_KEY)
 
 
-def _small_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+def _small_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float],
+                  max_candidates: int) -> DataFrame:
+    """Rank whole groups of at most ``max_candidates`` rows (value counts and a
+    running count over the group's distinct values)."""
+    sizes = sizes.where(F.col("n") <= max_candidates).select(*keys, "n")
     vc = data.join(sizes, keys).groupBy(*keys, "n", "x").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vc = vc.withColumn("cum", F.sum("c").over(w)).withColumn("start", F.col("cum") - F.col("c"))
@@ -84,23 +99,43 @@ def _small_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Seq
             .select(*keys, "r.p", "r.quantile"))
 
 
-def _large_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float],
-                  max_candidates: int, accuracy: int, splitters: int, max_rounds: int) -> DataFrame:
-    # Round 1: sketch brackets at fixed probabilities around each p.
-    delta = 4.0 / accuracy
-    bounds = []
-    for p in probs:
-        bounds += [max(0.0, p - delta), min(1.0, p + delta)]
-    cand = data.join(sizes, keys)
-    sk = cand.groupBy(*keys, "n").agg(F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy)
-                                      .alias("b"))
+def _bracket_rows(stats: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
     rows = []
     for i, p in enumerate(probs):
         k0, k1, frac = _rank_cols(F.col("n"), p)
         rows.append(F.struct(F.lit(float(p)).alias("p"), k0.alias("k0"), k1.alias("k1"), frac.alias("frac"),
                              F.col("b")[2 * i].alias("lo"), F.col("b")[2 * i + 1].alias("hi")))
-    brackets = sk.select(*keys, "n", F.explode(F.array(*rows)).alias("r")).select(*keys, "n", "r.*")
-    brackets = materialize(_verify(data, brackets, keys), "quantile-brackets")
+    return stats.select(*keys, "n", F.explode(F.array(*rows)).alias("r")).select(*keys, "n", "r.*")
+
+
+def _bracketed(data: DataFrame, stats: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Pass B: rank only the rows inside each sketch bracket.
+
+    Rows below a bracket are collapsed into one ``-inf`` count per (group,
+    p), so the running count starts at the number of rows below; rows above
+    are dropped. The sketch guarantees (rank error at most n / accuracy,
+    margin 4 n / accuracy) that both ranks fall inside the bracket.
+    """
+    br = _bracket_rows(stats, keys, probs)
+    j = data.join(br, keys)
+    x = F.col("x")
+    bucket = F.when(x < F.col("lo"), F.lit(float("-inf"))).when(x <= F.col("hi"), x)
+    vc = (j.select(*keys, "p", "k0", "k1", "frac", bucket.alias("v")).where(F.col("v").isNotNull())
+          .groupBy(*keys, "p", "k0", "k1", "frac", "v").agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy(*keys, "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vc = vc.withColumn("cum", F.sum("c").over(w)).withColumn("start", F.col("cum") - F.col("c"))
+    hit0 = (F.col("start") <= F.col("k0")) & (F.col("k0") < F.col("cum"))
+    hit1 = (F.col("start") <= F.col("k1")) & (F.col("k1") < F.col("cum"))
+    picked = vc.groupBy(*keys, "p", "frac").agg(F.max(F.when(hit0, F.col("v"))).alias("v0"),
+                                                 F.max(F.when(hit1, F.col("v"))).alias("v1"))
+    return picked.select(*keys, "p", _interp(F.col("v0"), F.col("v1"), F.col("frac")).alias("quantile"))
+
+
+def _large_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float],
+                  max_candidates: int, accuracy: int, splitters: int, max_rounds: int) -> DataFrame:
+    # Groups too large for one bracket: verify the sketch brackets by exact
+    # counts, then narrow them round by round over their own rows.
+    brackets = materialize(_verify(data, _bracket_rows(sizes, keys, probs), keys), "quantile-brackets")
     for _ in range(max_rounds):
         if brackets.where(_wide(max_candidates)).limit(1).count() == 0:
             break
