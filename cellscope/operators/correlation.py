@@ -122,9 +122,11 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
     spark = data.sparkSession
     p = len(cols)
     names = [f"c{i}" for i in range(p)]
-    st = data.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+    st = data.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
                   *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(names)]).first()
     nan = np.full((p, p), np.nan)
+    if st["rows"] < 2:
+        return _long(spark, cols, nan)
     z = {}
     for i, c in enumerate(names):
         m, sd = st[f"m{i}"], st[f"s{i}"]

@@ -49,7 +49,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def nudge_rounding(sql: str) -> str:
-    """Rewrite every ``round(X, 6)`` of an oracle as ``round6`` does."""
+    """Rewrite every ``round(X, 6)`` of an oracle to round as ``round6`` does."""
     out, i = [], 0
     while True:
         j = sql.find("round(", i)
@@ -72,7 +72,9 @@ def nudge_rounding(sql: str) -> str:
         comma = inner.rfind(",")
         if inner[comma + 1:].strip() == "6":
             x = nudge_rounding(inner[:comma])
-            out.append(sql[i:j] + f"round(({x}) + 1e-9, 6)")
+            # Through DECIMAL: DuckDB's double round scales by 10^6 in floating
+            # point, which misrounds large values; Spark rounds the decimal form.
+            out.append(sql[i:j] + f"CAST(round(CAST(({x}) + 1e-9 AS DECIMAL(38,18)), 6) AS DOUBLE)")
         else:
             out.append(sql[i:j] + "round(" + nudge_rounding(inner) + ")")
         i = k + 1
@@ -388,11 +390,14 @@ def q_c5t(spark, sf_dir):
     return prof.null_total(measurements(spark, sf_dir))
 
 
-@register("c6_describe", M + "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", count({q(c)}) AS count, {r(f'avg({q(c)})')} AS mean, {r(f'stddev_samp({q(c)})')} AS std, "
-    f"{r(f'CAST(min({q(c)}) AS DOUBLE)')} AS min, {r(f'quantile_cont({q(c)}, 0.25)')} AS q25, "
-    f"{r(f'quantile_cont({q(c)}, 0.5)')} AS q50, {r(f'quantile_cont({q(c)}, 0.75)')} AS q75, "
-    f"{r(f'CAST(max({q(c)}) AS DOUBLE)')} AS max FROM m" for c in BRIDGE_NUMERIC))
+def _describe_sql(c: str) -> str:
+    x = f"CAST({q(c)} AS DOUBLE)"
+    return (f"SELECT '{c}' AS \"column\", count({x}) AS count, {r(f'avg({x})')} AS mean, {r(f'stddev_samp({x})')} AS std, "
+            f"{r(f'min({x})')} AS min, {r(f'quantile_cont({x}, 0.25)')} AS q25, {r(f'quantile_cont({x}, 0.5)')} AS q50, "
+            f"{r(f'quantile_cont({x}, 0.75)')} AS q75, {r(f'max({x})')} AS max FROM m")
+
+
+@register("c6_describe", M + "\nUNION ALL\n".join(_describe_sql(c) for c in BRIDGE_NUMERIC))
 def q_c6(spark, sf_dir):
     """Describe of every numeric column with exact linear quartiles."""
     return r6(prof.describe(measurements(spark, sf_dir)))
