@@ -250,6 +250,23 @@ def q_a4(spark, sf_dir):
     return sinks.area_hour_lines(agg.area_hour_averages(measurements(spark, sf_dir), order=False))
 
 
+@register("s1_stream_area_hour_lines", ORACLES["a4_text_sink_lines"])
+def q_s1(spark, sf_dir):
+    """A3 -> E1 -> A4 as a Structured Streaming query: the measurement lines
+    arrive as two time-ordered batches of files; the second run resumes from
+    the checkpoint; the last epoch's key-ordered text snapshot is returned."""
+    from cellscope.streaming.area_hour import latest_snapshot, start_area_hour_stream
+    m = measurements(spark, sf_dir)
+    base = scratch_path(spark, "stream")
+    split = F.col("timestamp") < F.lit(1610755200)
+    for part, cond in (("early", split), ("late", ~split)):
+        text_src.render_measurement_lines(m.where(cond)).write.text(f"{base}/in/{part}")
+        if part == "early":
+            start_area_hour_stream(spark, f"{base}/in/*", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    start_area_hour_stream(spark, f"{base}/in/*", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return latest_snapshot(spark, f"{base}/out")
+
+
 @register("a5_preview", M + SCORED_CTE + """
 , s AS (SELECT * FROM scored ORDER BY QoS_Score DESC, id ASC LIMIT 1000)
 SELECT id, round(SignalScore, 6) AS SignalScore, round(MobilityScore, 6) AS MobilityScore,
