@@ -64,15 +64,25 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     stats = materialize(data.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("b")), "quantile-stats")
-    small = _small_groups(data, stats, keys, probs, max_candidates)
+    empty = data.sparkSession.createDataFrame([], data.select(*keys).schema.add("p", "double").add("quantile", "double"))
+    small = (_small_groups(data, stats, keys, probs, max_candidates)
+             if stats.where(F.col("n") <= max_candidates).limit(1).count() > 0 else empty)
     # A bracket of a group holds about 10 n / accuracy rows; within bounds it
     # is ranked directly, otherwise it is narrowed further first.
     direct_max = max_candidates * accuracy // 10
     large = stats.where(F.col("n") > max_candidates)
-    out = small.unionByName(_bracketed(data, large.where(F.col("n") <= direct_max), keys, probs))
-    if large.where(F.col("n") > direct_max).limit(1).count() > 0:
-        out = out.unionByName(_large_groups(data, large.where(F.col("n") > direct_max), keys, probs,
-                                            max_candidates, accuracy, splitters, max_rounds))
+    out = small
+    if large.limit(1).count() > 0:
+        direct = materialize(_bracketed(data, large.where(F.col("n") <= direct_max), keys, probs),
+                             "quantile-bracketed")
+        # Groups with a missed pick (never expected) or too large for one
+        # bracket go through the verified, narrowing path.
+        missed = direct.where(F.col("quantile").isNull()).select(*keys).distinct()
+        redo = large.where(F.col("n") > direct_max).select(*keys).unionByName(missed).distinct()
+        out = out.unionByName(direct.join(missed, keys, "left_anti"))
+        if redo.limit(1).count() > 0:
+            out = out.unionByName(_large_groups(data, large.join(redo, keys), keys, probs,
+                                                max_candidates, accuracy, splitters, max_rounds))
     return out if by else out.drop(GROUP_KEY)
 
 
@@ -109,25 +119,40 @@ def _bracket_rows(stats: DataFrame, keys: list[str], probs: Sequence[float]) ->
 
 
 def _bracketed(data: DataFrame, stats: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Pass B: rank only the rows inside each sketch bracket.
-
-    Rows below a bracket are collapsed into one ``-inf`` count per (group,
-    p), so the running count starts at the number of rows below; rows above
-    are dropped. The sketch guarantees (rank error at most n / accuracy,
-    margin 4 n / accuracy) that both ranks fall inside the bracket.
+    """Pass B: rank only the rows inside the sketch brackets, one row each.
+
+    The brackets of a group are merged into disjoint regions (a handful per
+    group, carried as one small array per group), and every row gets a code:
+    odd inside region ``j`` (``2j + 1``), even in the gap after it. Gap rows
+    collapse into one count per gap, region rows into value counts, and one
+    running count per group (ordered by code, value) gives each value's rank
+    range directly. The sketch guarantees (rank error at most
+    ``n / accuracy``, margin ``4 n / accuracy``) that both ranks of each
+    probability fall inside its bracket; a pick that does not is returned
+    as null and redone by the caller.
     """
     br = _bracket_rows(stats, keys, probs)
-    j = data.join(br, keys)
+    w = Window.partitionBy(*keys).orderBy("lo", "hi")
+    prev_hi = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    br = (br.withColumn("_new", F.when(prev_hi.isNull() | (F.col("lo") > prev_hi), 1).otherwise(0))
+          .withColumn("region", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+          .drop("_new"))
+    regions = (br.groupBy(*keys, "region").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+               .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("region", "lo", "hi"))).alias("rg")))
     x = F.col("x")
-    bucket = F.when(x < F.col("lo"), F.lit(float("-inf"))).when(x <= F.col("hi"), x)
-    vc = (j.select(*keys, "p", "k0", "k1", "frac", bucket.alias("v")).where(F.col("v").isNotNull())
-          .groupBy(*keys, "p", "k0", "k1", "frac", "v").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy(*keys, "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.withColumn("cum", F.sum("c").over(w)).withColumn("start", F.col("cum") - F.col("c"))
+    code = F.lit(0)
+    for j in range(len(probs)):
+        r = F.get(F.col("rg"), j)
+        code = code + F.when(r["hi"] < x, 2).when(r["lo"] <= x, 1).otherwise(0)
+    coded = data.join(regions, keys).select(*keys, code.alias("code"), F.when(code % 2 == 1, x).alias("v"))
+    vc = coded.groupBy(*keys, "code", "v").agg(F.count(F.lit(1)).alias("c"))
+    wc = Window.partitionBy(*keys).orderBy("code", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vc = vc.withColumn("cum", F.sum("c").over(wc)).withColumn("start", F.col("cum") - F.col("c"))
+    j = vc.join(br.select(*keys, "p", "k0", "k1", "frac", (F.col("region") * 2 + 1).alias("code")), [*keys, "code"])
     hit0 = (F.col("start") <= F.col("k0")) & (F.col("k0") < F.col("cum"))
     hit1 = (F.col("start") <= F.col("k1")) & (F.col("k1") < F.col("cum"))
-    picked = vc.groupBy(*keys, "p", "frac").agg(F.max(F.when(hit0, F.col("v"))).alias("v0"),
-                                                 F.max(F.when(hit1, F.col("v"))).alias("v1"))
+    picked = j.groupBy(*keys, "p", "frac").agg(F.max(F.when(hit0, F.col("v"))).alias("v0"),
+                                                F.max(F.when(hit1, F.col("v"))).alias("v1"))
     return picked.select(*keys, "p", _interp(F.col("v0"), F.col("v1"), F.col("frac")).alias("quantile"))
 
 
