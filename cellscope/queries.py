@@ -122,9 +122,13 @@ def r(expr: str) -> str:
     return f"round({expr}, 6)"
 
 
-def java_fmt(expr: str, digits: int) -> str:
-    """Java ``%.Nf``: half-up on the shortest decimal form of the double."""
-    dec = f"round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits})"
+def java_fmt(expr: str, digits: int, pre_round: int | None = None) -> str:
+    """Java ``%.Nf``: half-up on the shortest decimal form of the double
+    (optionally of the value first rounded to ``pre_round`` decimals)."""
+    src = f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18))"
+    if pre_round is not None:
+        src = f"round(CAST({expr} AS DECIMAL(38,18)), {pre_round})"
+    dec = f"round({src}, {digits})"
     txt = f"CAST(CAST({dec} AS DECIMAL(38,{digits})) AS VARCHAR)"
     return (f"CASE WHEN {expr} IS NULL THEN 'null' WHEN {expr} < 0 AND {dec} = 0 THEN '-' || {txt} "
             f"ELSE {txt} END")
@@ -239,9 +243,9 @@ def q_a3(spark, sf_dir):
 
 @register("a4_text_sink_lines", M + f"""
 , g AS ({_e1_sql(False)})
-SELECT area || '_' || lpad(CAST(hour AS VARCHAR), 2, '0') || chr(9) || {java_fmt('avg_rsrp', 2)} || ',' ||
-  {java_fmt('avg_snr', 2)} || ',' || {java_fmt('avg_speed', 2)} || ',' || {java_fmt('avg_jam', 2)} || ',' ||
-  {java_fmt('avg_humidity', 2)} || ',' || {java_fmt('avg_precip', 2)} AS value
+SELECT area || '_' || lpad(CAST(hour AS VARCHAR), 2, '0') || chr(9) || {java_fmt('avg_rsrp', 2, 9)} || ',' ||
+  {java_fmt('avg_snr', 2, 9)} || ',' || {java_fmt('avg_speed', 2, 9)} || ',' || {java_fmt('avg_jam', 2, 9)} || ',' ||
+  {java_fmt('avg_humidity', 2, 9)} || ',' || {java_fmt('avg_precip', 2, 9)} AS value
 FROM g
 """)
 def q_a4(spark, sf_dir):

@@ -12,13 +12,16 @@ from cellscope.operators.aggregate import AREA_HOUR_OUTPUT
 
 
 def area_hour_lines(result: DataFrame, names: Sequence[str] = tuple(AREA_HOUR_OUTPUT)) -> DataFrame:
-    """``<area>_<HH>\\t<v1>,...,<v6>`` lines (``%.2f``), ordered by key.
+    """``<area>_<HH>\\t<v1>,...,<v6>`` lines (``%.2f``, half up), ordered by key.
 
     ``result`` is the output of ``area_hour_averages`` (columns ``area``,
     ``hour`` and the six means).
     """
     key = area_hour_key(F.col("area"), F.lpad(F.col("hour").cast("string"), 2, "0"))
-    values = F.concat_ws(",", *[fmt2(F.col(n)) for n in names])
+    # Means are rounded to 9 decimals before the 2-decimal text, so that an
+    # exact tie (a mean of exactly 0.535) gives the same text whatever the
+    # summation order of the partitions or micro-batches.
+    values = F.concat_ws(",", *[fmt2(F.round(F.col(n), 9)) for n in names])
     return result.select(key.alias("key"), values.alias("values")).orderBy("key").select(
         F.concat(F.col("key"), F.lit("\t"), F.col("values")).alias("value"))
 
