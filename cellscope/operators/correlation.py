@@ -12,9 +12,9 @@ Matrices have two plans, chosen by width:
 * wider, the Gram-matrix form: every column is standardised, and for pairwise
   deletion each gets a presence flag ``k``, the value ``z`` (0 when null) and
   ``z^2``. Spark ML's ``Correlation`` (a ``treeAggregate`` of BLAS outer
-  products, O(rows x d^2) in the JVM) and ``Summarizer`` give the Gram
-  matrix of that ``3p`` vector, from which each pair's moments over the rows
-  where both are present follow exactly. Planning stays constant in ``p``,
+  products, O(rows x d^2) in the JVM) and the per-column moments give the
+  Gram matrix of that ``3p`` vector, from which each pair's moments over the
+  rows where both are present follow exactly. Planning stays constant in ``p``,
   and only the ``3p x 3p`` matrix reaches the driver, whatever the row count.
 """
 
@@ -24,7 +24,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,45 +118,56 @@ def _long(spark, cols: list[str], mat: np.ndarray) -> DataFrame:
 
 
 def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
-    """Correlation matrix from the Gram matrix of standardised columns."""
+    """Correlation matrix from the Gram matrix of standardised columns.
+
+    Two scans: one aggregate (count, mean, sd, kurtosis per column) and the
+    ``Correlation`` pass. The mean and sd of every vector component follow
+    from the first: with ``z = (x - m) / s`` over the N present values,
+    ``sum z = 0``, ``sum z^2 = N - 1`` and ``sum z^4 = (kurtosis + 3) (N - 1)^2 / N``.
+    """
     spark = data.sparkSession
     p = len(cols)
     names = [f"c{i}" for i in range(p)]
-    st = data.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
-                  *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(names)]).first()
+    st = data.agg(F.count(F.lit(1)).alias("rows"),
+                  *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
+                  *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+                  *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(names)],
+                  *[F.kurtosis(c).alias(f"k{i}") for i, c in enumerate(names)]).first()
     nan = np.full((p, p), np.nan)
-    if st["rows"] < 2:
+    n = int(st["rows"])
+    if n < 2:
         return _long(spark, cols, nan)
-    z = {}
+    z, mu_k, sd_k, sd_z, mu_q, sd_q = {}, [], [], [], [], []
     for i, c in enumerate(names):
-        m, sd = st[f"m{i}"], st[f"s{i}"]
-        if m is None:  # no value at all
-            z[c] = F.lit(0.0)
-            continue
-        scale = sd if sd and sd > 0 else 1.0
-        z[c] = F.coalesce((F.col(c) - F.lit(m)) / F.lit(scale), F.lit(0.0))
+        cnt, m, sd, kurt = st[f"n{i}"], st[f"m{i}"], st[f"s{i}"], st[f"k{i}"]
+        varies = bool(sd) and sd > 0
+        z[c] = F.lit(0.0) if m is None else F.coalesce((F.col(c) - F.lit(m)) / F.lit(sd if varies else 1.0),
+                                                       F.lit(0.0))
+        sum_z2 = (cnt - 1.0) if varies else 0.0
+        sum_z4 = (kurt + 3.0) * (cnt - 1.0) ** 2 / cnt if varies and kurt is not None else 0.0
+        mu_k.append(cnt / n)
+        sd_k.append(np.sqrt(max(cnt * (n - cnt), 0) / (n * (n - 1.0))))
+        sd_z.append(np.sqrt(sum_z2 / (n - 1.0)))
+        mu_q.append(sum_z2 / n)
+        sd_q.append(np.sqrt(max(sum_z4 - n * (sum_z2 / n) ** 2, 0.0) / (n - 1.0)))
     if deletion == "listwise":
         parts = [z[c].alias(f"z{i}") for i, c in enumerate(names)]
-        kinds = [f"z{i}" for i in range(p)]
+        mu, sd = np.zeros(p), np.array(sd_z)
     else:
         parts = ([F.when(F.col(c).isNull(), 0.0).otherwise(1.0).alias(f"k{i}") for i, c in enumerate(names)]
                  + [z[c].alias(f"z{i}") for i, c in enumerate(names)]
                  + [(z[c] * z[c]).alias(f"q{i}") for i, c in enumerate(names)])
-        kinds = [f"k{i}" for i in range(p)] + [f"z{i}" for i in range(p)] + [f"q{i}" for i in range(p)]
+        mu = np.array(mu_k + [0.0] * p + mu_q)
+        sd = np.array(sd_k + sd_z + sd_q)
+    kinds = [f.name for f in data.select(*parts).schema.fields]
     vec = VectorAssembler(inputCols=kinds, outputCol="v").transform(data.select(*parts)).select("v")
-    summary = vec.select(Summarizer.metrics("mean", "std", "count").summary(F.col("v")).alias("s")).first()["s"]
-    n = int(summary["count"])
-    if n < 2:
-        return _long(spark, cols, nan)
-    mu, sd = summary["mean"].toArray(), summary["std"].toArray()
     c = Correlation.corr(vec, "v").first()[0].toArray()
     cov = np.where(np.outer(sd, sd) > 0, np.nan_to_num(c) * np.outer(sd, sd), 0.0)
     g = (n - 1) * cov + n * np.outer(mu, mu)
     if deletion == "listwise":
-        sxx = np.diag(g) - n * mu * mu
-        num = g - n * np.outer(mu, mu)
+        sxx = np.diag(g)
         with np.errstate(invalid="ignore", divide="ignore"):
-            out = num / np.sqrt(np.outer(sxx, sxx))
+            out = g / np.sqrt(np.outer(sxx, sxx))
         bad = sxx <= ZERO_VARIANCE * n
         out[bad, :] = np.nan
         out[:, bad] = np.nan
