@@ -120,10 +120,10 @@ def _long(spark, cols: list[str], mat: np.ndarray) -> DataFrame:
 def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
     """Correlation matrix from the Gram matrix of standardised columns.
 
-    Two scans: one aggregate (count, mean, sd, kurtosis per column) and the
-    ``Correlation`` pass. The mean and sd of every vector component follow
-    from the first: with ``z = (x - m) / s`` over the N present values,
-    ``sum z = 0``, ``sum z^2 = N - 1`` and ``sum z^4 = (kurtosis + 3) (N - 1)^2 / N``.
+    Scans: one aggregate (count, mean, sd per column), one of plain sums of
+    ``z^4`` (pairwise only), and the ``Correlation`` pass. The mean and sd of
+    every vector component follow from those: with ``z = (x - m) / s`` over
+    the N present values, ``sum z = 0`` and ``sum z^2 = N - 1``.
     """
     spark = data.sparkSession
     p = len(cols)
@@ -131,20 +131,24 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
     st = data.agg(F.count(F.lit(1)).alias("rows"),
                   *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
                   *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
-                  *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(names)],
-                  *[F.kurtosis(c).alias(f"k{i}") for i, c in enumerate(names)]).first()
+                  *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(names)]).first()
     nan = np.full((p, p), np.nan)
     n = int(st["rows"])
     if n < 2:
         return _long(spark, cols, nan)
-    z, mu_k, sd_k, sd_z, mu_q, sd_q = {}, [], [], [], [], []
+    z, varies = {}, {}
     for i, c in enumerate(names):
-        cnt, m, sd, kurt = st[f"n{i}"], st[f"m{i}"], st[f"s{i}"], st[f"k{i}"]
-        varies = bool(sd) and sd > 0
-        z[c] = F.lit(0.0) if m is None else F.coalesce((F.col(c) - F.lit(m)) / F.lit(sd if varies else 1.0),
+        m, sd = st[f"m{i}"], st[f"s{i}"]
+        varies[c] = bool(sd) and sd > 0
+        z[c] = F.lit(0.0) if m is None else F.coalesce((F.col(c) - F.lit(m)) / F.lit(sd if varies[c] else 1.0),
                                                        F.lit(0.0))
-        sum_z2 = (cnt - 1.0) if varies else 0.0
-        sum_z4 = (kurt + 3.0) * (cnt - 1.0) ** 2 / cnt if varies and kurt is not None else 0.0
+    z4 = (data.agg(*[F.sum(z[c] * z[c] * z[c] * z[c]).alias(c) for c in names]).first()
+          if deletion == "pairwise" else None)
+    mu_k, sd_k, sd_z, mu_q, sd_q = [], [], [], [], []
+    for i, c in enumerate(names):
+        cnt = st[f"n{i}"]
+        sum_z2 = (cnt - 1.0) if varies[c] else 0.0
+        sum_z4 = float(z4[c] or 0.0) if z4 is not None and varies[c] else 0.0
         mu_k.append(cnt / n)
         sd_k.append(np.sqrt(max(cnt * (n - cnt), 0) / (n * (n - 1.0))))
         sd_z.append(np.sqrt(sum_z2 / (n - 1.0)))
