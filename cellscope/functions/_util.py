@@ -28,6 +28,3 @@ def fit(df: DataFrame, *aggs: Column):
     """
     return df.agg(*aggs).first()
 
-
-def lit_or_null(value, dtype: str = "double") -> Column:
-    return F.lit(value).cast(dtype) if value is not None else F.lit(None).cast(dtype)
