@@ -6,14 +6,16 @@ computes the same numbers (``x[k0] + (x[k1] - x[k0]) * frac`` with
 ``h = p * (n - 1)``, ``k0 = floor(h)``, as pandas and DuckDB
 ``quantile_cont`` do) in distributed steps:
 
-1. One aggregation: ``n`` per group and ``percentile_approx`` brackets
-   ``[lo, hi]`` around each probability (rank error of the sketch is at most
-   ``n / accuracy``); a small table, written to the checkpoint folder.
-2. Groups with at most ``max_candidates`` rows: ``(group, value)`` counts
-   (a hot value collapses to one row), running count over the values of the
-   group (window bounded by ``max_candidates``), pick the ranks.
-3. Larger groups: only the rows inside each bracket are ranked; rows below
-   it are one count. A bracket holds about ``10 n / accuracy`` rows.
+1. One aggregation: ``n`` and an approximate distinct count per group; a
+   small table, written to the checkpoint folder.
+2. Groups with at most ``max_candidates`` rows or about half as many
+   distinct values: ``(group, value)`` counts (a hot value collapses to one
+   row), running count over the values of the group (window bounded by the
+   distinct count), pick the ranks.
+3. Other groups: ``percentile_approx`` brackets ``[lo, hi]`` around each
+   probability (rank error of the sketch is at most ``n / accuracy``), then
+   only the rows inside each bracket are ranked; rows below it are one
+   count. A bracket holds about ``10 n / accuracy`` rows.
 4. Groups so large that even a bracket exceeds ``max_candidates``: the
    brackets are verified by exact counts and narrowed again with a fixed
    splitter grid over their own rows, round by round, the small bracket
@@ -60,19 +62,24 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     bounds = []
     for p in probs:
         bounds += [max(0.0, p - delta), min(1.0, p + delta)]
-    # Pass A: group sizes and sketch brackets, one aggregation (small result).
+    # Pass A: group sizes and (approximate) distinct counts, a small table.
     stats = materialize(data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("b")), "quantile-stats")
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("x").alias("d")), "quantile-stats")
+    # Groups with few rows or few distinct values are ranked whole from their
+    # value counts: a hot value is one row there, whatever its frequency.
+    whole = (F.col("n") <= max_candidates) | (F.col("d") <= max_candidates // 2)
     empty = data.sparkSession.createDataFrame([], data.select(*keys).schema.add("p", "double").add("quantile", "double"))
-    small = (_small_groups(data, stats, keys, probs, max_candidates)
-             if stats.where(F.col("n") <= max_candidates).limit(1).count() > 0 else empty)
-    # A bracket of a group holds about 10 n / accuracy rows; within bounds it
-    # is ranked directly, otherwise it is narrowed further first.
-    direct_max = max_candidates * accuracy // 10
-    large = stats.where(F.col("n") > max_candidates)
-    out = small
+    out = (_small_groups(data, stats.where(whole), keys, probs)
+           if stats.where(whole).limit(1).count() > 0 else empty)
+    large = stats.where(~whole)
     if large.limit(1).count() > 0:
+        # Pass B: sketch brackets for the remaining groups only.
+        sk = materialize(data.join(large.select(*keys), keys).groupBy(*keys).agg(
+            F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("b")), "quantile-sketch")
+        large = large.join(sk, keys)
+        # A bracket holds about 10 n / accuracy rows; within bounds it is
+        # ranked directly, otherwise it is narrowed further first.
+        direct_max = max_candidates * accuracy // 10
         direct = materialize(_bracketed(data, large.where(F.col("n") <= direct_max), keys, probs),
                              "quantile-bracketed")
         # Groups with a missed pick (never expected) or too large for one
@@ -86,11 +93,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     return out if by else out.drop(GROUP_KEY)
 
 
-def _small_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float],
-                  max_candidates: int) -> DataFrame:
-    """Rank whole groups of at most ``max_candidates`` rows (value counts and a
-    running count over the group's distinct values)."""
-    sizes = sizes.where(F.col("n") <= max_candidates).select(*keys, "n")
+def _small_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Rank whole groups (value counts and a running count over the group's
+    distinct values, at most ``max_candidates`` of them)."""
+    sizes = sizes.select(*keys, "n")
     vc = data.join(sizes, keys).groupBy(*keys, "n", "x").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vc = vc.withColumn("cum", F.sum("c").over(w)).withColumn("start", F.col("cum") - F.col("c"))

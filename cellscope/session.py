@@ -50,8 +50,8 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     partition count gives ``target_partition_bytes`` per partition (at least
     two waves of tasks over all cores), and AQE coalesces small partitions
     and splits skewed ones (a key holding a third of the rows) at run time.
-    For 100 TB on 8,000 cores: 256 MB scan splits, about 800,000 shuffle
-    partitions before coalescing.
+    For 100 TB on 8,000 cores: 256 MB scan splits, 128 MB shuffle
+    partitions before coalescing (about 745,000).
     """
     partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
