@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellscope.functions._util import as_col
 
@@ -42,10 +43,12 @@ def engineer_time_features(df: DataFrame, epoch_col: str = "timestamp", long_wee
                            with_date: bool = False) -> DataFrame:
     """Add ``datetime``, ``hour_of_day``, ``day_of_week`` (and ``date``).
 
-    ``long_weekday`` gives ``Tuesday`` instead of ``Tue``, as the local
-    notebook does; ``with_date`` adds the calendar date.
+    ``epoch_col`` holds epoch seconds, or is already a timestamp column (then
+    it is used as is). ``long_weekday`` gives ``Tuesday`` instead of ``Tue``,
+    as the local notebook does; ``with_date`` adds the calendar date.
     """
-    ts = epoch_to_timestamp(epoch_col)
+    is_ts = isinstance(df.schema[epoch_col].dataType, (T.TimestampType, T.TimestampNTZType))
+    ts = F.col(epoch_col) if is_ts else epoch_to_timestamp(epoch_col)
     cols = {
         "datetime": ts,
         "hour_of_day": hour_of_day(ts),

@@ -449,6 +449,41 @@ def q_d3(spark, sf_dir):
             .select("id", "day_of_week", "date"))
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+@register("d11_events_time_features", """
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour_of_day, strftime(ts, '%a') AS day_of_week, CAST(ts AS DATE) AS date
+FROM events
+""")
+def q_d11e(spark, sf_dir):
+    """D2-D4, D11 on a real timestamp column (``events.ts``)."""
+    return (ft.engineer_time_features(events(spark, sf_dir), "ts", with_date=True)
+            .select("event_id", "hour_of_day", "day_of_week", "date"))
+
+
+@register("e3_events_hourly_mean", """
+SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, event_type, round(avg(value), 6) AS avg_value FROM events GROUP BY 1, 2
+""")
+def q_e3e(spark, sf_dir):
+    """E3 on the event stream table: mean value by hour of day and event type."""
+    ev = ft.engineer_time_features(events(spark, sf_dir), "ts")
+    return r6(agg.mean_by(ev, ("hour_of_day", "event_type"), "value", "avg_value"))
+
+
+@register("e2_events_category_counts", """
+SELECT 'event_type' AS "column", event_type AS value, count(*) AS count FROM events GROUP BY 2
+UNION ALL
+SELECT 'day_of_week', strftime(ts, '%a'), count(*) FROM events GROUP BY 2
+""")
+def q_e2e(spark, sf_dir):
+    """E2 on the event table: event types and weekdays in one pass."""
+    ev = ft.engineer_time_features(events(spark, sf_dir), "ts")
+    return agg.category_counts(ev, ["event_type", "day_of_week"])
+
+
 @register("d7_area_hour_key", M + f"SELECT id, area || '_' || lpad(CAST({HOUR_SQL} AS VARCHAR), 2, '0') AS key FROM m")
 def q_d7(spark, sf_dir):
     """D2 ``HH`` text and D7 key building ``area_HH``."""
