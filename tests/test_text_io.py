@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import glob
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,17 +10,18 @@ from pyspark.sql import functions as F
 from cellscope.operators import aggregate as agg
 from cellscope.sources import sinks
 from cellscope.sources import text as text_src
-from tests.conftest import BATCH_OUTPUT
+from tests.conftest import find_batch_output
 from tests.helpers import line
 
 
 def test_batch_output_format_roundtrip(spark):
     """Parse the published batch output, check key order, re-render, compare bytes."""
-    if not os.path.exists(BATCH_OUTPUT):
+    path = find_batch_output()
+    if path is None:
         pytest.skip("batch output not present")
-    raw = open(BATCH_OUTPUT, encoding="utf-8").read().splitlines()
+    raw = open(path, encoding="utf-8").read().splitlines()
     assert len(raw) == 33
-    parsed = sinks.read_area_hour_text(spark, BATCH_OUTPUT)
+    parsed = sinks.read_area_hour_text(spark, path)
     keys = [r.key for r in parsed.collect()]
     assert keys == sorted(keys)
     as_result = parsed.select("area", "hour", *[F.col(c).cast("double").alias(c) for c in agg.AREA_HOUR_OUTPUT])
