@@ -9,13 +9,15 @@ Matrices have two plans, chosen by width:
 * up to ``DIRECT_MAX_COLUMNS`` columns, one lazy aggregation over all column
   pairs (each pair's moments are map-side partial aggregates), exploded into
   ``(col_a, col_b, corr)``;
-* wider, the Gram-matrix form: every column is standardised, and for pairwise
-  deletion each gets a presence flag ``k``, the value ``z`` (0 when null) and
-  ``z^2``. Spark ML's ``Correlation`` (a ``treeAggregate`` of BLAS outer
-  products, O(rows x d^2) in the JVM) and the per-column moments give the
-  Gram matrix of that ``3p`` vector, from which each pair's moments over the
-  rows where both are present follow exactly. Planning stays constant in ``p``,
-  and only the ``3p x 3p`` matrix reaches the driver, whatever the row count.
+* wider, the Gram-matrix form: every column is standardised (``z``, 0 when
+  null); Spark ML's ``Correlation`` (a ``treeAggregate`` of BLAS outer
+  products, O(rows x p^2) in the JVM) gives ``sum z_i z_j``. For pairwise
+  deletion, the sums of ``z_i`` and ``z_i^2`` over the rows where ``j`` is
+  present, needed only for the columns that have nulls, come from one
+  aggregate of plain sums (or, when many columns have nulls, from presence
+  flags and squares added to the vector). Each pair's moments over the rows
+  where both are present follow exactly. Only matrices of the column count
+  reach the driver, whatever the row count.
 """
 
 from __future__ import annotations
@@ -117,13 +119,22 @@ def _long(spark, cols: list[str], mat: np.ndarray) -> DataFrame:
     return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
+# Above this many block sums the pairwise path puts presence flags and
+# squares into the Gram vector instead of one aggregate.
+MAX_BLOCK_SUMS = 256
+
+
 def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
     """Correlation matrix from the Gram matrix of standardised columns.
 
-    Scans: one aggregate (count, mean, sd per column), one of plain sums of
-    ``z^4`` (pairwise only), and the ``Correlation`` pass. The mean and sd of
-    every vector component follow from those: with ``z = (x - m) / s`` over
-    the N present values, ``sum z = 0`` and ``sum z^2 = N - 1``.
+    Scans: one aggregate (count, mean, sd per column); for pairwise deletion
+    one aggregate of plain sums (``z^4`` per column, and for the ``m`` columns
+    that have nulls the blocks ``sum z_i k_j``, ``sum z_i^2 k_j``,
+    ``sum k_i k_j``); then the ``Correlation`` pass over the ``p`` values
+    ``z`` (0 where null). With ``z = (x - m) / s`` over the N present values,
+    ``sum z = 0`` and ``sum z^2 = N - 1``, which gives the mean and sd of every
+    component without another scan. When ``m`` is large the presence flags
+    and squares join the vector instead (``3p`` components).
     """
     spark = data.sparkSession
     p = len(cols)
@@ -136,39 +147,15 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
     n = int(st["rows"])
     if n < 2:
         return _long(spark, cols, nan)
-    z, varies = {}, {}
-    for i, c in enumerate(names):
-        m, sd = st[f"m{i}"], st[f"s{i}"]
-        varies[c] = bool(sd) and sd > 0
-        z[c] = F.lit(0.0) if m is None else F.coalesce((F.col(c) - F.lit(m)) / F.lit(sd if varies[c] else 1.0),
-                                                       F.lit(0.0))
-    z4 = (data.agg(*[F.sum(z[c] * z[c] * z[c] * z[c]).alias(c) for c in names]).first()
-          if deletion == "pairwise" else None)
-    mu_k, sd_k, sd_z, mu_q, sd_q = [], [], [], [], []
-    for i, c in enumerate(names):
-        cnt = st[f"n{i}"]
-        sum_z2 = (cnt - 1.0) if varies[c] else 0.0
-        sum_z4 = float(z4[c] or 0.0) if z4 is not None and varies[c] else 0.0
-        mu_k.append(cnt / n)
-        sd_k.append(np.sqrt(max(cnt * (n - cnt), 0) / (n * (n - 1.0))))
-        sd_z.append(np.sqrt(sum_z2 / (n - 1.0)))
-        mu_q.append(sum_z2 / n)
-        sd_q.append(np.sqrt(max(sum_z4 - n * (sum_z2 / n) ** 2, 0.0) / (n - 1.0)))
-    if deletion == "listwise":
-        parts = [z[c].alias(f"z{i}") for i, c in enumerate(names)]
-        mu, sd = np.zeros(p), np.array(sd_z)
-    else:
-        parts = ([F.when(F.col(c).isNull(), 0.0).otherwise(1.0).alias(f"k{i}") for i, c in enumerate(names)]
-                 + [z[c].alias(f"z{i}") for i, c in enumerate(names)]
-                 + [(z[c] * z[c]).alias(f"q{i}") for i, c in enumerate(names)])
-        mu = np.array(mu_k + [0.0] * p + mu_q)
-        sd = np.array(sd_k + sd_z + sd_q)
-    kinds = [f.name for f in data.select(*parts).schema.fields]
-    vec = VectorAssembler(inputCols=kinds, outputCol="v").transform(data.select(*parts)).select("v")
-    c = Correlation.corr(vec, "v").first()[0].toArray()
-    cov = np.where(np.outer(sd, sd) > 0, np.nan_to_num(c) * np.outer(sd, sd), 0.0)
-    g = (n - 1) * cov + n * np.outer(mu, mu)
+    counts = np.array([float(st[f"n{i}"]) for i in range(p)])
+    varies = [bool(st[f"s{i}"]) and st[f"s{i}"] > 0 for i in range(p)]
+    z = [F.lit(0.0) if st[f"m{i}"] is None else
+         F.coalesce((F.col(c) - F.lit(st[f"m{i}"])) / F.lit(st[f"s{i}"] if varies[i] else 1.0), F.lit(0.0))
+         for i, c in enumerate(names)]
+    sum_z2 = np.array([(counts[i] - 1.0) if varies[i] else 0.0 for i in range(p)])
+    sd_z = np.sqrt(sum_z2 / (n - 1.0))
     if deletion == "listwise":
+        g = _gram(data.select(*[z[i].alias(f"z{i}") for i in range(p)]), n, np.zeros(p), sd_z)
         sxx = np.diag(g)
         with np.errstate(invalid="ignore", divide="ignore"):
             out = g / np.sqrt(np.outer(sxx, sxx))
@@ -176,11 +163,39 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
         out[bad, :] = np.nan
         out[:, bad] = np.nan
         return _long(spark, cols, out)
-    k, zz, qq = slice(0, p), slice(p, 2 * p), slice(2 * p, 3 * p)
-    cnt = g[k, k]                 # rows where both are present
-    sx = g[zz, k]                 # sum of z_i over rows where j is present
-    sxx = g[qq, k]                # sum of z_i^2 over those rows
-    sxy = g[zz, zz]               # sum of z_i z_j (zero where either is null)
+    has_nulls = [i for i in range(p) if counts[i] < n]
+    m = len(has_nulls)
+    present = [F.col(c).isNotNull() for c in names]
+    small_blocks = 2 * p * m + m * m <= MAX_BLOCK_SUMS
+    aggs = [F.sum(z[i] * z[i] * z[i] * z[i]).alias(f"f{i}") for i in range(p)]
+    if small_blocks:
+        aggs += [F.sum(F.when(present[j], z[i])).alias(f"sz{i}_{j}") for i in range(p) for j in has_nulls]
+        aggs += [F.sum(F.when(present[j], z[i] * z[i])).alias(f"sq{i}_{j}") for i in range(p) for j in has_nulls]
+        aggs += [F.count_if(present[i] & present[j]).alias(f"nk{i}_{j}") for i in has_nulls for j in has_nulls]
+    sums = data.agg(*aggs).first()
+    sum_z4 = np.array([float(sums[f"f{i}"] or 0.0) if varies[i] else 0.0 for i in range(p)])
+    # Defaults for a column j without nulls: k_j = 1 on every row.
+    cnt = np.minimum.outer(counts, counts)
+    sx = np.zeros((p, p))                      # sum of z_i over rows where j is present
+    sxx = np.repeat(sum_z2[:, None], p, axis=1)  # sum of z_i^2 over those rows
+    if small_blocks:
+        sxy = _gram(data.select(*[z[i].alias(f"z{i}") for i in range(p)]), n, np.zeros(p), sd_z)
+        for j in has_nulls:
+            for i in range(p):
+                sx[i, j] = float(sums[f"sz{i}_{j}"] or 0.0)
+                sxx[i, j] = float(sums[f"sq{i}_{j}"] or 0.0)
+                cnt[i, j] = cnt[j, i] = counts[j] if i not in has_nulls else float(sums[f"nk{i}_{j}"])
+    else:
+        mu_k = counts / n
+        sd_k = np.sqrt(np.maximum(counts * (n - counts), 0) / (n * (n - 1.0)))
+        mu_q = sum_z2 / n
+        sd_q = np.sqrt(np.maximum(sum_z4 - n * mu_q ** 2, 0.0) / (n - 1.0))
+        parts = ([F.when(present[i], 1.0).otherwise(0.0).alias(f"k{i}") for i in range(p)]
+                 + [z[i].alias(f"z{i}") for i in range(p)] + [(z[i] * z[i]).alias(f"q{i}") for i in range(p)])
+        g = _gram(data.select(*parts), n, np.concatenate([mu_k, np.zeros(p), mu_q]),
+                  np.concatenate([sd_k, sd_z, sd_q]))
+        k, zz, qq = slice(0, p), slice(p, 2 * p), slice(2 * p, 3 * p)
+        cnt, sx, sxx, sxy = g[k, k], g[zz, k], g[qq, k], g[zz, zz]
     with np.errstate(invalid="ignore", divide="ignore"):
         num = sxy - sx * sx.T / cnt
         vx = sxx - sx * sx / cnt
@@ -191,6 +206,15 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
     return _long(spark, cols, out)
 
 
+def _gram(vectors: DataFrame, n: int, mu: np.ndarray, sd: np.ndarray) -> np.ndarray:
+    """``sum v v'`` of the numeric columns of ``vectors`` (known mean and sd),
+    from Spark ML's correlation: ``(n - 1) C sd sd' + n mu mu'``."""
+    vec = VectorAssembler(inputCols=vectors.columns, outputCol="v").transform(vectors).select("v")
+    c = Correlation.corr(vec, "v").first()[0].toArray()
+    cov = np.where(np.outer(sd, sd) > 0, np.nan_to_num(c) * np.outer(sd, sd), 0.0)
+    return (n - 1) * cov + n * np.outer(mu, mu)
+
+
 def target_ranking(matrix: DataFrame, target: str = "target", k: int = 15, include_self: bool = True,
                    direction: str = "top") -> DataFrame:
     """The correlations with ``target`` sorted descending (nulls last);

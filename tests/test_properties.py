@@ -125,8 +125,12 @@ def test_box_stats_against_numpy(m):
         assert r.n_outliers == len(g) - len(inside) and r.n == len(g)
 
 
-def test_gram_matrix_equals_direct(m):
-    cols = ["PCell_RSRP_max", "PCell_SNR_max", "SCell_RSRP_max", "PCell_Downlink_bandwidth_MHz", "target"]
+@pytest.mark.parametrize("block_sums", [corr.MAX_BLOCK_SUMS, -1])
+def test_gram_matrix_equals_direct(m, monkeypatch, block_sums):
+    """Both pairwise Gram forms (block sums, or flags and squares in the
+    vector) and the listwise one equal the per-pair aggregate."""
+    monkeypatch.setattr(corr, "MAX_BLOCK_SUMS", block_sums)
+    cols = ["PCell_RSRP_max", "PCell_SNR_max", "SCell_RSRP_max", "PCell_Downlink_bandwidth_MHz", "target", "COG"]
     for deletion in ("pairwise", "listwise"):
         g = {(r.col_a, r.col_b): r.corr for r in corr.corr_matrix(m, cols, deletion=deletion, method="gram").collect()}
         d = {(r.col_a, r.col_b): r.corr for r in corr.corr_matrix(m, cols, deletion=deletion, method="direct").collect()}
