@@ -611,14 +611,14 @@ def q_e9c(spark, sf_dir):
 
 
 def _hist_sql(expr: str, bins: int, src: str = "m", pre: str = M) -> str:
-    return pre + f""", v AS (SELECT {expr} AS x FROM {src} WHERE {expr} IS NOT NULL AND NOT isnan({expr})),
-st AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
-              CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v),
-cnt AS (SELECT CAST(least(floor((x - lo) * {bins} / (hi - lo)), {bins - 1}) AS INTEGER) AS bin, count(*) AS n
-        FROM v, st GROUP BY 1)
+    return pre + f""", hv AS (SELECT {expr} AS x FROM {src} WHERE {expr} IS NOT NULL AND NOT isnan({expr})),
+hst AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+               CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM hv),
+hcnt AS (SELECT CAST(least(floor((x - lo) * {bins} / (hi - lo)), {bins - 1}) AS INTEGER) AS bin, count(*) AS n
+         FROM hv, hst GROUP BY 1)
 SELECT CAST(b.range AS INTEGER) AS bin, round(lo + b.range * ((hi - lo) / {bins}), 6) AS bin_lo,
-       round(lo + (b.range + 1) * ((hi - lo) / {bins}), 6) AS bin_hi, coalesce(cnt.n, 0) AS count
-FROM range({bins}) b CROSS JOIN st LEFT JOIN cnt ON cnt.bin = b.range
+       round(lo + (b.range + 1) * ((hi - lo) / {bins}), 6) AS bin_hi, coalesce(hcnt.n, 0) AS count
+FROM range({bins}) b CROSS JOIN hst LEFT JOIN hcnt ON hcnt.bin = b.range
 """
 
 
@@ -640,6 +640,35 @@ def q_e10c(spark, sf_dir):
     return r6(dist.histogram(measurements(spark, sf_dir), "PCell_SNR_max", K.SIGNAL_BINS))
 
 
+def _multi_hist_sql(cols: list[str], bins: int) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS "column", CAST(b.range AS INTEGER) AS bin,
+  round(lo + b.range * ((hi - lo) / {bins}), 6) AS bin_lo, round(lo + (b.range + 1) * ((hi - lo) / {bins}), 6) AS bin_hi,
+  coalesce(cnt.n, 0) AS count
+FROM range({bins}) b CROSS JOIN (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+    CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM (SELECT {q(c)} AS x FROM m WHERE {q(c)} IS NOT NULL)) st
+LEFT JOIN (SELECT CAST(least(floor((x - lo) * {bins} / (hi - lo)), {bins - 1}) AS INTEGER) AS bin, count(*) AS n
+    FROM (SELECT {q(c)} AS x FROM m WHERE {q(c)} IS NOT NULL),
+         (SELECT CASE WHEN min({q(c)}) = max({q(c)}) THEN min({q(c)}) - 0.5 ELSE min({q(c)}) END AS lo,
+                 CASE WHEN min({q(c)}) = max({q(c)}) THEN max({q(c)}) + 0.5 ELSE max({q(c)}) END AS hi FROM m)
+    GROUP BY 1) cnt ON cnt.bin = b.range""")
+    return M + "\nUNION ALL\n".join(parts)
+
+
+@register("e10_hist_signal_columns", _multi_hist_sql([c for c in K.SIGNAL_HIST_COLUMNS if c in BRIDGE_COLUMNS],
+                                                     K.SIGNAL_BINS))
+def q_e10d(spark, sf_dir):
+    """40-bin histograms of the signal columns present, one pass for all."""
+    return r6(dist.histograms(measurements(spark, sf_dir), K.SIGNAL_HIST_COLUMNS, K.SIGNAL_BINS))
+
+
+@register("e10_hist_score", _hist_sql("QoS_Score", K.SCORE_BINS, "scored", M + SCORED_CTE))
+def q_e10e(spark, sf_dir):
+    """30-bin histogram of the fixed-weight QoS score."""
+    return r6(dist.histogram(routing.score_fixed(measurements(spark, sf_dir)).scored, K.SCORE_COLUMN, K.SCORE_BINS))
+
+
 def _kde_sql(expr: str, grid: int = K.KDE_GRID_POINTS, prebins: int = 4096, hist_bins: int = K.TARGET_BINS) -> str:
     return M + f""", v AS (SELECT {expr} AS x FROM m WHERE {expr} IS NOT NULL AND NOT isnan({expr})),
 st AS (SELECT count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM v),

@@ -148,3 +148,12 @@ def test_preview_and_sort(m):
     assert all(a.QoS_Score >= b.QoS_Score for a, b in zip(p, p[1:]))
     s = rank.preview(res.scored, 50, sort_by="EnvScore", ascending=True).collect()
     assert all(a.EnvScore <= b.EnvScore for a, b in zip(s, s[1:]))
+
+
+def test_multi_column_histograms_equal_single(m):
+    cols = ["PCell_RSRP_max", "PCell_SNR_max", "PCell_Downlink_Average_MCS", "absent"]
+    multi = {(r.column, r.bin): (r.bin_lo, r.bin_hi, r["count"]) for r in dist.histograms(m, cols, 40).collect()}
+    for c in cols[:3]:
+        for r in dist.histogram(m, c, 40).collect():
+            assert multi[(c, r.bin)] == (r.bin_lo, r.bin_hi, r["count"])
+    assert len(multi) == 3 * 40
