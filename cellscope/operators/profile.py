@@ -79,27 +79,25 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
              accuracy: int = 10_000) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 %, max per numeric column.
 
-    Quartiles interpolate linearly like pandas. ``exact=True`` uses the
-    distributed exact selection (``quantile.exact_quantiles``); ``False``
-    one ``percentile_approx`` pass.
+    The columns are unpivoted to ``(column, value)`` once; quartiles
+    interpolate linearly like pandas. ``exact=True`` uses the distributed
+    exact selection (``quantile.exact_quantiles``), whose first pass also
+    computes the other statistics; ``False`` one ``percentile_approx`` pass.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    aggs = []
-    for c in cols:
-        x = _q(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}|count"), F.avg(x).alias(f"{c}|mean"), F.stddev_samp(x).alias(f"{c}|std"),
-                 F.min(x).alias(f"{c}|min"), F.max(x).alias(f"{c}|max")]
-    wide = df.agg(*aggs)
-    stats = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}|count`").alias("count"), F.col(f"`{c}|mean`").alias("mean"),
-                 F.col(f"`{c}|std`").alias("std"), F.col(f"`{c}|min`").alias("min"),
-                 F.col(f"`{c}|max`").alias("max")) for c in cols])).alias("s")).select("s.*")
     long = df.select(*[_q(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    quant = (exact_quantiles if exact else approx_quantiles)(long, "value", [0.25, 0.5, 0.75], by=["column"],
-                                                             **({} if exact else {"accuracy": accuracy}))
-    qw = quant.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(n)
-                                       for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    order = F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("column"))
-    return (stats.join(qw, "column", "left")
-            .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-            .orderBy(order))
+    named = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if exact:
+        quant = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], group_stats=named)
+    else:
+        stats = long.groupBy("column").agg(*[f(F.col("value")).alias(k) for k, f in named.items()])
+        quant = approx_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], accuracy=accuracy).join(
+            stats, "column")
+    wide = quant.groupBy("column", *named).agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(n)
+                                                 for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+    # Columns with no value at all still get a row (count 0, the rest null).
+    every = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, position int")
+    return (F.broadcast(every).join(wide, "column", "left")
+            .select("column", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
+                    "mean", "std", "min", "q25", "q50", "q75", "max")
+            .orderBy(F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("column"))))

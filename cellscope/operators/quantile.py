@@ -24,7 +24,7 @@ computes the same numbers (``x[k0] + (x[k1] - x[k0]) * frac`` with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,12 +47,14 @@ def _interp(v0: Column, v1: Column, frac: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                     max_candidates: int = 1 << 17, accuracy: int = 10_000, splitters: int = 1000,
-                    max_rounds: int = 12) -> DataFrame:
+                    max_rounds: int = 12, group_stats: dict[str, Callable[[Column], Column]] | None = None
+                    ) -> DataFrame:
     """Quantiles of ``value`` per ``by`` group: rows ``(*by, p, quantile)``.
 
     Nulls (and NaN) are ignored; a group with no value gives no rows.
     ``max_candidates`` bounds the rows one task ranks; ``accuracy`` is the
-    sketch accuracy of the brackets.
+    sketch accuracy of the brackets. ``group_stats`` (name -> aggregate of
+    the value column) are computed in the first pass and added to each row.
     """
     keys = list(by) or [GROUP_KEY]
     base = df if by else df.withColumn(GROUP_KEY, F.lit(0))
@@ -63,8 +65,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     for p in probs:
         bounds += [max(0.0, p - delta), min(1.0, p + delta)]
     # Pass A: group sizes and (approximate) distinct counts, a small table.
+    extra = {k: f(F.col("x")) for k, f in (group_stats or {}).items()}
     stats = materialize(data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("x").alias("d")), "quantile-stats")
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("x").alias("d"),
+        *[agg.alias(k) for k, agg in extra.items()]), "quantile-stats")
     # Groups with few rows or few distinct values are ranked whole from their
     # value counts: a hot value is one row there, whatever its frequency.
     whole = (F.col("n") <= max_candidates) | (F.col("d") <= max_candidates // 2)
@@ -90,6 +94,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         if redo.limit(1).count() > 0:
             out = out.unionByName(_large_groups(data, large.join(redo, keys), keys, probs,
                                                 max_candidates, accuracy, splitters, max_rounds))
+    if extra:
+        out = out.join(stats.select(*keys, *extra), keys)
     return out if by else out.drop(GROUP_KEY)
 
 
