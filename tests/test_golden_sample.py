@@ -154,3 +154,13 @@ def test_grid_search_optimum(sample):
 def test_unknown_search_method(sample):
     with pytest.raises(ValueError):
         routing.score_searched(sample, "annealing")
+
+
+def test_eda_report_runs(sample):
+    from cellscope.plans.eda import eda_report
+    rep = eda_report(sample)
+    assert rep["shape"].first().n_rows == 59
+    assert rep["map_points"].count() == 59
+    assert rep["target_correlations"].first().column == "target"
+    assert len(rep["hourly_target"].collect()) == 13
+    assert sum(r["count"] for r in rep["target_histogram"].collect()) == 59

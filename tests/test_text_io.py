@@ -42,3 +42,14 @@ def test_write_and_read_back(spark, tmp_path):
     assert text.splitlines() == ["Avenue_18\t1.50,1.50,1.50,1.50,1.50,1.50", "Park_13\t1.50,1.50,1.50,1.50,1.50,1.50"]
     with pytest.raises(Exception):
         sinks.write_area_hour_text(result, str(out))  # target must not exist
+
+
+def test_area_hour_job(spark, tmp_path):
+    from cellscope.plans import area_hour_job
+    src = tmp_path / "in"
+    spark.createDataFrame([(line(area="Park"),), (line(area="Park", PCell_SNR_max="2.5"),), ("",)],
+                          "value string").write.text(str(src))
+    area_hour_job.run(spark, str(src), str(tmp_path / "out"))
+    text = "".join(open(p).read() for p in sorted(glob.glob(str(tmp_path / "out" / "part-*"))))
+    assert text.splitlines() == ["Park_13\t1.50,2.00,1.50,1.50,1.50,1.50"]
+    assert area_hour_job.main([]) == 2
