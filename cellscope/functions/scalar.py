@@ -42,8 +42,8 @@ def route_label(id_col: str | Column) -> Column:
 def color_band(value: str | Column, lo: Column, hi: Column, epsilon: float = K.COLOR_EPSILON) -> Column:
     """Three-band colour of ``log1p(value)`` normalised by ``lo``/``hi``.
 
-    ``lo``/``hi`` are the min and max of ``log1p`` over the point set (pass
-    scalar subqueries). Missing value gives gray. With ``epsilon=0`` and all
+    ``lo``/``hi`` are the min and max of ``log1p`` over the point set (fitted
+    literals). Missing value gives gray. With ``epsilon=0`` and all
     values equal the normalised value is NaN and the rule falls through to
     green, as the epsilon-free variant does.
     """
