@@ -123,7 +123,7 @@ def kde(df: DataFrame, column: str, grid_points: int = K.KDE_GRID_POINTS, prebin
     step = F.when(F.lit(grid_points) > 1, (hi - lo) / F.lit(max(grid_points - 1, 1))).otherwise(F.lit(0.0))
     expanded = pts.select("w", "mu", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("grid_index"))
     xg = lo + F.col("grid_index") * step
-    z = (xg - F.col("mu")) / h
+    z = F.try_divide(xg - F.col("mu"), h)  # no bandwidth (constant or single value): null density
     sums = expanded.groupBy("grid_index").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
     density = F.try_divide(F.col("s"), n.cast("double") * h * F.lit(math.sqrt(2 * math.pi)))
     return (sums.select("grid_index", xg.alias("x"), density.alias("density"))

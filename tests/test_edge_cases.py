@@ -153,3 +153,21 @@ def test_search_parameter_limits(spark):
         srch.grid_candidates(spark, 11)
     with pytest.raises(ValueError):
         srch.random_candidates(spark, 5)
+
+
+def test_all_null_and_constant_columns_through_profiles(spark):
+    df = spark.createDataFrame([(None, 1.0, 2.0, "a"), (None, 1.0, 3.0, None), (None, 1.0, 5.0, "b")],
+                               "nul double, con double, v double, cat string")
+    from cellscope.operators import profile as prof
+    d = {r.column: r for r in prof.describe(df).collect()}
+    assert d["nul"]["count"] == 0 and d["nul"].mean is None and d["nul"].q50 is None
+    assert (d["con"].q25, d["con"].q50, d["con"].std) == (1.0, 1.0, 0.0)
+    assert (d["v"].q25, d["v"].q50, d["v"].q75) == (2.5, 3.0, 4.0)
+    h = {r.column: r for r in dist.histograms(df, ["nul", "con", "v"], 4).where(F.col("count") > 0).collect()}
+    assert set(h) == {"con", "v"}
+    k = dist.kde(df, "con").collect()
+    assert len(k) == 200 and all(r.density is None for r in k)
+    box = dist.box_stats(df, "v", "cat").collect()
+    assert [(r.cat, r.n) for r in box] == [("a", 1), ("b", 1)]
+    m = {(r.col_a, r.col_b): r.corr for r in corr.corr_matrix(df, ["nul", "con", "v"], exclude=[], method="gram").collect()}
+    assert m[("v", "v")] == pytest.approx(1.0) and m[("nul", "v")] is None and m[("con", "v")] is None
