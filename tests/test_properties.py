@@ -157,3 +157,24 @@ def test_multi_column_histograms_equal_single(m):
         for r in dist.histogram(m, c, 40).collect():
             assert multi[(c, r.bin)] == (r.bin_lo, r.bin_hi, r["count"])
     assert len(multi) == 3 * 40
+
+
+def test_hot_group_exact_under_skew(spark):
+    """One key holds over a third of all rows (distinct values and a hot
+    value); quantiles, box statistics and modes stay exact."""
+    rng = np.random.default_rng(11)
+    hot = np.concatenate([rng.lognormal(size=4000), np.full(1500, 2.0)])
+    cold = [rng.normal(loc=k, size=300) for k in range(10)]
+    rows_ = [("hot", float(v)) for v in hot] + [(f"c{k}", float(v)) for k, c in enumerate(cold) for v in c]
+    df = spark.createDataFrame(rows_, "g string, v double").repartition(6)
+    got = {(r.g, r.p): r.quantile for r in
+           exact_quantiles(df, "v", [0.25, 0.5, 0.75], by=["g"], max_candidates=1000, accuracy=2000).collect()}
+    for g, vals in [("hot", hot)] + [(f"c{k}", c) for k, c in enumerate(cold)]:
+        for p, w in zip([0.25, 0.5, 0.75], np.quantile(vals, [0.25, 0.5, 0.75])):
+            assert got[(g, p)] == pytest.approx(w, abs=1e-12)
+    box = {r.g: r for r in dist.box_stats(df, "v", "g").collect()}
+    q1, q3 = np.quantile(hot, [0.25, 0.75])
+    inside = hot[(hot >= q1 - 1.5 * (q3 - q1)) & (hot <= q3 + 1.5 * (q3 - q1))]
+    assert box["hot"].n == len(hot) and box["hot"].whisker_hi == inside.max()
+    from cellscope.operators import clean as cl
+    assert cl.mode_values(df, ["v"]).first()["v"] == 2.0
