@@ -17,6 +17,20 @@ def numeric_columns(df: DataFrame, exclude: list[str] | tuple[str, ...] = ()) ->
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in skip]
 
 
+# Largest table broadcast after a size check (rows of a group-statistics table).
+BROADCAST_MAX_ROWS = 200_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    For small tables derived from materialized statistics (one row per
+    group): counting them is cheap, and beyond the bound the join stays a
+    shuffle join with adaptive skew splitting.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def fit(df: DataFrame, *aggs: Column):
     """Run a global aggregate and return its single row (the "fit" step).
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import fit
+from cellscope.functions._util import checked_broadcast, fit
 from cellscope.operators.quantile import exact_quantiles
 
 _TRANSFORMS = {None: lambda c: c, "log1p": F.log1p}
@@ -53,7 +53,8 @@ def histogram(df: DataFrame, column: str, bins: int = K.TARGET_BINS, transform:
     counts = data.groupBy(bin_index(F.col("x"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / F.lit(bins)
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (F.broadcast(every).join(counts, "bin", "left")
+    # counts has at most ``bins`` rows: the bounded side that a left join can build.
+    return (every.join(F.broadcast(counts), "bin", "left")
             .select("bin", (lo + F.col("bin") * width).alias("bin_lo"), (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
             .orderBy("bin"))
@@ -88,7 +89,8 @@ def histograms(df: DataFrame, columns: Sequence[str] = tuple(K.SIGNAL_HIST_COLUM
         F.count(F.lit(1)).alias("count"))
     grid = spark.createDataFrame([(c, b) for c in cols for b in range(bins)], "column string, bin int")
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    return (F.broadcast(grid).join(ranges, "column").join(counts, ["column", "bin"], "left")
+    # counts has at most columns x bins rows.
+    return (grid.join(ranges, "column").join(F.broadcast(counts), ["column", "bin"], "left")
             .select("column", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
                     (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
@@ -161,7 +163,7 @@ def box_stats(df: DataFrame, value: str = "target", by: str | Sequence[str] = "a
                         (F.col("q3") + whisker * iqr).alias("hi_fence"))
     x = F.col("x")
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
-    return (data.join(fences, keys)
+    return (data.join(checked_broadcast(fences), keys)
             .groupBy(*keys, "q1", "median", "q3")
             .agg(F.count(F.lit(1)).alias("n"),
                  F.min(F.when(inside, x)).alias("whisker_lo"),

@@ -97,7 +97,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
                                                  for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
     # Columns with no value at all still get a row (count 0, the rest null).
     every = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, position int")
-    return (F.broadcast(every).join(wide, "column", "left")
+    # wide has one row per column: the bounded side that a left join can build.
+    return (every.join(F.broadcast(wide), "column", "left")
             .select("column", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
                     "mean", "std", "min", "q25", "q50", "q75", "max")
             .orderBy(F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("column"))))

@@ -29,6 +29,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellscope.functions._util import checked_broadcast
 from cellscope.session import materialize
 
 GROUP_KEY = "_g"
@@ -78,7 +79,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     large = stats.where(~whole)
     if large.limit(1).count() > 0:
         # Pass B: sketch brackets for the remaining groups only.
-        sk = materialize(data.join(large.select(*keys), keys).groupBy(*keys).agg(
+        sk = materialize(data.join(checked_broadcast(large.select(*keys)), keys).groupBy(*keys).agg(
             F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("b")), "quantile-sketch")
         large = large.join(sk, keys)
         # A bracket holds about 10 n / accuracy rows; within bounds it is
@@ -102,7 +103,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 def _small_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
     """Rank whole groups (value counts and a running count over the group's
     distinct values, at most ``max_candidates`` of them)."""
-    sizes = sizes.select(*keys, "n")
+    sizes = checked_broadcast(sizes.select(*keys, "n"))
     vc = data.join(sizes, keys).groupBy(*keys, "n", "x").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vc = vc.withColumn("cum", F.sum("c").over(w)).withColumn("start", F.col("cum") - F.col("c"))
@@ -156,7 +157,7 @@ def _bracketed(data: DataFrame, stats: DataFrame, keys: list[str], probs: Sequen
     for j in range(len(probs)):
         r = F.get(F.col("rg"), j)
         code = code + F.when(r["hi"] < x, 2).when(r["lo"] <= x, 1).otherwise(0)
-    coded = data.join(regions, keys).select(*keys, code.alias("code"), F.when(code % 2 == 1, x).alias("v"))
+    coded = data.join(checked_broadcast(regions), keys).select(*keys, code.alias("code"), F.when(code % 2 == 1, x).alias("v"))
     vc = coded.groupBy(*keys, "code", "v").agg(F.count(F.lit(1)).alias("c"))
     wc = Window.partitionBy(*keys).orderBy("code", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vc = vc.withColumn("cum", F.sum("c").over(wc)).withColumn("start", F.col("cum") - F.col("c"))
