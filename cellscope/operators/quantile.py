@@ -193,7 +193,7 @@ def _in_bracket(lo: Column, hi: Column) -> Column:
 def _verify(data: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     """Exact counts below and inside each bracket; a bracket that does not
     hold both ranks is widened to the whole group (no bounds, ``m = n``)."""
-    j = data.join(brackets.select(*keys, "p", "lo", "hi"), keys)
+    j = data.join(checked_broadcast(brackets.select(*keys, "p", "lo", "hi")), keys)
     counts = j.groupBy(*keys, "p").agg(
         F.count_if(F.col("lo").isNotNull() & (F.col("x") < F.col("lo"))).alias("below"),
         F.count_if(_in_bracket(F.col("lo"), F.col("hi"))).alias("m"))
@@ -211,7 +211,8 @@ def _narrow(data: DataFrame, brackets: DataFrame, keys: list[str], splitters: in
     wide = brackets.where(_wide(max_candidates))
     keep = brackets.where(~_wide(max_candidates))
     grid = F.array(*[F.lit(i / splitters) for i in range(splitters + 1)])
-    j = data.join(wide.select(*keys, "p", "lo", "hi"), keys).where(_in_bracket(F.col("lo"), F.col("hi")))
+    j = data.join(checked_broadcast(wide.select(*keys, "p", "lo", "hi")), keys).where(
+        _in_bracket(F.col("lo"), F.col("hi")))
     sp = j.groupBy(*keys, "p").agg(F.percentile_approx("x", grid, accuracy).alias("s"))
     w = wide.join(sp, [*keys, "p"])
     q0 = (F.col("k0") - F.col("below")).cast("double") / (F.col("m") - 1).cast("double")
@@ -222,7 +223,7 @@ def _narrow(data: DataFrame, brackets: DataFrame, keys: list[str], splitters: in
                                     F.get(F.col("s"), i_lo).alias("lo"), F.get(F.col("s"), i_hi).alias("hi"),
                                     F.col("below").alias("old_below"), F.col("lo").alias("old_lo"),
                                     F.col("hi").alias("old_hi"), F.col("m").alias("old_m")), "quantile-proposed")
-    jj = data.join(proposed.select(*keys, "p", "lo", "hi", "old_lo", "old_hi"), keys).where(
+    jj = data.join(checked_broadcast(proposed.select(*keys, "p", "lo", "hi", "old_lo", "old_hi")), keys).where(
         _in_bracket(F.col("old_lo"), F.col("old_hi")))
     counts = jj.groupBy(*keys, "p").agg(
         F.count_if(F.col("x") < F.col("lo")).alias("add_below"),
@@ -244,7 +245,7 @@ def _narrow(data: DataFrame, brackets: DataFrame, keys: list[str], splitters: in
 
 def _finish(data: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     """Rank the rows inside each bracket (by value counts) and pick k0, k1."""
-    j = data.join(brackets.select(*keys, "p", "k0", "k1", "frac", "lo", "hi", "below"), keys).where(
+    j = data.join(checked_broadcast(brackets.select(*keys, "p", "k0", "k1", "frac", "lo", "hi", "below")), keys).where(
         _in_bracket(F.col("lo"), F.col("hi")))
     vc = j.groupBy(*keys, "p", "k0", "k1", "frac", "below", "x").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys, "p").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
