@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cellscope import constants as K
 from cellscope.functions._util import checked_broadcast, fit
-from cellscope.operators.quantile import exact_quantiles
+from cellscope.operators.quantile import approx_quantiles, exact_quantiles
 
 _TRANSFORMS = {None: lambda c: c, "log1p": F.log1p}
 
@@ -134,13 +134,14 @@ def kde(df: DataFrame, column: str, grid_points: int = K.KDE_GRID_POINTS, prebin
 
 
 def box_stats(df: DataFrame, value: str = "target", by: str | Sequence[str] = "area",
-              whisker: float = K.WHISKER_IQR) -> DataFrame:
+              whisker: float = K.WHISKER_IQR, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Quartiles, whiskers and outlier count of ``value`` per category.
 
     ``by`` is one column, or several: then the categories of each are
     unpivoted into ``(grouping, category)`` and all are computed in one pass.
     Whiskers are the furthest values within ``whisker * IQR`` of the box.
     Rows with a null category or value are left out, as the plots do.
+    ``exact=False`` takes the quartiles from one ``percentile_approx`` pass.
     """
     multi = not isinstance(by, str)
     if multi:
@@ -155,7 +156,8 @@ def box_stats(df: DataFrame, value: str = "target", by: str | Sequence[str] = "a
     data = data.where(F.col("x").isNotNull() & ~F.isnan("x"))
     for k in keys:
         data = data.where(F.col(k).isNotNull())
-    q = exact_quantiles(data, "x", [0.25, 0.5, 0.75], by=keys)
+    q = (exact_quantiles(data, "x", [0.25, 0.5, 0.75], by=keys) if exact
+         else approx_quantiles(data, "x", [0.25, 0.5, 0.75], by=keys, accuracy=accuracy))
     box = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
                                  for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     iqr = F.col("q3") - F.col("q1")

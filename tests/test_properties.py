@@ -178,3 +178,12 @@ def test_hot_group_exact_under_skew(spark):
     assert box["hot"].n == len(hot) and box["hot"].whisker_hi == inside.max()
     from cellscope.operators import clean as cl
     assert cl.mode_values(df, ["v"]).first()["v"] == 2.0
+
+
+def test_box_stats_approx_close(m):
+    ex = {r.area: r for r in dist.box_stats(m, "target", "area").collect()}
+    ap = {r.area: r for r in dist.box_stats(m, "target", "area", exact=False).collect()}
+    assert ex.keys() == ap.keys()
+    for a in ex:
+        assert ap[a].n == ex[a].n
+        assert abs(ap[a].median - ex[a].median) / ex[a].median < 0.01
