@@ -187,3 +187,24 @@ def test_box_stats_approx_close(m):
     for a in ex:
         assert ap[a].n == ex[a].n
         assert abs(ap[a].median - ex[a].median) / ex[a].median < 0.01
+
+
+def test_random_search_moments_equal_direct(m):
+    """H7 has no SQL oracle (hash-based random weights); check its objective
+    against a direct correlation of every candidate's score."""
+    feats, _ = routing.prepare_features(m)
+    ev = srch.evaluate_candidates(srch.random_candidates(feats.sparkSession, 40), srch.score_moments(feats)).collect()
+    pdf = feats.select(*K.COMPONENT_COLUMNS, "target").toPandas()
+    for r in ev:
+        assert abs(r.w_signal + r.w_mobility + r.w_env + r.w_congestion - 1.0) < 1e-12
+        s = (r.w_signal * pdf.SignalScore + r.w_mobility * pdf.MobilityScore + r.w_env * pdf.EnvScore
+             - r.w_congestion * pdf.CongestionPenalty)
+        assert r.correlation == pytest.approx(np.corrcoef(s, pdf.target)[0, 1], abs=1e-9)
+
+
+def test_scale_conf():
+    from cellscope.session import scale_conf
+    c = scale_conf(100 * 10 ** 12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10 ** 12 // (128 << 20))
+    assert scale_conf(10 ** 6, 16)["spark.sql.shuffle.partitions"] == "32"
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
