@@ -74,10 +74,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     # value counts: a hot value is one row there, whatever its frequency.
     whole = (F.col("n") <= max_candidates) | (F.col("d") <= max_candidates // 2)
     empty = data.sparkSession.createDataFrame([], data.select(*keys).schema.add("p", "double").add("quantile", "double"))
-    out = (_small_groups(data, stats.where(whole), keys, probs)
-           if stats.where(whole).limit(1).count() > 0 else empty)
+    # One small action: how many groups take each path.
+    paths = {r["whole"]: r["count"] for r in stats.groupBy(whole.alias("whole")).count().collect()}
+    out = _small_groups(data, stats.where(whole), keys, probs) if paths.get(True, 0) else empty
     large = stats.where(~whole)
-    if large.limit(1).count() > 0:
+    if paths.get(False, 0):
         # Pass B: sketch brackets for the remaining groups only.
         sk = materialize(data.join(checked_broadcast(large.select(*keys)), keys).groupBy(*keys).agg(
             F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("b")), "quantile-sketch")
