@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import line_dedup, simhash
-from cellscope.llm.common import table
+from cellscope.llm import language_id, line_dedup, simhash
+from cellscope.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,12 @@ SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN frequent ON key = gone GROUP BY doc_id
 """
+
+
+@register
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(fold_of(F.col("doc_id")) != 1))
+    found = docs.select("doc_id", (fold_of(F.col("doc_id")) == 1).alias("held_out"),
+                        language_id.predict(spark, model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
