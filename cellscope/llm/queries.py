@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import language_id, line_dedup, simhash
+from cellscope.llm import language_id, line_dedup, mixing, simhash
 from cellscope.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = docs.select("doc_id", (fold_of(F.col("doc_id")) == 1).alias("held_out"),
                         language_id.predict(spark, model, F.col("text")).alias("p"))
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+@register
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0, seed=42)
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
