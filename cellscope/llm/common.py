@@ -18,13 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def parts_for(spark: SparkSession, rows: int, per_task: int = 250_000) -> int:
+    """Tasks for a table of ``rows`` narrow rows: one for each ``per_task``, the cores of the session at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // per_task))
+
+
+def written(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back.
 
     Cuts the lineage: after a lost executor the readers start from the file.
+    ``parts``: for the small result of a shuffle, at most so many tasks and files.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(parts) if parts else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
