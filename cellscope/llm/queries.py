@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import language_id, line_dedup, mixing, simhash
+from cellscope.llm import byte_bpe, language_id, line_dedup, mixing, simhash
 from cellscope.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0, seed=42)
     return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode(F.col("text"), path, pattern).alias("ids"))
+    both = ids.select("doc_id", "ids", byte_bpe.decode(F.col("ids"), path, pattern).alias("decoded"))
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
