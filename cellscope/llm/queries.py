@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import byte_bpe, language_id, line_dedup, mixing, simhash
+from cellscope.llm import byte_bpe, language_id, line_dedup, mixing, simhash, token_counts
 from cellscope.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = ids.select("doc_id", "ids", byte_bpe.decode(F.col("ids"), path, pattern).alias("decoded"))
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                      public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
