@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import byte_bpe, language_id, line_dedup, mixing, simhash, token_counts
+from cellscope.llm import byte_bpe, cross_polytope, language_id, line_dedup, mixing, simhash, threshold_topk, token_counts
 from cellscope.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                                       public_tokenizers.PATTERN)
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@register
+def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
+
+
+@register
+def op7_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20, scale=64.0)
+
+
+ORACLES["op7_threshold_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                 CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
