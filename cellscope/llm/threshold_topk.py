@@ -116,6 +116,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     left = by_node(grid.points(sliced))
 
     def at_nodes(right: DataFrame, run) -> DataFrame:
+        right = right.select(*(F.col(c).alias(c) for c in right.columns))  # columns of its own, not left's
         return left.groupBy("cell").cogroup(right.groupBy("cell")).applyInPandas(run, _SCORES)
 
     def kth(rows: DataFrame, score: str, name: str) -> DataFrame:
