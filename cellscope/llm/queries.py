@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import byte_bpe, cross_polytope, language_id, line_dedup, mixing, simhash, threshold_topk, token_counts
+from cellscope.llm import byte_bpe, cross_polytope, language_id, line_dedup, mixing, simhash, threshold_topk, token_counts, toxicity
 from cellscope.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,12 @@ pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_of(F.col("doc_id")) == 1
+    model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels").where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(spark, model, F.col("text")).alias("score"))
+    return found.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
