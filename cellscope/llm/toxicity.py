@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ SAMPLE_TOXIC, SAMPLE_OTHER = 1500, 3000
 #: Words on each side of a match that are its context.
 WINDOW = 8
 #: Different contexts that a term has at least, how much likelier toxic examples use it, terms at most.
-LEAST_CONTEXTS, LEAST_ODDS, TERMS = 5, 20.0, 500
+LEAST_CONTEXTS, LEAST_ODDS, TERMS = 4, 20.0, 500
 #: Lengths of stems; words and contexts that a stem has at least.
 STEM_CHARS, STEM_WORDS, STEM_CONTEXTS = (4, 5, 6), 3, 12
 CACHE_WORDS = 400_000
@@ -37,7 +38,7 @@ def word_of(token: str) -> str:
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
 class Trie:
@@ -47,16 +48,18 @@ class Trie:
         self.root: dict = {}
         self.most = max(map(edits_allowed, terms), default=0)
         self.stems, self.stem_sizes = set(stems), sorted({len(x) for x in stems})
-        self.parts: set[str] = set()
+        self.parts: set[tuple[int, str]] = set()
         for t in terms:
             node = self.root
             for c in t:
                 node = node.setdefault(c, {})
             node[""] = t
             # Of k + 1 parts of a term, k edits leave one as it is.
-            n = edits_allowed(t) + 1
-            self.parts |= {t[len(t) * i // n:len(t) * (i + 1) // n] for i in range(n)}
-        self.part_sizes = sorted({len(x) for x in self.parts})
+            k = edits_allowed(t)
+            for i in range(k + 1):
+                a, b = len(t) * i // (k + 1), len(t) * (i + 1) // (k + 1)
+                self.parts |= {(a + d, t[a:b]) for d in range(-min(a, k), k + 1)}  # moved by k places at most
+        self.part_sizes = sorted({len(x) for _, x in self.parts})
         sizes = [(len(t) - edits_allowed(t), len(t) + edits_allowed(t)) for t in terms]
         self.least, self.longest = min((a for a, _ in sizes), default=1), max((b for _, b in sizes), default=0)
 
@@ -66,7 +69,7 @@ class Trie:
     def may_match(self, word: str) -> bool:
         """False only if no term is within its distance."""
         return self.least <= len(word) <= self.longest and not all(
-            self.parts.isdisjoint([word[i:i + n] for i in range(len(word) - n + 1)]) for n in self.part_sizes)
+            self.parts.isdisjoint([(i, word[i:i + n]) for i in range(len(word) - n + 1)]) for n in self.part_sizes)
 
     def nearest(self, word: str) -> tuple[str, int] | None:
         """The term with the fewest edits (ties: code point order) among those within their distance."""
@@ -119,9 +122,10 @@ class Model:
                 for w, c in contexts[1].items() if len(c) >= LEAST_CONTEXTS}
         strong = sorted((w for w, o in odds.items() if o >= LEAST_ODDS), key=lambda w: (-len(contexts[1][w]), w))
         # Words that only a group of copies shares have few contexts next to the real terms.
-        floor = len(contexts[1][strong[0]]) / 40 if strong else 0
-        self.terms = [w for w in strong if len(contexts[1][w]) >= floor][:TERMS]
+        floor = len(contexts[1][strong[0]]) / 10 if strong else 0
         self.stems = self._stems(contexts)
+        covered = Trie([], self.stems).stem
+        self.terms = [w for w in strong if len(contexts[1][w]) >= floor and not covered(w)][:TERMS]
         self.trie = Trie(self.terms, self.stems)
         # What other examples write is no misspelling.
         own = set(self.terms)
@@ -148,7 +152,9 @@ class Model:
                     words[w[:n]] += 1
                     about[w[:n]] |= c
         good = {p for p, n in words.items() if n >= STEM_WORDS and len(about[p]) >= STEM_CONTEXTS}
-        return sorted(p for p in good if not any(p[:n] in good for n in STEM_CHARS if n < len(p)))[:TERMS]
+        short = [p for p in good if not any(p[:n] in good for n in STEM_CHARS if n < len(p))]
+        # As long as all its words agree: a short stem would meet words of other texts.
+        return sorted({commonprefix([w for w in contexts[1] if w.startswith(p)]) for p in short})[:TERMS]
 
     def _kind(self, token: str) -> int:
         """0: no match, 1: a term, 2: a misspelled term."""
