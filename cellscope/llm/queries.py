@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import byte_bpe, cross_polytope, language_id, line_dedup, mixing, simhash, threshold_topk, token_counts, toxicity
+from cellscope.llm import byte_bpe, cross_polytope, language_id, line_dedup, mixing, simhash, threshold_topk, token_counts, token_file, toxicity
 from cellscope.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels").where(~held_out))
     found = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(spark, model, F.col("text")).alias("score"))
     return found.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
+@register
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    file = token_file.write_tokens(table(spark, sf_dir, "documents"), lambda: token_file.word_encoder(path), end_id=2)
+    return token_file.read_tokens(file)
