@@ -29,6 +29,11 @@ def fmt0(c: str | Column) -> Column:
     return F.format_string("%.0f", as_col(c))
 
 
+def significant(c: Column, digits: int) -> Column:
+    """``c`` rounded to ``digits`` significant decimal digits; zero, null and non-finite values stay."""
+    return F.format_string(f"%.{digits - 1}e", c).try_cast("double") if digits else c
+
+
 def area_hour_key(area: str | Column, hour_hh: str | Column) -> Column:
     """The ``<area>_<HH>`` key of the batch output."""
     return F.concat(as_col(area), F.lit("_"), as_col(hour_hh))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
+from cellscope.operators.clean import complete_cases
 from cellscope.functions.time import epoch_to_timestamp, hour_of_day
 
 # Output names of the six area-hour means, in metric order.
@@ -27,7 +28,7 @@ def area_hour_averages(df: DataFrame, area: str = "area", epoch_col: str = "time
     (whole-row rejection); a group without such a row does not appear.
     Result: ``area, hour, avg_*..., n``.
     """
-    complete = df.dropna(subset=[epoch_col, *metrics])
+    complete = complete_cases(df, [epoch_col, *metrics])
     out = (complete
            .groupBy(F.col(area).alias("area"), hour_of_day(epoch_to_timestamp(epoch_col)).alias("hour"))
            .agg(*[F.avg(F.col(m)).alias(n) for m, n in zip(metrics, names)], F.count(F.lit(1)).alias("n")))

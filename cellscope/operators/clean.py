@@ -34,9 +34,17 @@ def default_missing(df: DataFrame, columns: Sequence[str], target: str = "target
 def complete_cases(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Keep rows where every listed column (default: all) is present.
 
-    ``isnotnull`` filters reach the Parquet scan as pushed filters.
+    The null conditions are plain ``isnotnull`` filters, which reach a Parquet
+    scan as pushed filters; NaN in a floating column is absent as well.
     """
-    return df.dropna(how="any", subset=list(columns) if columns is not None else None)
+    names = list(columns) if columns is not None else df.columns
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    out = df
+    for c in names:
+        out = out.where(F.col(f"`{c}`").isNotNull())
+    for c in floating.intersection(names):
+        out = out.where(~F.isnan(F.col(f"`{c}`")))
+    return out
 
 
 def add_presence_flag(df: DataFrame, source: str = K.SCELL_PRESENCE_COLUMN, name: str = "has_scell") -> DataFrame:

@@ -16,8 +16,10 @@ Matrices have two plans, chosen by width:
   present, needed only for the columns that have nulls, come from one
   aggregate of plain sums (or, when many columns have nulls, from presence
   flags and squares added to the vector). Each pair's moments over the rows
-  where both are present follow exactly. Only matrices of the column count
-  reach the driver, whatever the row count.
+  where both are present follow. Where they are small differences of large
+  sums (an overlap that is narrow next to the whole column), the digits are
+  lost, and the pair is computed again as the direct form does it. Only
+  matrices of the column count reach the driver, whatever the row count.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 
 from cellscope import constants as K
 from cellscope.functions._util import numeric_columns
+from cellscope.operators.clean import complete_cases
 
 
 def _q(c: str) -> Column:
@@ -56,8 +59,12 @@ def matrix_columns(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 DIRECT_MAX_COLUMNS = 8
-# Variance below this share of the pair count (standardised scale) is zero.
+# A column whose standardised sum of squares is below this share of the rows is constant.
 ZERO_VARIANCE = 1e-10
+# Pairs that lose so many digits in the Gram form are computed again from
+# centred moments over their own overlap, so many pairs to an aggregate.
+LOST_DIGITS = 1e-4
+RECOMPUTE_PAIRS = 60
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None,
@@ -77,7 +84,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None,
     cols = matrix_columns(df, columns, exclude)
     data = df.select(*[_q(c).alias(f"c{i}") for i, c in enumerate(cols)])
     if deletion == "listwise":
-        data = data.dropna()
+        data = complete_cases(data)
     if method == "gram" or (method == "auto" and len(cols) > DIRECT_MAX_COLUMNS):
         return _gram_matrix(data, cols, deletion)
     idx = range(len(cols))
@@ -167,13 +174,14 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
     m = len(has_nulls)
     present = [F.col(c).isNotNull() for c in names]
     small_blocks = 2 * p * m + m * m <= MAX_BLOCK_SUMS
-    aggs = [F.sum(z[i] * z[i] * z[i] * z[i]).alias(f"f{i}") for i in range(p)]
     if small_blocks:
+        aggs = [F.count(F.lit(1)).alias("rows")]
         aggs += [F.sum(F.when(present[j], z[i])).alias(f"sz{i}_{j}") for i in range(p) for j in has_nulls]
         aggs += [F.sum(F.when(present[j], z[i] * z[i])).alias(f"sq{i}_{j}") for i in range(p) for j in has_nulls]
         aggs += [F.count_if(present[i] & present[j]).alias(f"nk{i}_{j}") for i in has_nulls for j in has_nulls]
+    else:
+        aggs = [F.sum(z[i] * z[i] * z[i] * z[i]).alias(f"f{i}") for i in range(p)]
     sums = data.agg(*aggs).first()
-    sum_z4 = np.array([float(sums[f"f{i}"] or 0.0) if varies[i] else 0.0 for i in range(p)])
     # Defaults for a column j without nulls: k_j = 1 on every row.
     cnt = np.minimum.outer(counts, counts)
     sx = np.zeros((p, p))                      # sum of z_i over rows where j is present
@@ -186,6 +194,7 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
                 sxx[i, j] = float(sums[f"sq{i}_{j}"] or 0.0)
                 cnt[i, j] = cnt[j, i] = counts[j] if i not in has_nulls else float(sums[f"nk{i}_{j}"])
     else:
+        sum_z4 = np.array([float(sums[f"f{i}"] or 0.0) if varies[i] else 0.0 for i in range(p)])
         mu_k = counts / n
         sd_k = np.sqrt(np.maximum(counts * (n - counts), 0) / (n * (n - 1.0)))
         mu_q = sum_z2 / n
@@ -201,8 +210,17 @@ def _gram_matrix(data: DataFrame, cols: list[str], deletion: str) -> DataFrame:
         vx = sxx - sx * sx / cnt
         vy = vx.T
         out = num / np.sqrt(vx * vy)
-    bad = (cnt < 2) | (vx <= ZERO_VARIANCE * cnt) | (vy <= ZERO_VARIANCE * cnt)
-    out[bad] = np.nan
+        lost = ((vx <= LOST_DIGITS * np.maximum(sxx, 1)) | (vy <= LOST_DIGITS * np.maximum(sxx.T, 1))
+                | (vx * vy <= (LOST_DIGITS * n) ** 2) | ~np.isfinite(out))
+    out[cnt < 1.5] = np.nan
+    lost &= cnt >= 1.5
+    pairs = [(i, j) for i in range(p) for j in range(i, p) if lost[i, j] or lost[j, i]]
+    for k in range(0, len(pairs), RECOMPUTE_PAIRS):
+        part = pairs[k:k + RECOMPUTE_PAIRS]
+        row = data.agg(*[pearson(names[i], names[j]).alias(f"r{i}_{j}") for i, j in part]).first()
+        for i, j in part:
+            value = row[f"r{i}_{j}"]
+            out[i, j] = out[j, i] = np.nan if value is None else (1.0 if i == j else value)
     return _long(spark, cols, out)
 
 

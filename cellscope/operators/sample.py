@@ -14,12 +14,19 @@ from pyspark.sql import functions as F
 
 from cellscope import constants as K
 
-_SCALE = 1 << 20
+#: Values of a sample key: 13 hexadecimal digits.
+_SCALE = 1 << 52
+
+
+def hash52(seed: int, *parts: Column) -> Column:
+    """The first 13 hex digits of md5 of ``seed|part|...`` as a number below 2^52; nulls are empty text."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
 
 
 def sample_key(key: Sequence[str], seed: int) -> Column:
-    """Non-negative 64-bit hash of the key columns and the seed."""
-    return F.abs(F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in key]) % F.lit(1 << 62))
+    """Non-negative 52-bit hash of the key columns and the seed."""
+    return hash52(seed, *[F.col(f"`{k}`") for k in key])
 
 
 def fraction_sample(df: DataFrame, fraction: float, seed: int = K.SAMPLE_SEED, key: Sequence[str] = ("id",),
@@ -32,7 +39,7 @@ def fraction_sample(df: DataFrame, fraction: float, seed: int = K.SAMPLE_SEED, k
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
     h = sample_key(key, seed)
-    out = df if fraction >= 1.0 else df.where(F.pmod(h, F.lit(_SCALE)) < F.lit(int(round(fraction * _SCALE))))
+    out = df if fraction >= 1.0 else df.where(h < F.lit(int(round(fraction * _SCALE))))
     if cap is not None:
         out = out.orderBy(h, *[F.col(f"`{k}`") for k in key]).limit(cap)
     return out
@@ -41,6 +48,17 @@ def fraction_sample(df: DataFrame, fraction: float, seed: int = K.SAMPLE_SEED, k
 def fixed_size_sample(df: DataFrame, n: int, seed: int = K.SAMPLE_SEED, key: Sequence[str] = ("id",)) -> DataFrame:
     """``min(n, rows)`` rows without replacement: the ``n`` lowest hashes.
 
-    A top-k by hash (each task keeps ``n`` rows), never a global sort.
+    The rows are counted first, and only those whose hash is low enough for
+    about ``n`` of them (six standard deviations more) are ranked, so that no
+    task gathers ``n`` rows from every other. Repeated keys can make the hash
+    uneven: then the bound is doubled until ``n`` rows are below it.
     """
-    return df.orderBy(sample_key(key, seed), *[F.col(f"`{k}`") for k in key]).limit(n)
+    h, order = sample_key(key, seed), [F.col(f"`{k}`") for k in key]
+    rows = df.count()
+    bound = (n + 6 * n ** 0.5 + 20) / max(1, rows)
+    while bound < 1:
+        few = df.where(h < F.lit(int(bound * _SCALE)))
+        if few.count() >= n:
+            return few.orderBy(h, *order).limit(n)
+        bound *= 2
+    return df.orderBy(h, *order).limit(n)

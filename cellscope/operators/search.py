@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
+from cellscope.operators.clean import complete_cases
+from cellscope.operators.sample import hash52
 from cellscope.operators.scale import normalise_weights
 
 FEATURES = tuple(K.COMPONENT_COLUMNS)
@@ -48,8 +50,7 @@ def grid_candidates(spark: SparkSession, n_points: int = K.GRID_POINTS_DEFAULT)
 
 def uniform(seed: int, *parts: Column) -> Column:
     """Deterministic uniform [0, 1) value from a hash of the seed and parts."""
-    h = F.xxhash64(F.lit(seed), *parts)
-    return (F.pmod(h, F.lit(1 << 53))).cast("double") / F.lit(float(1 << 53))
+    return hash52(seed, *parts).cast("double") / F.lit(float(1 << 52))
 
 
 def random_candidates(spark: SparkSession, n_iterations: int = K.RANDOM_ITER_DEFAULT,
@@ -69,7 +70,8 @@ def score_moments(df: DataFrame, features: Sequence[str] = FEATURES, target: str
     ``vt`` = var(target). Rows with a null in any of them are ignored.
     """
     data = df.select(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)],
-                     F.col(target).cast("double").alias("y")).dropna()
+                     F.col(target).cast("double").alias("y"))
+    data = complete_cases(data)
     n = len(features)
     aggs = [F.covar_samp(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i in range(n) for j in range(n) if i <= j]
     aggs += [F.covar_samp(f"x{i}", "y").alias(f"t{i}") for i in range(n)]

@@ -32,8 +32,11 @@ def observe_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def prepare_features(df: DataFrame, on_missing: str = "default") -> tuple[DataFrame, dict[str, Observation]]:
-    """Steps B1-B3, H1, H3 with the two counters (rows loaded, rows valid).
+def prepare_features(df: DataFrame, on_missing: str = "default",
+                     count_steps: bool = False) -> tuple[DataFrame, dict[str, Observation]]:
+    """Steps B1-B3, H1, H3; with ``count_steps`` also the two counters (rows loaded, rows valid).
+
+    Counters are off by default: one over the scan keeps filters from it.
 
     ``on_missing='default'`` adds absent inputs as 0.0 (target 1);
     ``'raise'`` fails with a clear message instead.
@@ -41,12 +44,15 @@ def prepare_features(df: DataFrame, on_missing: str = "default") -> tuple[DataFr
     missing = [c for c in K.SCORE_REQUIRED_COLUMNS if c not in df.columns]
     if missing and on_missing == "raise":
         raise ValueError(f"missing required columns: {missing}")
-    loaded, obs_loaded = observe_count(df, "rows_loaded")
-    present = select_present(loaded, K.SCORE_REQUIRED_COLUMNS)
-    filled = default_missing(present, [c for c in K.SCORE_REQUIRED_COLUMNS if c != "id"])
-    valid, obs_valid = observe_count(complete_cases(filled), "rows_valid")
-    featured = component_scores(min_max_scale(valid, K.SCORE_INPUT_COLUMNS))
-    return featured, {"rows_loaded": obs_loaded, "rows_valid": obs_valid}
+    counters = {}
+    if count_steps:
+        df, counters["rows_loaded"] = observe_count(df, "rows_loaded")
+    present = select_present(df, K.SCORE_REQUIRED_COLUMNS)
+    valid = complete_cases(default_missing(present, [c for c in K.SCORE_REQUIRED_COLUMNS if c != "id"]))
+    scaled = min_max_scale(valid, K.SCORE_INPUT_COLUMNS)
+    if count_steps:
+        scaled, counters["rows_valid"] = observe_count(scaled, "rows_valid")
+    return component_scores(scaled), counters
 
 
 @dataclass
@@ -69,10 +75,14 @@ DISPLAY_COLUMNS = ["id", *K.COMPONENT_COLUMNS, K.SCORE_COLUMN]
 
 
 def score_fixed(df: DataFrame, weights: Mapping[str, float] | None = None, top: int = K.TOP_K,
-                preview_rows: int = K.PREVIEW_ROWS, on_missing: str = "default") -> RoutingResult:
-    """H9: score with given weights (default 0.4/0.2/0.1/0.3)."""
+                preview_rows: int = K.PREVIEW_ROWS, on_missing: str = "default", normalise: bool = False,
+                count_steps: bool = False) -> RoutingResult:
+    """H9: score with given weights (default 0.4/0.2/0.1/0.3), divided by their sum with ``normalise``."""
     w = dict(weights or K.DEFAULT_WEIGHTS)
-    featured, counters = prepare_features(df, on_missing)
+    total = sum(w.values())
+    if normalise and total:
+        w = {k: v / total for k, v in w.items()}
+    featured, counters = prepare_features(df, on_missing, count_steps)
     scored = weighted_score(featured, w)
     shown = scored.select(*[c for c in DISPLAY_COLUMNS if c in scored.columns])
     wdf = df.sparkSession.createDataFrame([tuple(float(w[c]) for c in K.WEIGHT_NAMES)], list(K.WEIGHT_NAMES))
@@ -82,12 +92,12 @@ def score_fixed(df: DataFrame, weights: Mapping[str, float] | None = None, top:
 
 def score_searched(df: DataFrame, method: str = "grid_search", n_points: int = K.GRID_POINTS_DEFAULT,
                    n_iterations: int = K.RANDOM_ITER_DEFAULT, seed: int = K.SAMPLE_SEED, top: int = K.TOP_K,
-                   preview_rows: int = K.PREVIEW_ROWS, on_missing: str = "default") -> RoutingResult:
+                   preview_rows: int = K.PREVIEW_ROWS, on_missing: str = "default", count_steps: bool = False) -> RoutingResult:
     """Search the weights that best correlate the score with the target,
     then score with them. ``method`` is ``grid_search`` or ``random_search``."""
     if method not in SEARCH_METHODS:
-        raise ValueError(f"Unknown optimization method: {method}")
-    featured, counters = prepare_features(df, on_missing)
+        raise ValueError(f"method must be one of {SEARCH_METHODS}, not {method!r}")
+    featured, counters = prepare_features(df, on_missing, count_steps)
     spark = df.sparkSession
     cands = (grid_candidates(spark, n_points) if method == "grid_search"
              else random_candidates(spark, n_iterations, seed))

@@ -124,10 +124,10 @@ def r(expr: str) -> str:
 
 def java_fmt(expr: str, digits: int, pre_round: int | None = None) -> str:
     """Java ``%.Nf``: half-up on the shortest decimal form of the double
-    (optionally of the value first rounded to ``pre_round`` decimals)."""
+    (optionally of the value first rounded to ``pre_round`` significant digits)."""
     src = f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18))"
     if pre_round is not None:
-        src = f"round(CAST({expr} AS DECIMAL(38,18)), {pre_round})"
+        src = f"CAST(CAST(CAST(format('{{:.{pre_round - 1}e}}', {expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))"
     dec = f"round({src}, {digits})"
     txt = f"CAST(CAST({dec} AS DECIMAL(38,{digits})) AS VARCHAR)"
     return (f"CASE WHEN {expr} IS NULL THEN 'null' WHEN {expr} < 0 AND {dec} = 0 THEN '-' || {txt} "
@@ -219,12 +219,13 @@ def q_e1(spark, sf_dir):
 
 @register("a1_csv_source", M + sel(["id", "timestamp", "device", "PCell_RSRP_max", "PCell_SNR_max", "operator", "area", "target"]))
 def q_a1(spark, sf_dir):
-    """A1 + A2: measurements written as header CSV in the 41-column layout,
-    read back with the declared schema through the fallback reader."""
+    """A1 + A2: measurements written as header CSV without one column, in
+    another order and with a column more, read back by name through the
+    fallback reader."""
     m = measurements(spark, sf_dir)
     path = scratch_path(spark, "measurements-csv")
     layout = m.select(*[F.col(f"`{c}`") if c in m.columns else F.lit(None).cast(csv_src._type(c)).alias(c)
-                        for c in K.MEASUREMENT_COLUMNS])
+                        for c in reversed(K.MEASUREMENT_COLUMNS) if c != "Altitude"], F.lit("x").alias("extra"))
     layout.write.option("header", True).csv(path)
     df = csv_src.read_first_available(spark, [path + "-absent", path])
     return r6(df.select("id", "timestamp", "device", "PCell_RSRP_max", "PCell_SNR_max", "operator", "area", "target"))
@@ -243,9 +244,9 @@ def q_a3(spark, sf_dir):
 
 @register("a4_text_sink_lines", M + f"""
 , g AS ({_e1_sql(False)})
-SELECT area || '_' || lpad(CAST(hour AS VARCHAR), 2, '0') || chr(9) || {java_fmt('avg_rsrp', 2, 9)} || ',' ||
-  {java_fmt('avg_snr', 2, 9)} || ',' || {java_fmt('avg_speed', 2, 9)} || ',' || {java_fmt('avg_jam', 2, 9)} || ',' ||
-  {java_fmt('avg_humidity', 2, 9)} || ',' || {java_fmt('avg_precip', 2, 9)} AS value
+SELECT area || '_' || lpad(CAST(hour AS VARCHAR), 2, '0') || chr(9) || {java_fmt('avg_rsrp', 2, 13)} || ',' ||
+  {java_fmt('avg_snr', 2, 13)} || ',' || {java_fmt('avg_speed', 2, 13)} || ',' || {java_fmt('avg_jam', 2, 13)} || ',' ||
+  {java_fmt('avg_humidity', 2, 13)} || ',' || {java_fmt('avg_precip', 2, 13)} AS value
 FROM g
 """)
 def q_a4(spark, sf_dir):
@@ -672,22 +673,43 @@ def q_e10e(spark, sf_dir):
 def _kde_sql(expr: str, grid: int = K.KDE_GRID_POINTS, prebins: int = 4096, hist_bins: int = K.TARGET_BINS) -> str:
     return M + f""", v AS (SELECT {expr} AS x FROM m WHERE {expr} IS NOT NULL AND NOT isnan({expr})),
 st AS (SELECT count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM v),
-pb AS (SELECT CAST(least(floor((x - lo) * {prebins} / (CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END)), {prebins - 1}) AS INTEGER) AS b,
-              CAST(count(*) AS DOUBLE) AS w, avg(x) AS mu FROM v, st GROUP BY 1),
-g AS (SELECT CAST(range AS INTEGER) AS grid_index FROM range({grid})),
-k AS (SELECT grid_index, lo + grid_index * ((hi - lo) / {grid - 1}) AS xg,
-             sd * pow(CAST(n AS DOUBLE), -0.2) AS h, n, hi, lo FROM g, st),
-s AS (SELECT grid_index, xg, h, n, hi, lo,
-             sum(w * exp(-0.5 * ((xg - mu) / h) * ((xg - mu) / h))) AS s FROM k, pb GROUP BY ALL)
-SELECT grid_index, round(xg, 6) AS x, round(s / (n * h * sqrt(2 * pi())), 6) AS density,
-       round(s / (n * h * sqrt(2 * pi())) * n * (hi - lo) / {hist_bins}, 6) AS expected_count FROM s
+k AS (SELECT CAST(g.range AS INTEGER) AS grid_index, lo + g.range * ((hi - lo) / {grid - 1}) AS xg,
+             sd * pow(CAST(n AS DOUBLE), -0.2) AS h, n, hi, lo FROM range({grid}) g, st),
+s AS (SELECT grid_index, xg, h, n, hi, lo, sum(exp(-0.5 * ((xg - x) / h) * ((xg - x) / h))) AS s FROM k, v GROUP BY ALL)
+SELECT grid_index, round(xg, 6) AS x, CAST(round(CAST(s / (n * h * sqrt(2 * pi())) AS DECIMAL(38,18)), 5) AS DOUBLE) AS density,
+       CAST(round(CAST(s / (h * sqrt(2 * pi())) * (hi - lo) / {hist_bins} AS DECIMAL(38,18)), 1) AS DOUBLE) AS expected_count FROM s
 """
 
 
+def _kde(spark, sf_dir, column: str, transform: str | None = None) -> DataFrame:
+    """Density to 5 decimals, counts to 1: the oracle sums every row, the operator's error is far below."""
+    out = dist.kde(measurements(spark, sf_dir), column, transform=transform)
+    return out.select("grid_index", round6("x").alias("x"), F.round("density", 5).alias("density"),
+                      F.round("expected_count", 1).alias("expected_count"))
+
+
 @register("e11_kde_log_target", _kde_sql("ln(1 + target)"))
 def q_e11(spark, sf_dir):
-    """Gaussian density of log1p(target) on 200 points (4,096 pre-bins)."""
-    return r6(dist.kde(measurements(spark, sf_dir), "target", transform="log1p"))
+    """Gaussian density of log1p(target) on 200 points."""
+    return _kde(spark, sf_dir, "target", "log1p")
+
+
+@register("e11_kde_target", _kde_sql("target"))
+def q_e11_target(spark, sf_dir):
+    """E11 of the target as it is."""
+    return _kde(spark, sf_dir, "target")
+
+
+@register("e11_kde_rsrp", _kde_sql('"PCell_RSRP_max"'))
+def q_e11_rsrp(spark, sf_dir):
+    """E11 of a signal column."""
+    return _kde(spark, sf_dir, "PCell_RSRP_max")
+
+
+@register("e11_kde_snr", _kde_sql('"PCell_SNR_max"'))
+def q_e11_snr(spark, sf_dir):
+    """E11 of a signal column."""
+    return _kde(spark, sf_dir, "PCell_SNR_max")
 
 
 def _box_sql(key_exprs: list[tuple[str, str]], src_pre: str, src: str) -> str:
@@ -766,15 +788,30 @@ def q_f5(spark, sf_dir):
     return r6(rank.preview(shown, sort_by="EnvScore", ascending=True))
 
 
-@register("g1_fraction_sample")
+def _hash52_sql(*parts: str, seed: int = K.SAMPLE_SEED) -> str:
+    text = " || '|' || ".join([f"'{seed}'", *(f"CAST({p} AS VARCHAR)" for p in parts)])
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
+
+
+_G1 = f" WHERE {_hash52_sql('id')} < {round(0.05 * (1 << 52))}"
+_G1_CAPPED = M + f", c AS (SELECT * FROM m{_G1} ORDER BY {_hash52_sql('id')}, id LIMIT 1000)"
+
+
+@register("g1_fraction_sample", M + sel(["id", "Latitude", "Longitude", "target"]) + _G1)
 def q_g1(spark, sf_dir):
-    """G1: 5 % Bernoulli sample by key hash, seed 42 (rows-only check)."""
+    """G1: 5 % Bernoulli sample by key hash, seed 42."""
     return r6(smp.fraction_sample(measurements(spark, sf_dir), 0.05).select("id", "Latitude", "Longitude", "target"))
 
 
-@register("g2_fixed_size_sample")
+@register("g1_capped_sample", _G1_CAPPED + "SELECT id, round(target, 6) AS target FROM c")
+def q_g1_capped(spark, sf_dir):
+    """G1 with its cap of 1,000 rows (lowest hash first)."""
+    return r6(smp.fraction_sample(measurements(spark, sf_dir), 0.05, cap=1000).select("id", "target"))
+
+
+@register("g2_fixed_size_sample", M + f"SELECT id, round(target, 6) AS target FROM m ORDER BY {_hash52_sql('id')}, id LIMIT 2000")
 def q_g2(spark, sf_dir):
-    """2,000 rows without replacement, seed 42 (rows-only check)."""
+    """2,000 rows without replacement, seed 42."""
     return r6(smp.fixed_size_sample(measurements(spark, sf_dir), 2000).select("id", "target"))
 
 
@@ -814,11 +851,37 @@ def q_h6(spark, sf_dir):
     return r6(ev)
 
 
-@register("h7_random_search")
+def _random_sql(n: int = K.RANDOM_ITER_DEFAULT) -> str:
+    """The grid's evaluation with seeded random candidates instead."""
+    draw = lambda k: f"{_hash52_sql('range', str(k))} / 4503599627370496.0"
+    raw = ", ".join(f"{draw(k)} AS r{k}" for k in range(4))
+    names = list(K.WEIGHT_NAMES)
+    norm = ", ".join(f"r{k} / (r0 + r1 + r2 + r3) AS {w}" for k, w in enumerate(names))
+    return f""", raw AS (SELECT CAST(range AS BIGINT) AS candidate_id, {raw} FROM range({n})),
+rcand AS (SELECT candidate_id, {norm} FROM raw),
+rev AS (SELECT candidate_id, {", ".join(names)}, coalesce(corr(w_signal * SignalScore + w_mobility * MobilityScore
+          + w_env * EnvScore - w_congestion * CongestionPenalty, target), 0.0) AS correlation
+        FROM rcand, comp GROUP BY ALL),
+rbest AS (SELECT * FROM rev ORDER BY round(correlation, 12) DESC, candidate_id LIMIT 1)
+"""
+
+
+@register("h7_random_search", M + SCALED_CTE + _random_sql() + "SELECT candidate_id, " + ", ".join(
+    f"round({w}, 6) AS {w}" for w in K.WEIGHT_NAMES) + ", round(correlation, 6) AS correlation FROM rev")
 def q_h7(spark, sf_dir):
-    """H7: 100 seeded random candidates with their correlation (rows-only)."""
+    """H7: 100 seeded random candidates with their correlation."""
     featured, _ = routing.prepare_features(measurements(spark, sf_dir))
-    return r6(srch.evaluate_candidates(srch.random_candidates(spark), srch.score_moments(featured)))
+    out = srch.evaluate_candidates(srch.random_candidates(spark), srch.score_moments(featured))
+    return r6(out.select("candidate_id", *K.WEIGHT_NAMES, "correlation"))
+
+
+@register("h10_random_best_route", M + SCALED_CTE + _random_sql() + """
+SELECT id, round(w_signal * SignalScore + w_mobility * MobilityScore + w_env * EnvScore - w_congestion * CongestionPenalty, 6) AS QoS_Score
+FROM comp, rbest ORDER BY w_signal * SignalScore + w_mobility * MobilityScore + w_env * EnvScore - w_congestion * CongestionPenalty DESC, id LIMIT 1
+""")
+def q_h10_random(spark, sf_dir):
+    """The whole pipeline with random search."""
+    return r6(routing.score_searched(measurements(spark, sf_dir), "random_search").best.select("id", "QoS_Score"))
 
 
 @register("h8_search_history", M + SCALED_CTE + _grid_sql() + """
@@ -869,12 +932,11 @@ def q_e13(spark, sf_dir):
 @register("h11_step_counts", M + "SELECT count(*) AS rows_loaded, count(*) FILTER (WHERE " + " AND ".join(
     f"{q(c)} IS NOT NULL" for c in K.SCORE_REQUIRED_COLUMNS) + ") AS rows_valid FROM m")
 def q_h11(spark, sf_dir):
-    """Rows loaded and rows valid after cleaning, in one pass."""
-    m = measurements(spark, sf_dir)
-    valid = F.lit(True)
-    for c in K.SCORE_REQUIRED_COLUMNS:
-        valid = valid & F.col(f"`{c}`").isNotNull()
-    return m.agg(F.count(F.lit(1)).alias("rows_loaded"), F.count_if(valid).alias("rows_valid"))
+    """Rows loaded and rows valid after cleaning, as the pipeline's counters observe them."""
+    featured, counters = routing.prepare_features(measurements(spark, sf_dir), count_steps=True)
+    featured.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(counters["rows_loaded"].get["rows"], counters["rows_valid"].get["rows"])],
+                                 "rows_loaded bigint, rows_valid bigint")
 
 
 # ---------------------------------------------------------------------------

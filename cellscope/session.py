@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +12,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
@@ -38,7 +39,6 @@ def get_session(master: str | None = None, app_name: str = "cellscope",
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -61,6 +61,8 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Also where the join's keys are grouped next: splitting a hot key is worth another shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         # Broadcast only what is known small at run time (one-row statistics,
         # group tables); everything else stays a shuffle join.
@@ -72,8 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     The folder comes from the session (``spark.checkpoint.dir`` or an earlier
-    ``setCheckpointDir``). Only when none is set, as in local tests, a fresh
-    local folder is created and registered.
+    ``setCheckpointDir``). When none is set, a fresh local folder is made for a
+    local master, as in tests; on a cluster, where executors would each write
+    to their own disk, this is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -81,6 +84,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cellscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -89,17 +94,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_counter = _count()
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table once its last reader is done."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/"
+    if not path.startswith(base):
+        raise ValueError(f"{path} is not under the checkpoint folder")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.functions.scalar import area_hour_key, fmt2
+from cellscope.functions.scalar import area_hour_key, fmt2, significant
 from cellscope.operators.aggregate import AREA_HOUR_OUTPUT
 
 
@@ -18,10 +18,10 @@ def area_hour_lines(result: DataFrame, names: Sequence[str] = tuple(AREA_HOUR_OU
     ``hour`` and the six means).
     """
     key = area_hour_key(F.col("area"), F.lpad(F.col("hour").cast("string"), 2, "0"))
-    # Means are rounded to 9 decimals before the 2-decimal text, so that an
-    # exact tie (a mean of exactly 0.535) gives the same text whatever the
-    # summation order of the partitions or micro-batches.
-    values = F.concat_ws(",", *[fmt2(F.round(F.col(n), 9)) for n in names])
+    # Rounded at the noise level of a double only (about 13 significant
+    # digits), so that the summation order of partitions or micro-batches does
+    # not decide an exact tie, and 0.5349999996 is still below it.
+    values = F.concat_ws(",", *[fmt2(significant(F.col(n), 13)) for n in names])
     return result.select(key.alias("key"), values.alias("values")).orderBy("key").select(
         F.concat(F.col("key"), F.lit("\t"), F.col("values")).alias("value"))
 
