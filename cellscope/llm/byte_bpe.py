@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from cellscope.llm.pretokens import splitter
 
 #: Bytes of pieces encoded by one query, ids decoded by one query.
-QUERY_BYTES, QUERY_IDS = 600_000, 1_000_000
+QUERY_BYTES, QUERY_IDS = 300_000, 500_000
 #: Pieces kept by a worker; characters of text split at once.
-CACHE_PIECES, CHUNK_CHARS = 400_000, 8_000_000
+CACHE_PIECES, CHUNK_CHARS = 250_000, 2_000_000
 #: Words of more bytes contract every occurrence of a pair at once where that is the same.
 LONG_WORD = 1024
 #: Rounds of one recursive query over long words (it keeps every round's rows).
@@ -112,7 +112,7 @@ class Codec:
         self.split = splitter(pattern)
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.cache: dict[str, bytes] = {}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         for name, data in (("merges", _merges(self.ranks)),
                            ("tokens", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()),
                                                 "piece": [t.hex() for t in self.ranks]}))):
@@ -251,3 +251,14 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
         for part in parts:
             yield pd.Series(codec(path, pattern).decode(part), dtype=object)
     return run(ids)
+
+
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """struct(ids, decoded): ``encode`` of the text and ``decode`` of these ids, by one worker with one codec."""
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        from cellscope.llm.byte_bpe import codec
+        for part in parts:
+            ids = codec(path, pattern).encode(part)
+            yield pd.DataFrame({"ids": ids, "decoded": codec(path, pattern).decode(ids)}, dtype=object)
+    return run(text)

@@ -63,8 +63,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode(F.col("text"), path, pattern).alias("ids"))
-    both = ids.select("doc_id", "ids", byte_bpe.decode(F.col("ids"), path, pattern).alias("decoded"))
+    both = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.round_trip(F.col("text"), path, pattern).alias("both"))
+    both = both.select("doc_id", "both.ids", "both.decoded")
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
