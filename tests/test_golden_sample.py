@@ -1,7 +1,11 @@
-"""Golden values on the 59-row measurement sample (FIXTURES.md section 2)."""
+"""A 41-column measurement table built in code, against pandas and numpy."""
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,142 +16,170 @@ from cellscope.operators import aggregate as agg
 from cellscope.operators import clean as cl
 from cellscope.operators import correlation as corr
 from cellscope.operators import profile as prof
+from cellscope.operators.aggregate import AREA_HOUR_OUTPUT
 from cellscope.operators.quantile import exact_quantiles
 from cellscope.plans import routing
-
-E1_GOLDEN = """
-Avenue_10       -89.74,5.55,34.91,3.03,0.70,0.02     2
-Avenue_12       -81.81,9.94,37.78,2.73,0.62,0.00     1
-Avenue_13       -95.61,10.20,7.32,8.82,0.71,0.23     2
-Avenue_15       -71.06,27.16,6.48,8.07,0.71,0.47     1
-Avenue_16       -85.03,14.79,31.48,4.76,0.65,0.23    4
-Highway_14      -99.39,-0.57,41.67,7.02,0.71,0.24    1
-Highway_15      -102.40,3.72,3.70,0.00,0.57,0.01     1
-Park_07         -86.66,17.18,0.00,2.98,0.77,0.04     1
-Park_08         -83.11,7.92,13.63,1.62,0.77,0.04     7
-Park_09         -87.52,8.20,11.54,2.12,0.71,0.02     3
-Park_12         -87.48,15.47,39.76,1.85,0.62,0.00    3
-Park_13         -97.73,10.89,13.70,2.22,0.71,0.22    1
-Park_14         -83.13,18.09,9.54,4.03,0.68,0.17     2
-Park_15         -76.57,11.89,31.85,2.31,0.65,0.17    2
-Park_16         -73.82,10.80,14.45,5.75,0.71,0.46    2
-Residential_08  -67.85,23.70,0.00,3.19,0.77,0.04     1
-Residential_09  -88.19,19.85,0.00,1.84,0.70,0.02     1
-Residential_13  -84.50,16.46,0.00,0.39,0.62,0.00     1
-Residential_14  -88.78,12.00,4.31,4.31,0.62,0.05     11
-Residential_15  -87.70,10.54,5.93,2.15,0.66,0.20     8
-Residential_16  -88.93,12.63,15.83,3.13,0.73,0.44    4
-"""
-
-
-def test_row_count_and_profile(sample):
-    assert sample.count() == 59
-    counts = {(r.column, r.value): r["count"] for r in
-              agg.category_counts(engineer_time_features(cl.clean(sample)),
-                                  ["device", "area", "day_of_week", "has_scell"]).collect()}
-    assert counts[("device", "pc1")] == 33 and counts[("device", "pc3")] == 26
-    assert counts[("area", "Residential")] == 26 and counts[("area", "Park")] == 21
-    assert counts[("area", "Avenue")] == 10 and counts[("area", "Highway")] == 2
-    assert counts[("day_of_week", "Tue")] == 37 and counts[("day_of_week", "Thu")] == 22
-    assert counts[("has_scell", "true")] == 32
-
-
-def test_null_profile(sample):
-    nulls = prof.null_counts(sample).first().asDict()
-    assert nulls["PCell_Downlink_bandwidth_MHz"] == 3 and nulls["PCell_Cell_Identity"] == 3
-    assert nulls["SCell_RSRP_max"] == 27
-    assert nulls["SCell_Downlink_bandwidth_MHz"] == 36 and nulls["SCell_Cell_Identity"] == 36
-    profile = prof.null_profile(sample).collect()
-    assert profile[0].n_null == 36 and all(r.n_null > 0 for r in profile)
-    assert abs(profile[0].pct_null - 36 * 100.0 / 59) < 1e-12
-
-
-def test_area_hour_averages_golden(sample):
-    got = {f"{r.area}_{r.hour:02d}": r for r in agg.area_hour_averages(sample).collect()}
-    want = {}
-    for line in E1_GOLDEN.strip().splitlines():
-        key, vals, n = line.split()
-        want[key] = ([float(v) for v in vals.split(",")], int(n))
-    assert set(got) == set(want)
-    from cellscope.operators.aggregate import AREA_HOUR_OUTPUT
-    for key, (vals, n) in want.items():
-        row = got[key]
-        assert row.n == n
-        for name, v in zip(AREA_HOUR_OUTPUT, vals):
-            assert abs(row[name] - v) <= 0.005 + 1e-9, (key, name, row[name], v)
-
-
-def test_modes(sample):
+from cellscope.sources.csv import MEASUREMENT_SCHEMA
+
+N = 90
+METRICS = ["PCell_RSRP_max", "PCell_SNR_max", "speed_kmh", "Traffic Jam Factor", "humidity", "precipProbability"]
+
+
+def build() -> pd.DataFrame:
+    """Rows with a constant column, nulls in pairs of columns, and columns that are never present together."""
+    rng = np.random.default_rng(12)
+    doubles = [f.name for f in MEASUREMENT_SCHEMA.fields if isinstance(f.dataType, T.DoubleType)]
+    x = pd.DataFrame({c: np.round(rng.normal(10 * i, 1 + i % 5, N), 3) for i, c in enumerate(doubles)})
+    x["target"] = np.round(rng.lognormal(17, 1, N), 0)
+    plain = [c for c in doubles if not c.startswith(K.SCELL_PREFIX) and c not in METRICS and c != "target"
+             and c not in K.SCORE_REQUIRED_COLUMNS and c not in K.PCELL_MODE_COLUMNS]
+    x[plain[2]] = 4.0
+    scell = [c for c in doubles if c.startswith(K.SCELL_PREFIX)]
+    x.loc[rng.random(N) < 0.45, scell] = None
+    x.loc[:N // 2, plain[0]] = None
+    x.loc[N // 2 + 1:, plain[1]] = None  # no row has both
+    for c in K.PCELL_MODE_COLUMNS:
+        x[c] = rng.choice([800.0, 1800.0, 1800.0, 2600.0], N)
+        x.loc[rng.choice(N, 4, replace=False), c] = None
+    x["id"] = [f"r{i:03d}" for i in range(N)]
+    x["timestamp"] = 1624340000 + rng.integers(0, 3 * 86400, N)
+    x["device"] = rng.choice(["pc1", "pc3"], N)
+    x["area"] = rng.choice(["Avenue", "Park", "Residential"], N)
+    x["operator"] = rng.integers(1, 3, N)
+    return x[K.MEASUREMENT_COLUMNS]
+
+
+@pytest.fixture(scope="module")
+def table():
+    return build()
+
+
+@pytest.fixture(scope="module")
+def sample(spark, table):
+    rows = [tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in r) for r in table.itertuples(index=False)]
+    return spark.createDataFrame(rows, MEASUREMENT_SCHEMA).cache()
+
+
+def test_category_counts(sample, table):
+    got = {(r.column, r.value): r["count"] for r in
+           agg.category_counts(engineer_time_features(cl.clean(sample)), ["device", "area", "day_of_week", "has_scell"]).collect()}
+    days = pd.to_datetime(table["timestamp"], unit="s").dt.strftime("%a")
+    for name, values in (("device", table["device"]), ("area", table["area"]), ("day_of_week", days)):
+        for v, n in values.value_counts().items():
+            assert got[(name, v)] == n
+    assert got[("has_scell", "true")] == table[K.SCELL_PRESENCE_COLUMN].notna().sum()
+
+
+def test_null_profile(sample, table):
+    want = table.isna().sum()
+    assert prof.null_counts(sample).first().asDict() == want.to_dict()
+    profile = {r.column: r for r in prof.null_profile(sample).collect()}
+    assert {c: r.n_null for c, r in profile.items()} == want[want > 0].to_dict()
+    assert all(r.pct_null == pytest.approx(100.0 * want[c] / N) for c, r in profile.items())
+
+
+def test_area_hour_averages(sample, table):
+    hour = (table["timestamp"] // 3600) % 24
+    want = table.dropna(subset=METRICS).groupby([table["area"], hour])[METRICS].agg("mean")
+    got = {(r.area, r.hour): r for r in agg.area_hour_averages(sample).collect()}
+    assert set(got) == set(want.index)
+    for key, row in want.iterrows():
+        assert [got[key][n] for n in AREA_HOUR_OUTPUT] == pytest.approx(list(row))
+
+
+def test_modes(sample, table):
     modes = cl.mode_values(sample, K.PCELL_MODE_COLUMNS).first()
-    assert modes["PCell_freq_MHz"] == 1800 and modes["PCell_Downlink_bandwidth_MHz"] == 20
-    assert modes["PCell_Cell_Identity"] == 2568970
-    cleaned = cl.clean(sample)
-    assert prof.null_counts(cleaned, K.PCELL_MODE_COLUMNS).first().asDict() == {c: 0 for c in K.PCELL_MODE_COLUMNS}
+    for c in K.PCELL_MODE_COLUMNS:
+        assert modes[c] == table[c].mode().iloc[0]
+    assert prof.null_counts(cl.clean(sample), K.PCELL_MODE_COLUMNS).first().asDict() == {c: 0 for c in K.PCELL_MODE_COLUMNS}
 
 
-def test_predictor_correlations(sample):
+def test_predictor_correlations_and_zero_fill(sample, table):
     r = sample.agg(*[corr.pearson(c, "target").alias(c) for c in K.SCATTER_PREDICTORS]).first()
-    assert r["PCell_Downlink_Average_MCS"] == pytest.approx(0.458571, abs=1e-6)
-    assert r["PCell_SNR_max"] == pytest.approx(0.629684, abs=1e-6)
-    assert r["PCell_RSRP_max"] == pytest.approx(0.524678, abs=1e-6)
-
-
-def test_pairwise_vs_zero_filled(sample):
-    skip = sample.agg(corr.pearson("SCell_SNR_max", "target")).first()[0]
+    for c in K.SCATTER_PREDICTORS:
+        want = table[c].corr(table["target"])
+        assert r[c] is None if np.isnan(want) else r[c] == pytest.approx(want)
     filled = cl.zero_fill_prefix(sample).agg(corr.pearson("SCell_SNR_max", "target")).first()[0]
-    assert skip == pytest.approx(0.678078, abs=1e-6)
-    assert filled == pytest.approx(0.727829, abs=1e-6)
+    assert filled == pytest.approx(table["SCell_SNR_max"].fillna(0).corr(table["target"]))
 
 
-def test_wide_pairwise_matrix_nan_cells(sample):
+def test_wide_pairwise_matrix_with_null_cells(sample, table):
     doubles = [f.name for f in sample.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    assert len(doubles) == 36
-    m = corr.corr_matrix(sample, columns=doubles, exclude=[], deletion="pairwise")
-    assert m.count() == 36 * 36
-    assert m.where(F.col("corr").isNull()).count() == 235
+    got = {(r.col_a, r.col_b): r.corr for r in corr.corr_matrix(sample, columns=doubles, exclude=[], deletion="pairwise").collect()}
+    want = table[doubles].corr(min_periods=2)
+    assert len(got) == len(doubles) ** 2 and want.isna().sum().sum() > 2 * len(doubles)
+    for a, b in itertools.product(doubles, doubles):
+        if np.isnan(want.loc[a, b]):
+            assert got[a, b] is None, (a, b)
+        else:
+            assert got[a, b] == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_matrix_with_every_numeric_column(sample, table):
+    """Nothing excluded: timestamp and course stay; ranking from it."""
+    m = corr.corr_matrix(sample, exclude=(), deletion="pairwise")
+    names = {r.col_a for r in m.collect()}
+    assert {"timestamp", "operator"} <= names
+    want = table[sorted(names)].astype(float).corr(min_periods=2)["target"].dropna().sort_values(ascending=False)
+    top = [r.column for r in corr.target_ranking(m, k=11).collect()]
+    assert top == list(want.index[:11])
+
+
+def test_target_quartiles(sample, table):
+    q = {r.p: r.quantile for r in exact_quantiles(sample, "target", [0.25, 0.5, 0.75]).collect()}
+    assert list(q.values()) == pytest.approx(list(np.quantile(table["target"], [0.25, 0.5, 0.75])))
 
 
-def test_target_quartiles(sample):
-    q = {r.p: r.quantile for r in exact_quantiles(sample, "target", [0.25, 0.5, 0.75]).collect()}
-    assert q == {0.25: 24650000.0, 0.5: 49600000.0, 0.75: 70050000.0}
+def test_hourly_mean_target(sample, table):
+    got = {(r.hour_of_day, r.operator): r.avg_target for r in
+           agg.mean_by(engineer_time_features(cl.operator_to_string(cl.clean(sample)))).collect()}
+    hour = ((table["timestamp"] // 3600) % 24).rename("hour")
+    want = table.groupby([hour, table["operator"].astype(str)])["target"].mean()
+    assert got == pytest.approx(want.to_dict())
+
+
+def components(table):
+    x = table[K.SCORE_INPUT_COLUMNS]
+    z = (x - x.min()) / (x.max() - x.min())
+    return pd.DataFrame({
+        "SignalScore": K.SIGNAL_RSRP_COEF * z["PCell_RSRP_max"] + K.SIGNAL_SNR_COEF * z["PCell_SNR_max"],
+        "MobilityScore": 1 - z["speed_kmh"],
+        "EnvScore": K.ENV_TEMPERATURE_COEF * z["temperature"] + K.ENV_PRESSURE_COEF * z["pressure"],
+        "CongestionPenalty": z["Traffic Jam Factor"]})
 
 
-def test_hourly_mean_target(sample):
-    eng = engineer_time_features(cl.operator_to_string(cl.clean(sample)))
-    got = {(r.hour_of_day, r.operator): r.avg_target for r in agg.mean_by(eng).collect()}
-    want = {(7, "1"): 175000000, (8, "1"): 76400000, (8, "2"): 49950000, (9, "1"): 40525000,
-            (10, "1"): 47800000, (12, "1"): 53250000, (13, "1"): 50650000, (14, "1"): 52666666.67,
-            (14, "2"): 37881818.18, (15, "1"): 118600000, (15, "2"): 28116250, (16, "1"): 151200000,
-            (16, "2"): 21258000}
-    assert set(got) == set(want)
-    for k, v in want.items():
-        assert got[k] == pytest.approx(v, abs=0.01)
+def weighted(parts, w):
+    return (w["w_signal"] * parts["SignalScore"] + w["w_mobility"] * parts["MobilityScore"] + w["w_env"] * parts["EnvScore"]
+            - w["w_congestion"] * parts["CongestionPenalty"])
 
 
-def test_fixed_weight_scoring(sample):
-    res = routing.score_fixed(sample)
+def test_fixed_weight_scoring(sample, table):
+    score = weighted(components(table), K.DEFAULT_WEIGHTS)
+    order = score.sort_values(ascending=False).index
+    res = routing.score_fixed(sample, count_steps=True)
     top = res.top.collect()
-    assert [r.id for r in top[:3]] == ["Id_8dcjns9loi", "Id_joodlmsogd", "Id_gc8mrt2nno"]
-    assert [round(r.QoS_Score, 6) for r in top[:3]] == [0.539123, 0.533037, 0.497613]
-    best = res.best.first()
-    assert best.id == "Id_8dcjns9loi"
-    comps = [round(best[c], 6) for c in K.COMPONENT_COLUMNS]
-    assert comps == [0.991111, 0.963235, 0.537628, 0.345772]
-    r = res.scored.agg(corr.pearson(K.SCORE_COLUMN, "target")).first()[0]
-    assert r == pytest.approx(0.537716, abs=1e-6)
-    assert res.counters["rows_loaded"].get["rows"] == 59
-    assert res.counters["rows_valid"].get["rows"] == 59
-    assert top[0].label == "Route Id_8dcjns9loi"
-
-
-def test_grid_search_optimum(sample):
+    assert [r.id for r in top] == list(table["id"][order[:len(top)]]) and top[0].label == f"Route {top[0].id}"
+    assert [r.QoS_Score for r in top] == pytest.approx(list(score[order[:len(top)]]))
+    assert res.best.first().id == top[0].id
+    assert res.counters["rows_loaded"].get["rows"] == N and res.counters["rows_valid"].get["rows"] == N
+    assert routing.score_fixed(sample).counters == {}
+    doubled = {k: 2 * v for k, v in K.DEFAULT_WEIGHTS.items()}
+    assert routing.score_fixed(sample, doubled, normalise=True).weights_dict() == pytest.approx(K.DEFAULT_WEIGHTS)
+
+
+def test_grid_search_optimum(sample, table):
     res = routing.score_searched(sample, "grid_search", n_points=5)
+    parts, best = components(table), (-2.0, None)
+    axis = np.linspace(K.GRID_LOW, K.GRID_HIGH, 5)
+    for n, w in enumerate(itertools.product(axis, repeat=4)):
+        w = dict(zip(K.WEIGHT_NAMES, np.array(w) / sum(w)))
+        r = round(np.corrcoef(weighted(parts, w), table["target"])[0, 1], 12)
+        if r > best[0]:
+            best = (r, n)
     w = res.weights.first()
-    assert w.candidate_id == 500
-    assert [round(w[c], 6) for c in K.WEIGHT_NAMES] == [0.75, 0.083333, 0.083333, 0.083333]
-    assert w.correlation == pytest.approx(0.624686, abs=1e-6)
+    assert (w.correlation, w.candidate_id) == (pytest.approx(best[0]), best[1])
     hist = res.history.collect()
-    assert len(hist) == 625 and hist[-1].best_so_far == pytest.approx(0.624686, abs=1e-6)
+    assert len(hist) == 625 and hist[-1].best_so_far == pytest.approx(best[0])
     assert all(a.best_so_far <= b.best_so_far for a, b in zip(hist, hist[1:]))
 
 
@@ -156,11 +188,12 @@ def test_unknown_search_method(sample):
         routing.score_searched(sample, "annealing")
 
 
-def test_eda_report_runs(sample):
+def test_eda_report_runs(sample, table):
     from cellscope.plans.eda import eda_report
-    rep = eda_report(sample)
-    assert rep["shape"].first().n_rows == 59
-    assert rep["map_points"].count() == 59
+    rep = eda_report(sample.na.fill(1.0))  # listwise deletion needs complete rows
+    assert rep["shape"].first().n_rows == N
+    assert rep["map_points"].count() == N
     assert rep["target_correlations"].first().column == "target"
-    assert len(rep["hourly_target"].collect()) == 13
-    assert sum(r["count"] for r in rep["target_histogram"].collect()) == 59
+    hours = ((table["timestamp"] // 3600) % 24).astype(str) + table["operator"].astype(str)
+    assert len(rep["hourly_target"].collect()) == hours.nunique()
+    assert sum(r["count"] for r in rep["target_histogram"].where(F.col("count") > 0).collect()) == N
