@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cellscope import constants as K
 from cellscope.functions._util import checked_broadcast, fit
+from cellscope.session import materialize
 from cellscope.operators.quantile import approx_quantiles, exact_quantiles
 
 _TRANSFORMS = {None: lambda c: c, "log1p": F.log1p}
@@ -178,6 +179,7 @@ def box_stats(df: DataFrame, value: str = "target", by: str | Sequence[str] = "a
                         (F.col("q3") + whisker * iqr).alias("hi_fence"))
     x = F.col("x")
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
+    fences = materialize(fences, "box-fences")
     return (data.join(checked_broadcast(fences), keys)
             .groupBy(*keys, "q1", "median", "q3")
             .agg(F.count(F.lit(1)).alias("n"),

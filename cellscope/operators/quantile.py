@@ -13,13 +13,14 @@ computes the same numbers (``x[k0] + (x[k1] - x[k0]) * frac`` with
    row), running count over the values of the group (window bounded by the
    distinct count), pick the ranks.
 3. Other groups: ``percentile_approx`` brackets ``[lo, hi]`` around each
-   probability (rank error of the sketch is at most ``n / accuracy``), then
-   only the rows inside each bracket are ranked; rows below it are one
-   count. A bracket holds about ``10 n / accuracy`` rows.
-4. Groups so large that even a bracket exceeds ``max_candidates``: the
-   brackets are verified by exact counts and narrowed again with a fixed
-   splitter grid over their own rows, round by round, the small bracket
-   table written to the checkpoint folder between rounds.
+   probability (rank error of the sketch is at most ``n / accuracy``). One
+   more pass over the rows counts those in the gaps between brackets and
+   writes the value counts of those inside (about ``10 n / accuracy`` rows a
+   bracket) to the checkpoint folder; ranks are found in that small table.
+4. A bracket with more than ``max_candidates`` different values is cut into
+   cells by a quantile grid of its values, the cells are counted, and only
+   those that hold a wanted rank go on, until they are small: each round
+   divides them by about ``splitters``, so no round count is given.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ def _interp(v0: Column, v1: Column, frac: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                     max_candidates: int = 1 << 17, accuracy: int = 10_000, splitters: int = 1000,
-                    max_rounds: int = 12, group_stats: dict[str, Callable[[Column], Column]] | None = None
+                    group_stats: dict[str, Callable[[Column], Column]] | None = None
                     ) -> DataFrame:
     """Quantiles of ``value`` per ``by`` group: rows ``(*by, p, quantile)``.
 
@@ -82,20 +83,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         # Pass B: sketch brackets for the remaining groups only.
         sk = materialize(data.join(checked_broadcast(large.select(*keys)), keys).groupBy(*keys).agg(
             F.percentile_approx("x", F.array(*[F.lit(b) for b in bounds]), accuracy).alias("b")), "quantile-sketch")
-        large = large.join(sk, keys)
-        # A bracket holds about 10 n / accuracy rows; within bounds it is
-        # ranked directly, otherwise it is narrowed further first.
-        direct_max = max_candidates * accuracy // 10
-        direct = materialize(_bracketed(data, large.where(F.col("n") <= direct_max), keys, probs),
-                             "quantile-bracketed")
-        # Groups with a missed pick (never expected) or too large for one
-        # bracket go through the verified, narrowing path.
-        missed = direct.where(F.col("quantile").isNull()).select(*keys).distinct()
-        redo = large.where(F.col("n") > direct_max).select(*keys).unionByName(missed).distinct()
-        out = out.unionByName(direct.join(missed, keys, "left_anti"))
-        if redo.limit(1).count() > 0:
-            out = out.unionByName(_large_groups(data, large.join(redo, keys), keys, probs,
-                                                max_candidates, accuracy, splitters, max_rounds))
+        large = materialize(large.select(*keys, "n").join(sk, keys), "quantile-large")
+        # Pass C: the last one over the rows.
+        coded = materialize(_bracketed(data, large, keys, probs), "quantile-values")
+        found = materialize(_ranked(coded, large, keys, probs, max_candidates, splitters, accuracy), "quantile-found")
+        out = out.unionByName(found.where(F.col("quantile").isNotNull()))
+        # A rank outside its bracket breaks the sketch's promise: then the whole group is ranked.
+        missed = materialize(large.join(found.where(F.col("quantile").isNull()).select(*keys).distinct(), keys, "left_semi"),
+                             "quantile-missed")
+        if not missed.isEmpty():
+            every = data.join(checked_broadcast(missed.select(*keys)), keys).groupBy(*keys, F.col("x").alias("v")).agg(
+                F.count(F.lit(1)).alias("c")).withColumn("cell", F.lit(0)).withColumn("off", F.lit(0).cast("bigint"))
+            redone = _ranked(materialize(every, "quantile-values"), missed, keys, probs, max_candidates, splitters, accuracy)
+            out = out.join(missed.select(*keys), keys, "left_anti").unionByName(redone)
+    out = materialize(out, "quantiles")
     if extra:
         out = out.join(stats.select(*keys, *extra), keys)
     return out if by else out.drop(GROUP_KEY)
@@ -133,17 +134,12 @@ def _bracket_rows(stats: DataFrame, keys: list[str], probs: Sequence[float]) ->
 
 
 def _bracketed(data: DataFrame, stats: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Pass B: rank only the rows inside the sketch brackets, one row each.
+    """Pass C: value counts inside the sketch brackets, one count for each gap.
 
     The brackets of a group are merged into disjoint regions (a handful per
-    group, carried as one small array per group), and every row gets a code:
-    odd inside region ``j`` (``2j + 1``), even in the gap after it. Gap rows
-    collapse into one count per gap, region rows into value counts, and one
-    running count per group (ordered by code, value) gives each value's rank
-    range directly. The sketch guarantees (rank error at most
-    ``n / accuracy``, margin ``4 n / accuracy``) that both ranks of each
-    probability fall inside its bracket; a pick that does not is returned
-    as null and redone by the caller.
+    group, carried as one small array per group), and every row gets a cell:
+    odd inside region ``j`` (``2j + 1``), even in the gap after it, whose
+    value is null. ``off`` is the rank before the cells: 0.
     """
     br = _bracket_rows(stats, keys, probs)
     w = Window.partitionBy(*keys).orderBy("lo", "hi")
@@ -158,104 +154,47 @@ def _bracketed(data: DataFrame, stats: DataFrame, keys: list[str], probs: Sequen
     for j in range(len(probs)):
         r = F.get(F.col("rg"), j)
         code = code + F.when(r["hi"] < x, 2).when(r["lo"] <= x, 1).otherwise(0)
-    coded = data.join(checked_broadcast(regions), keys).select(*keys, code.alias("code"), F.when(code % 2 == 1, x).alias("v"))
-    vc = coded.groupBy(*keys, "code", "v").agg(F.count(F.lit(1)).alias("c"))
-    wc = Window.partitionBy(*keys).orderBy("code", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.withColumn("cum", F.sum("c").over(wc)).withColumn("start", F.col("cum") - F.col("c"))
-    j = vc.join(br.select(*keys, "p", "k0", "k1", "frac", (F.col("region") * 2 + 1).alias("code")), [*keys, "code"])
-    hit0 = (F.col("start") <= F.col("k0")) & (F.col("k0") < F.col("cum"))
-    hit1 = (F.col("start") <= F.col("k1")) & (F.col("k1") < F.col("cum"))
-    picked = j.groupBy(*keys, "p", "frac").agg(F.max(F.when(hit0, F.col("v"))).alias("v0"),
-                                                F.max(F.when(hit1, F.col("v"))).alias("v1"))
-    return picked.select(*keys, "p", _interp(F.col("v0"), F.col("v1"), F.col("frac")).alias("quantile"))
+    coded = data.join(checked_broadcast(regions), keys).select(*keys, code.alias("cell"), F.when(code % 2 == 1, x).alias("v"))
+    return coded.groupBy(*keys, "cell", "v").agg(F.count(F.lit(1)).alias("c")).withColumn("off", F.lit(0).cast("bigint"))
 
 
-def _large_groups(data: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float],
-                  max_candidates: int, accuracy: int, splitters: int, max_rounds: int) -> DataFrame:
-    # Groups too large for one bracket: verify the sketch brackets by exact
-    # counts, then narrow them round by round over their own rows.
-    brackets = materialize(_verify(data, _bracket_rows(sizes, keys, probs), keys), "quantile-brackets")
-    for _ in range(max_rounds):
-        if brackets.where(_wide(max_candidates)).limit(1).count() == 0:
-            break
-        brackets = _narrow(data, brackets, keys, splitters, accuracy, max_candidates)
-    return _finish(data, brackets, keys)
-
-
-def _wide(max_candidates: int) -> Column:
-    degenerate = F.col("lo").isNotNull() & F.col("hi").isNotNull() & (F.col("lo") == F.col("hi"))
-    return (F.col("m") > max_candidates) & ~degenerate
-
-
-def _in_bracket(lo: Column, hi: Column) -> Column:
-    return (lo.isNull() | (F.col("x") >= lo)) & (hi.isNull() | (F.col("x") <= hi))
-
-
-def _verify(data: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact counts below and inside each bracket; a bracket that does not
-    hold both ranks is widened to the whole group (no bounds, ``m = n``)."""
-    j = data.join(checked_broadcast(brackets.select(*keys, "p", "lo", "hi")), keys)
-    counts = j.groupBy(*keys, "p").agg(
-        F.count_if(F.col("lo").isNotNull() & (F.col("x") < F.col("lo"))).alias("below"),
-        F.count_if(_in_bracket(F.col("lo"), F.col("hi"))).alias("m"))
-    b = brackets.join(counts, [*keys, "p"])
-    ok = (F.col("below") <= F.col("k0")) & (F.col("k1") < F.col("below") + F.col("m"))
-    return b.select(*keys, "n", "p", "k0", "k1", "frac",
-                    F.when(ok, F.col("lo")).alias("lo"), F.when(ok, F.col("hi")).alias("hi"),
-                    F.when(ok, F.col("below")).otherwise(F.lit(0).cast("bigint")).alias("below"),
-                    F.when(ok, F.col("m")).otherwise(F.col("n")).alias("m"))
+def _ranked(vc: DataFrame, sizes: DataFrame, keys: list[str], probs: Sequence[float], max_candidates: int,
+            splitters: int, accuracy: int) -> DataFrame:
+    """(*keys, p, quantile) from value counts ``vc`` (*keys, off, cell, v, c) in cells of ascending values.
 
-
-def _narrow(data: DataFrame, brackets: DataFrame, keys: list[str], splitters: int, accuracy: int,
-            max_candidates: int) -> DataFrame:
-    """Split each wide bracket by a fixed quantile grid of its own rows."""
-    wide = brackets.where(_wide(max_candidates))
-    keep = brackets.where(~_wide(max_candidates))
-    grid = F.array(*[F.lit(i / splitters) for i in range(splitters + 1)])
-    j = data.join(checked_broadcast(wide.select(*keys, "p", "lo", "hi")), keys).where(
-        _in_bracket(F.col("lo"), F.col("hi")))
-    sp = j.groupBy(*keys, "p").agg(F.percentile_approx("x", grid, accuracy).alias("s"))
-    w = wide.join(sp, [*keys, "p"])
-    q0 = (F.col("k0") - F.col("below")).cast("double") / (F.col("m") - 1).cast("double")
-    q1 = (F.col("k1") - F.col("below")).cast("double") / (F.col("m") - 1).cast("double")
-    i_lo = F.greatest(F.floor(q0 * splitters).cast("int") - 2, F.lit(0))
-    i_hi = F.least(F.ceil(q1 * splitters).cast("int") + 2, F.lit(splitters))
-    proposed = materialize(w.select(*keys, "n", "p", "k0", "k1", "frac",
-                                    F.get(F.col("s"), i_lo).alias("lo"), F.get(F.col("s"), i_hi).alias("hi"),
-                                    F.col("below").alias("old_below"), F.col("lo").alias("old_lo"),
-                                    F.col("hi").alias("old_hi"), F.col("m").alias("old_m")), "quantile-proposed")
-    jj = data.join(checked_broadcast(proposed.select(*keys, "p", "lo", "hi", "old_lo", "old_hi")), keys).where(
-        _in_bracket(F.col("old_lo"), F.col("old_hi")))
-    counts = jj.groupBy(*keys, "p").agg(
-        F.count_if(F.col("x") < F.col("lo")).alias("add_below"),
-        F.count_if(_in_bracket(F.col("lo"), F.col("hi"))).alias("m"))
-    new = proposed.join(counts, [*keys, "p"])
-    below = F.col("old_below") + F.col("add_below")
-    ok = (below <= F.col("k0")) & (F.col("k1") < below + F.col("m"))
-    # A rejected proposal keeps the old bracket. A bracket that stops shrinking
-    # (a hot value fills it) is finished as is: finishing ranks distinct
-    # values, so the hot value is a single row there. m = 0 marks both.
-    progress = ok & (F.col("m") < F.col("old_m"))
-    refined = new.select(*keys, "n", "p", "k0", "k1", "frac",
-                         F.when(ok, F.col("lo")).otherwise(F.col("old_lo")).alias("lo"),
-                         F.when(ok, F.col("hi")).otherwise(F.col("old_hi")).alias("hi"),
-                         F.when(ok, below).otherwise(F.col("old_below")).alias("below"),
-                         F.when(progress, F.col("m")).otherwise(F.lit(0).cast("bigint")).alias("m"))
-    return materialize(keep.unionByName(refined), "quantile-brackets")
-
-
-def _finish(data: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
-    """Rank the rows inside each bracket (by value counts) and pick k0, k1."""
-    j = data.join(checked_broadcast(brackets.select(*keys, "p", "k0", "k1", "frac", "lo", "hi", "below")), keys).where(
-        _in_bracket(F.col("lo"), F.col("hi")))
-    vc = j.groupBy(*keys, "p", "k0", "k1", "frac", "below", "x").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*keys, "p").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.withColumn("cum", F.col("below") + F.sum("c").over(w)).withColumn("start", F.col("cum") - F.col("c"))
-    hit0 = (F.col("start") <= F.col("k0")) & (F.col("k0") < F.col("cum"))
-    hit1 = (F.col("start") <= F.col("k1")) & (F.col("k1") < F.col("cum"))
-    picked = vc.groupBy(*keys, "p", "frac").agg(F.max(F.when(hit0, F.col("x"))).alias("v0"),
-                                                 F.max(F.when(hit1, F.col("x"))).alias("v1"))
-    return picked.select(*keys, "p", _interp(F.col("v0"), F.col("v1"), F.col("frac")).alias("quantile"))
+    A quantile is null where a rank lies in a cell without values (a gap).
+    """
+    wanted = []
+    for p in probs:
+        k0, k1, frac = _rank_cols(F.col("n"), p)
+        wanted += [F.struct(F.lit(float(p)).alias("p"), F.lit(side).alias("side"), k.alias("k"), frac.alias("frac"))
+                   for side, k in ((0, k0), (1, k1))]
+    ranks = sizes.select(*keys, F.explode(F.array(*wanted)).alias("r")).select(*keys, "r.*")
+    while True:
+        # At most some thousand cells a group.
+        cells = vc.groupBy(*keys, "off", "cell").agg(F.sum("c").alias("total"), F.count("v").alias("d"))
+        before = Window.partitionBy(*keys, "off").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        cells = cells.withColumn("below", F.col("off") + F.coalesce(F.sum("total").over(before), F.lit(0)))
+        hit = materialize(ranks.join(cells, keys).where((F.col("below") <= F.col("k")) & (F.col("k") < F.col("below") + F.col("total"))),
+                          "quantile-cells")
+        chosen = hit.select(*keys, "off", "cell", "below").distinct()
+        rows = vc.where(F.col("v").isNotNull()).join(checked_broadcast(chosen), [*keys, "off", "cell"])
+        if (hit.agg(F.max("d")).first()[0] or 0) <= max_candidates:
+            break
+        grid = F.array(*[F.lit(i / splitters) for i in range(1, splitters)])
+        cuts = materialize(rows.groupBy(*keys, "below").agg(F.percentile_approx("v", grid, accuracy).alias("cuts")), "quantile-cuts")
+        cell = F.size(F.filter("cuts", lambda q: q < F.col("v")))
+        vc = materialize(rows.join(checked_broadcast(cuts), [*keys, "below"])
+                         .select(*keys, F.col("below").alias("off"), cell.alias("cell"), "v", "c"), "quantile-values")
+    w = Window.partitionBy(*keys, "below").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumn("cum", F.col("below") + F.sum("c").over(w)).withColumn("start", F.col("cum") - F.col("c"))
+    picked = hit.select(*keys, "p", "side", "k", "frac", "below").join(
+        placed.select(*keys, "below", "start", "cum", "v"), [*keys, "below"], "left")
+    inside = (F.col("start") <= F.col("k")) & (F.col("k") < F.col("cum"))
+    at = lambda side: F.max(F.when(inside & (F.col("side") == side), F.col("v")))
+    both = picked.groupBy(*keys, "p", "frac").agg(at(0).alias("v0"), at(1).alias("v1"))
+    value = F.when(F.col("v0").isNotNull() & F.col("v1").isNotNull(), _interp(F.col("v0"), F.col("v1"), F.col("frac")))
+    return both.select(*keys, "p", value.alias("quantile"))
 
 
 def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
