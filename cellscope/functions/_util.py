@@ -17,18 +17,35 @@ def numeric_columns(df: DataFrame, exclude: list[str] | tuple[str, ...] = ()) ->
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in skip]
 
 
-# Largest table broadcast after a size check (rows of a group-statistics table).
-BROADCAST_MAX_ROWS = 200_000
+# Largest table broadcast after a size check.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row as the join's hash table holds it, about: 8 a value, texts and arrays by their length."""
+    total = F.lit(16)
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            each = 8 * len(f.dataType.elementType) if isinstance(f.dataType.elementType, T.StructType) else 8
+            total = total + 24 + F.coalesce(F.greatest(F.size(c), F.lit(0)), F.lit(0)) * each
+        else:
+            total = total + 8
+    return total
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most about ``max_bytes`` bytes, else ``df``.
 
     For small tables derived from materialized statistics (one row per
-    group): counting them is cheap, and beyond the bound the join stays a
-    shuffle join with adaptive skew splitting.
+    group): measuring them is cheap, and beyond the bound the join stays a
+    shuffle join whose hot keys adaptive execution splits (see
+    ``session.scale_conf``: also where the keys are grouped next).
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = df.agg(F.sum(_row_bytes(df.schema))).first()[0]
+    return F.broadcast(df) if (size or 0) <= max_bytes else df
 
 
 def fit(df: DataFrame, *aggs: Column):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
+from cellscope.functions._util import NUMERIC_TYPES
 from cellscope.functions.scalar import route_label
 
 
@@ -45,10 +46,35 @@ def limit_ordered(df: DataFrame, n: int, by: Sequence[str], ascending: bool = Tr
     return df.orderBy(*by, ascending=ascending).limit(n)
 
 
+#: Previews of fewer rows are plain top-k.
+PREVIEW_PRUNED_FROM = 200
+
+
+def _before_threshold(df: DataFrame, column: str, n: int, ascending: bool) -> DataFrame:
+    """The rows up to a value of ``column`` that at least ``n`` rows reach; ``df`` if none is found."""
+    x = F.col(f"`{column}`").cast("double")
+    rows = df.agg(F.count(x).alias("n")).first()["n"]
+    share = (2 * n + 100) / max(1, rows)
+    if share >= 1:
+        return df
+    at = share if ascending else 1 - share
+    cut = df.agg(F.percentile_approx(x, at, max(10_000, int(4 / share)))).first()[0]
+    kept = df.where(x <= F.lit(cut) if ascending else x >= F.lit(cut))
+    return kept if kept.limit(n).count() >= n else df
+
+
 def preview(df: DataFrame, n: int = K.PREVIEW_ROWS, score: str = K.SCORE_COLUMN,
             tie: Sequence[str] = ("id",), sort_by: str | None = None, ascending: bool = False) -> DataFrame:
     """Bounded preview of a scored result, ordered by score (or by
-    ``sort_by``), so that its rows are the same on every run."""
+    ``sort_by``), so that its rows are the same on every run.
+
+    A threshold keeps every task from sending ``n`` rows to one place: the
+    rows that are certainly before about the ``2 n``-th in order are ranked,
+    if there are ``n`` of them; else (many nulls, another type) all are.
+    """
+    lead = sort_by or score
+    if n >= PREVIEW_PRUNED_FROM and isinstance(df.schema[lead].dataType, NUMERIC_TYPES):
+        df = _before_threshold(df, lead, n, ascending)
     if sort_by:
         keys = [F.asc_nulls_last(sort_by) if ascending else F.desc_nulls_last(sort_by),
                 *[F.asc(t) for t in tie if t in df.columns]]

@@ -1,10 +1,11 @@
-"""The exploratory analysis session as one plan of lazy result frames.
+"""The exploratory analysis session as result frames, keyed by name.
 
 load -> null profile -> clean (B9) -> time features (D11) -> shape, counts,
 distributions, correlations, box statistics, hourly means, map points.
 Every entry is a DataFrame over all rows (the point sets are hash samples,
-bounded by their size); nothing is collected here. A caller that runs many
-of them may persist ``prepared`` first.
+bounded by their size). Building the report runs jobs: modes, ranges, moments
+and quantiles are fitted first, and only such one-row or one-row-a-group
+results reach the driver. A caller may persist the input first.
 """
 
 from __future__ import annotations

@@ -554,15 +554,15 @@ def q_e6(spark, sf_dir):
     return r6(m.agg(*[corr.pearson(c, "target").alias(f"corr_{c}") for c in K.SCATTER_PREDICTORS]))
 
 
-def _matrix_sql(listwise: bool) -> str:
-    cols = ", ".join(q(c) for c in MATRIX_COLUMNS)
-    where = (" WHERE " + " AND ".join(f"{q(c)} IS NOT NULL" for c in MATRIX_COLUMNS)) if listwise else ""
+def _matrix_sql(listwise: bool, columns: list[str] = MATRIX_COLUMNS) -> str:
+    cols = ", ".join(q(c) for c in columns)
+    where = (" WHERE " + " AND ".join(f"{q(c)} IS NOT NULL" for c in columns)) if listwise else ""
     return E + f""", base AS (SELECT row_number() OVER () AS rid, {cols} FROM e{where}),
-long AS (UNPIVOT (SELECT rid, {", ".join(f"CAST({q(c)} AS DOUBLE) AS {q(c)}" for c in MATRIX_COLUMNS)} FROM base)
+long AS (UNPIVOT (SELECT rid, {", ".join(f"CAST({q(c)} AS DOUBLE) AS {q(c)}" for c in columns)} FROM base)
          ON {cols} INTO NAME col VALUE val),
 pairs AS (SELECT a.col AS col_a, b.col AS col_b, corr(a.val, b.val) AS x
           FROM long a JOIN long b ON a.rid = b.rid GROUP BY 1, 2),
-names AS (SELECT unnest([{", ".join(f"'{c}'" for c in MATRIX_COLUMNS)}]) AS col)
+names AS (SELECT unnest([{", ".join(f"'{c}'" for c in columns)}]) AS col)
 SELECT na.col AS col_a, nb.col AS col_b, CASE WHEN isnan(p.x) THEN NULL ELSE round(p.x, 6) END AS corr
 FROM names na CROSS JOIN names nb LEFT JOIN pairs p ON p.col_a = na.col AND p.col_b = nb.col
 """
@@ -580,6 +580,15 @@ def q_e8(spark, sf_dir):
     return r6(corr.corr_matrix(engineered(spark, sf_dir), deletion="pairwise"))
 
 
+ALL_MATRIX_COLUMNS = [*MATRIX_COLUMNS, *(c for c in BRIDGE_NUMERIC if c in K.CORR_EXCLUDE)]
+
+
+@register("e8_corr_matrix_all_columns", _matrix_sql(False, ALL_MATRIX_COLUMNS))
+def q_e8_all(spark, sf_dir):
+    """E8 with nothing excluded: the timestamp stays in."""
+    return r6(corr.corr_matrix(engineered(spark, sf_dir), exclude=(), deletion="pairwise"))
+
+
 def _ranking_sql(listwise: bool, k: int, include_self: bool, direction: str) -> str:
     base = _matrix_sql(listwise)
     self_filter = "" if include_self else " AND col_a <> 'target'"
@@ -766,6 +775,15 @@ def q_f1(spark, sf_dir):
     return r6(res.best.select(*routing.DISPLAY_COLUMNS))
 
 
+@register("h9_normalised_weights", M + SCORED_CTE + """
+SELECT id, round(QoS_Score, 6) AS QoS_Score FROM scored ORDER BY QoS_Score DESC, id LIMIT 10
+""")
+def q_h9_normalised(spark, sf_dir):
+    """H9 with H5 on request: weights given at ten times their size, divided by their sum."""
+    weights = {k: 10 * v for k, v in K.DEFAULT_WEIGHTS.items()}
+    return r6(routing.score_fixed(measurements(spark, sf_dir), weights, normalise=True).top.select("id", "QoS_Score"))
+
+
 @register("f2_top10_labelled", M + SCORED_CTE + """
 SELECT id, round(SignalScore, 6) AS SignalScore, round(MobilityScore, 6) AS MobilityScore, round(EnvScore, 6) AS EnvScore,
   round(CongestionPenalty, 6) AS CongestionPenalty, round(QoS_Score, 6) AS QoS_Score, 'Route ' || id AS label
@@ -962,6 +980,21 @@ def q_i2(spark, sf_dir):
     return r6(geo.map_centre(measurements(spark, sf_dir)))
 
 
+@register("i1_sampled_map", _G1_CAPPED + """, st AS (SELECT min(ln(1 + target)) AS lo, max(ln(1 + target)) AS hi FROM c),
+n AS (SELECT c.*, (ln(1 + target) - lo) / (hi - lo + 1e-6) AS norm FROM c, st)
+SELECT round(Latitude, 6) AS lat, round(Longitude, 6) AS lon, round(target, 6) AS target,
+  CASE WHEN target IS NULL THEN 'gray' WHEN norm < 0.33 THEN 'red' WHEN norm < 0.66 THEN 'orange' ELSE 'green' END AS color,
+  (SELECT round(avg(Latitude), 6) FROM c) AS centre_lat, (SELECT round(avg(Longitude), 6) FROM c) AS centre_lon
+FROM n
+""")
+def q_i1_sampled(spark, sf_dir):
+    """G1 with its cap, feeding I1 and I2: the map's points and its centre."""
+    points = smp.fraction_sample(measurements(spark, sf_dir), 0.05, cap=1000)
+    centre = geo.map_centre(points).first()
+    return r6(geo.map_points(points).select("lat", "lon", "target", "color", F.lit(centre["centre_lat"]).alias("centre_lat"),
+                                            F.lit(centre["centre_lon"]).alias("centre_lon")))
+
+
 @register("i3_scatter_points", M + "\nUNION ALL\n".join(
     f"SELECT '{p}' AS predictor, round({q(p)}, 6) AS value, round(target, 6) AS target, CAST(operator AS VARCHAR) AS operator, "
     f"target > 0 AS log_scale_ok FROM m" for p in K.SCATTER_PREDICTORS))

@@ -19,6 +19,10 @@ from cellscope.sources.sinks import area_hour_lines
 from cellscope.sources.text import FIELD_SCHEMA, SPLIT_OPTIONS, parse_fields
 
 
+#: Snapshots that stay: the newest, and some for readers that are still at an older one.
+KEEP_EPOCHS = 3
+
+
 def area_hour_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of the area-hour means over the text files of ``input_dir``."""
     reader = spark.readStream.schema(FIELD_SCHEMA).options(**SPLIT_OPTIONS)
@@ -36,6 +40,7 @@ def start_area_hour_stream(spark: SparkSession, input_dir: str, output_dir: str,
     """
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         area_hour_lines(batch).write.mode("overwrite").text(f"{output_dir.rstrip('/')}/epoch={epoch_id}")
+        _drop_old(batch.sparkSession, output_dir, KEEP_EPOCHS)
 
     writer = (area_hour_stream(spark, input_dir).writeStream.outputMode("complete")
               .foreachBatch(write_epoch).option("checkpointLocation", checkpoint_dir))
@@ -48,6 +53,19 @@ def start_area_hour_stream(spark: SparkSession, input_dir: str, output_dir: str,
 
 def latest_snapshot(spark: SparkSession, output_dir: str) -> DataFrame:
     """The text lines of the newest epoch written by the stream."""
-    epochs = spark.read.text(output_dir).inputFiles()
-    latest = max(int(p.split("epoch=")[1].split("/")[0]) for p in epochs)
-    return spark.read.text(f"{output_dir.rstrip('/')}/epoch={latest}")
+    return spark.read.text(f"{output_dir.rstrip('/')}/epoch={max(_epochs(spark, output_dir))}")
+
+
+def _epochs(spark: SparkSession, output_dir: str) -> list[int]:
+    """Numbers of the complete snapshots: a listing of folders, not of their files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(output_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("epoch=")]
+    return [int(p.getName().split("=")[1]) for p in done
+            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+
+
+def _drop_old(spark: SparkSession, output_dir: str, keep: int) -> None:
+    for epoch in sorted(_epochs(spark, output_dir))[:-keep]:
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{output_dir.rstrip('/')}/epoch={epoch}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
