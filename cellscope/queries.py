@@ -104,10 +104,11 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_measurements(spark, sf_dir)
 
 
-def engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def engineered(spark: SparkSession, sf_dir: str, mode_columns=tuple(K.PCELL_MODE_COLUMNS)) -> DataFrame:
     """Measurements after the EDA preparation: clean (B9), operator as text
-    (B7), time features (D11)."""
-    return ft.engineer_time_features(cl.operator_to_string(cl.clean(measurements(spark, sf_dir))))
+    (B7), time features (D11). Queries that use none of the mode-filled
+    columns pass none: then nothing is fitted."""
+    return ft.engineer_time_features(cl.operator_to_string(cl.clean(measurements(spark, sf_dir), mode_columns=mode_columns)))
 
 
 # ---------------------------------------------------------------------------
@@ -517,13 +518,13 @@ CATEGORY_SQL = E + "\nUNION ALL\n".join(
 @register("e2_category_counts", CATEGORY_SQL)
 def q_e2(spark, sf_dir):
     """Counts of device, operator, area, weekday, has_scell in one pass."""
-    return agg.category_counts(engineered(spark, sf_dir))
+    return agg.category_counts(engineered(spark, sf_dir, mode_columns=()))
 
 
 @register("e3_hourly_mean_target", E + "SELECT hour_of_day, operator, round(avg(target), 6) AS avg_target FROM e GROUP BY 1, 2")
 def q_e3(spark, sf_dir):
     """Mean target by hour of day and operator."""
-    return r6(agg.mean_by(engineered(spark, sf_dir)))
+    return r6(agg.mean_by(engineered(spark, sf_dir, mode_columns=())))
 
 
 @register("e4_global_stats", M + "SELECT " + ", ".join(
