@@ -22,21 +22,38 @@ def scaled_name(column: str, suffix: str = "_norm") -> str:
     return f"{column}{suffix}"
 
 
+def range_aggregates(columns: Sequence[str]) -> list[Column]:
+    """``lo<i>`` and ``hi<i>`` of each column."""
+    return [f(F.col(f"`{c}`").cast("double")).alias(f"{name}{i}")
+            for name, f in (("lo", F.min), ("hi", F.max)) for i, c in enumerate(columns)]
+
+
+#: H3 as weights of the scaled inputs: a score is a constant plus these.
+COMPONENT_WEIGHTS = {
+    "SignalScore": {"PCell_RSRP_max": K.SIGNAL_RSRP_COEF, "PCell_SNR_max": K.SIGNAL_SNR_COEF},
+    "MobilityScore": {"speed_kmh": -1.0},
+    "EnvScore": {"temperature": K.ENV_TEMPERATURE_COEF, "pressure": K.ENV_PRESSURE_COEF},
+    "CongestionPenalty": {"Traffic Jam Factor": 1.0},
+}
+
+
 def min_max_scale(df: DataFrame, columns: Sequence[str] = tuple(K.SCORE_INPUT_COLUMNS),
-                  suffix: str = "_norm") -> DataFrame:
+                  suffix: str = "_norm", ranges: Mapping[str, tuple[float | None, float | None]] | None = None) -> DataFrame:
     """H1: add ``<c>_norm = (c - min) / (max - min)`` for each column.
 
     A constant column scales to 0.5 (as Spark ML's ``MinMaxScaler`` does);
-    null stays null. Min and max skip nulls.
+    null stays null. Min and max skip nulls; ``ranges`` gives them where they
+    are known, and saves the pass that finds them.
     """
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    stats = fit(df, *[F.min(F.col(f"`{c}`").cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
-                *[F.max(F.col(f"`{c}`").cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])
+    if ranges is None:
+        stats = fit(df, *range_aggregates(cols))
+        ranges = {c: (stats[f"lo{i}"], stats[f"hi{i}"]) for i, c in enumerate(cols)}
     out = {}
-    for i, c in enumerate(cols):
-        lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
+    for c in cols:
+        lo, hi = ranges[c]
         x = F.col(f"`{c}`").cast("double")
         if lo is None:  # no value at all
             out[scaled_name(c, suffix)] = F.lit(None).cast("double")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cellscope import constants as K
 from cellscope.operators.clean import complete_cases
 from cellscope.operators.sample import hash52
-from cellscope.operators.scale import normalise_weights
+from cellscope.operators.scale import COMPONENT_WEIGHTS, normalise_weights, range_aggregates
 
 FEATURES = tuple(K.COMPONENT_COLUMNS)
 SIGNS = (1.0, 1.0, 1.0, -1.0)
@@ -79,6 +79,33 @@ def score_moments(df: DataFrame, features: Sequence[str] = FEATURES, target: str
     return data.agg(*aggs)
 
 
+def fit_inputs(df: DataFrame, columns: Sequence[str] = tuple(K.SCORE_INPUT_COLUMNS),
+               target: str = "target") -> tuple[dict[str, tuple[float | None, float | None]], DataFrame]:
+    """Ranges of the raw inputs and the moments of ``score_moments``, in one aggregate.
+
+    For rows without nulls. The component scores are linear in the scaled
+    inputs and these in the raw ones, so their covariances follow from the
+    raw covariances.
+    """
+    cols = list(columns)
+    raw = [F.col(f"`{c}`").cast("double") for c in [*cols, target]]
+    pairs = [(i, j) for i in range(len(raw)) for j in range(i, len(raw))]
+    row = df.agg(*range_aggregates(cols), *[F.covar_samp(raw[i], raw[j]).alias(f"v{i}_{j}") for i, j in pairs]).first()
+    ranges = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
+    weight = {f: {cols.index(c): w / (ranges[c][1] - ranges[c][0]) for c, w in COMPONENT_WEIGHTS[f].items()
+                  if ranges[c][0] is not None and ranges[c][1] > ranges[c][0]} for f in FEATURES}
+    weight["target"] = {len(cols): 1.0}
+
+    def cov(a: str, b: str) -> float | None:
+        terms = [u * v * row[f"v{min(i, j)}_{max(i, j)}"] for i, u in weight[a].items() for j, v in weight[b].items()
+                 if row[f"v{min(i, j)}_{max(i, j)}"] is not None]
+        return float(sum(terms)) if row["v0_0"] is not None else None
+    names = [*FEATURES]
+    out = {f"c{i}{j}": cov(names[i], names[j]) for i in range(4) for j in range(i, 4)}
+    out |= {f"t{i}": cov(names[i], "target") for i in range(4)} | {"vt": cov("target", "target")}
+    return ranges, df.sparkSession.createDataFrame([tuple(out.values())], ", ".join(f"{c} double" for c in out))
+
+
 def evaluate_candidates(candidates: DataFrame, moments: DataFrame) -> DataFrame:
     """Correlation of each candidate's score with the target (0.0 when the
     score or the target has no variance, as the analysed program does)."""

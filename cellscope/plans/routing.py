@@ -20,8 +20,8 @@ from cellscope import constants as K
 from cellscope.operators.clean import complete_cases, default_missing, select_present
 from cellscope.operators.rank import best_row, preview, top_k
 from cellscope.operators.scale import component_scores, min_max_scale, weighted_score
-from cellscope.operators.search import (best_candidate, evaluate_candidates, grid_candidates, random_candidates,
-                                        score_moments, search_history)
+from cellscope.operators.search import (best_candidate, evaluate_candidates, fit_inputs, grid_candidates, random_candidates,
+                                        search_history)
 
 SEARCH_METHODS = ("grid_search", "random_search")
 
@@ -33,8 +33,10 @@ def observe_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def prepare_features(df: DataFrame, on_missing: str = "default",
-                     count_steps: bool = False) -> tuple[DataFrame, dict[str, Observation]]:
-    """Steps B1-B3, H1, H3; with ``count_steps`` also the two counters (rows loaded, rows valid).
+                     count_steps: bool = False, with_moments: bool = False):
+    """Steps B1-B3, H1, H3: ``(featured, counters)``; with ``count_steps`` the
+    two counters (rows loaded, rows valid), with ``with_moments`` a third
+    result: the score moments, fitted together with the ranges in one pass.
 
     Counters are off by default: one over the scan keeps filters from it.
 
@@ -49,10 +51,12 @@ def prepare_features(df: DataFrame, on_missing: str = "default",
         df, counters["rows_loaded"] = observe_count(df, "rows_loaded")
     present = select_present(df, K.SCORE_REQUIRED_COLUMNS)
     valid = complete_cases(default_missing(present, [c for c in K.SCORE_REQUIRED_COLUMNS if c != "id"]))
-    scaled = min_max_scale(valid, K.SCORE_INPUT_COLUMNS)
+    ranges, moments = fit_inputs(valid) if with_moments else (None, None)
+    scaled = min_max_scale(valid, K.SCORE_INPUT_COLUMNS, ranges=ranges)
     if count_steps:
         scaled, counters["rows_valid"] = observe_count(scaled, "rows_valid")
-    return component_scores(scaled), counters
+    featured = component_scores(scaled)
+    return (featured, counters, moments) if with_moments else (featured, counters)
 
 
 @dataclass
@@ -97,11 +101,11 @@ def score_searched(df: DataFrame, method: str = "grid_search", n_points: int = K
     then score with them. ``method`` is ``grid_search`` or ``random_search``."""
     if method not in SEARCH_METHODS:
         raise ValueError(f"method must be one of {SEARCH_METHODS}, not {method!r}")
-    featured, counters = prepare_features(df, on_missing, count_steps)
+    featured, counters, moments = prepare_features(df, on_missing, count_steps, with_moments=True)
     spark = df.sparkSession
     cands = (grid_candidates(spark, n_points) if method == "grid_search"
              else random_candidates(spark, n_iterations, seed))
-    evaluated = evaluate_candidates(cands, score_moments(featured))
+    evaluated = evaluate_candidates(cands, moments)
     history = search_history(evaluated)
     best_row_ = best_candidate(evaluated).select("candidate_id", *K.WEIGHT_NAMES, "correlation").first()
     best = spark.createDataFrame([best_row_], "candidate_id bigint, w_signal double, w_mobility double, "
