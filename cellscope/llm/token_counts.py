@@ -84,6 +84,22 @@ def _counted(distinct: DataFrame, path: str) -> DataFrame:
     return distinct.mapInArrow(run, "piece string, n long, tokens long")
 
 
+def _common(counts: DataFrame) -> DataFrame:
+    """The commonest short pieces (piece, tokens), COMMON at most.
+
+    They are all pieces from some frequency on, found from a histogram of the
+    frequencies' logarithms (a few hundred rows): no task ranks pieces.
+    """
+    short = counts.where(F.length("piece") <= COMMON_CHARS).withColumn("step", F.floor(8 * F.log2("n")).cast("int"))
+    steps = sorted(((r["step"], r["count"]) for r in short.groupBy("step").count().collect()), reverse=True)
+    least, total = None, 0
+    for step, n in steps:
+        if (total := total + n) > COMMON:
+            break
+        least = step
+    return short.where(F.lit(False) if least is None else F.col("step") >= least).select("piece", "tokens")
+
+
 def token_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for each row of ``docs``.
 
@@ -95,8 +111,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     counts = written(_counted(_distinct(narrow.select("text"), path, pattern), path), "token-pieces")
-    common = written(counts.where(F.length("piece") <= COMMON_CHARS).orderBy(F.desc("n"), "piece").limit(COMMON)
-                     .select("piece", "tokens"), "token-common").toPandas()
+    common = _common(counts).toPandas()
     sent = docs.sparkSession.sparkContext.broadcast(dict(zip(common["piece"], common["tokens"].tolist())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

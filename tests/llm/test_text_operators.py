@@ -122,7 +122,7 @@ def test_token_file(spark, monkeypatch):
 
 # ---- op8 ------------------------------------------------------------------
 
-@pytest.mark.parametrize("common", [200_000, 3])
+@pytest.mark.parametrize("common", [200_000, 40, 0])
 def test_token_counts(spark, monkeypatch, common):
     monkeypatch.setattr(token_counts, "COMMON", common)
     path = public_tokenizers.path("byte_bpe_50k.json")
