@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cellscope.llm.common import held
 from cellscope.llm.pretokens import splitter
 
 #: Bytes of pieces encoded by one query, ids decoded by one query.
@@ -219,14 +220,9 @@ class Codec:
         return [b"".join(x) for x in out]
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}  # of this Python worker
-
-
 def codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _CODECS:
-        _CODECS.clear()
-        _CODECS[path, pattern] = Codec(path, pattern)
-    return _CODECS[path, pattern]
+    """This Python worker's codec."""
+    return held(("byte_bpe", path, pattern), lambda: Codec(path, pattern))
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:

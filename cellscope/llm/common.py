@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
@@ -17,6 +18,22 @@ SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_HELD: dict = {}  # of one Python worker
+
+
+def held(key, make):
+    """``make()``, kept by this Python worker for ``key`` until another model is asked for.
+
+    Workers serve many stages: one that holds a model and its caches for every
+    operator would outgrow its executor.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 _SHIPPED: set[str] = set()
 
 

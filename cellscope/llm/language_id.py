@@ -27,7 +27,7 @@ PIECE_WORDS = 400
 #: Words a language that the learned lexicon holds.
 LEXICON_WORDS = 5000
 #: Words scored at once, and words whose scores are kept between batches.
-CHUNK_WORDS, CACHE_WORDS = 2_000_000, 400_000
+CHUNK_WORDS, CACHE_WORDS = 600_000, 200_000
 
 
 def letters(token: str) -> str:
@@ -110,6 +110,7 @@ class Scorer:
         self._learn(set(chain.from_iterable(tokens)))
         each = [np.fromiter(map(self.at.__getitem__, t), np.int64, len(t)) for t in tokens]
         each = [x[x >= 0] for x in each]
+        tokens.clear()
         lay = crf.Layout(np.array([len(x) for x in each], np.int64))
         gamma, _, _ = crf.forward_backward(self.scores[np.concatenate(each)], lay, self.model.trans, self.model.start)
         sums = np.stack([np.bincount(lay.seq, g, len(each)) for g in gamma.T], axis=1)
@@ -150,9 +151,6 @@ def fit(train: DataFrame, per_lang: int = SAMPLE_DOCS) -> Model | None:
     return Model(list(picked["text"]), list(picked["lang"])) if len(picked) else None
 
 
-_SCORERS: dict[str, Scorer] = {}  # one for each Python worker
-
-
 def predict(spark, model: Model | None, text: Column) -> Column:
     """struct(lang_pred, score) of each whole text.
 
@@ -168,10 +166,9 @@ def predict(spark, model: Model | None, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        from cellscope.llm.language_id import _SCORERS, Scorer
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(sent.value)
+        from cellscope.llm.common import held
+        from cellscope.llm.language_id import Scorer
         for part in parts:
-            yield pd.DataFrame(_SCORERS[name](part), columns=["lang_pred", "score"])
+            scorer = held(("language_id", name), lambda: Scorer(sent.value))
+            yield pd.DataFrame(scorer(part), columns=["lang_pred", "score"])
     return run(text)

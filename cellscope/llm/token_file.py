@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import written
+from cellscope.llm.common import held, written
 from cellscope.llm.range_coder import BLOCK, LANES, decode_blocks, encode_blocks
 from cellscope.llm.token_counts import _tokenizer
 
@@ -69,9 +68,9 @@ class WordEncoder:
         yield from (np.frombuffer(b, np.uint32) for b in self._chunk(part))
 
 
-@lru_cache(1)
 def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    """This Python worker's encoder."""
+    return held(("word_bpe", path), lambda: WordEncoder(path))
 
 
 def _pack(doc_ids: list[int | None], docs: list[np.ndarray]) -> tuple[int, bytes]:

@@ -239,9 +239,6 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other: in
     return Model(list(rows["text"]), [int(x) for x in rows["toxic"]])
 
 
-_MODELS: dict[str, Model] = {}  # one for each Python worker, with its cache
-
-
 def score(spark, model: Model | None, text: Column) -> Column:
     """Toxicity from 0 to 1 of each whole text; null and empty texts as a text without matches. Without a model: 0."""
     if model is None:
@@ -251,10 +248,8 @@ def score(spark, model: Model | None, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from cellscope.llm.toxicity import _MODELS
-        if name not in _MODELS:
-            _MODELS.clear()
-            _MODELS[name] = sent.value
+        from cellscope.llm.common import held
         for part in parts:
-            yield pd.Series([_MODELS[name].score(t) for t in part], dtype=float)
+            own = held(("toxicity", name), lambda: sent.value)
+            yield pd.Series([own.score(t) for t in part], dtype=float)
     return run(text)
