@@ -1,16 +1,19 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Largest inner product becomes nearest direction: vectors are scaled by the
-largest norm and get one more component that makes them unit vectors. A table
-turns them by three rounds of random signs and a fast Hadamard transform; a
-point lies in the bucket of its nearest signed axis. A query probes, in every
-table, all axes on which its own coordinate reaches PROBE_AT standard
-deviations. Points met in at least VOTES tables are candidates, and are ranked
-by their exact inner products.
+Largest inner product becomes nearest direction band by band: vectors whose
+norms agree within a factor of BAND are scaled by the largest norm among them
+and get one more component that makes them unit vectors. A table turns them by
+three rounds of random signs and a fast Hadamard transform; a point lies in the
+bucket of its nearest signed axis. A query probes, in every table, all axes on
+which its own coordinate reaches PROBE_AT standard deviations. Points met in at
+least VOTES tables are candidates, and are ranked by their exact inner products.
+A long vector ranks high at a wide angle too: where a band's vectors would reach
+the best scores at cosines that so many votes do not find, fewer are asked for.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +26,8 @@ from cellscope.llm.grid import Grid, best, finite_vectors, matrix, top
 
 #: Tables, probing threshold, tables that must agree: recall over 0.9 of the 20 nearest for random directions.
 TABLES, PROBE_AT, VOTES = 24, 1.4, 3
+#: Factor between the norms of a band at most; share of a band's points that its votes find, at the least cosine that counts.
+BAND, FOUND = 1.1, 0.95
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -52,14 +57,44 @@ def axis_of(y: np.ndarray) -> np.ndarray:
     return i + y.shape[1] * (y[np.arange(len(y)), i] < 0)
 
 
-def _search(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, norm: float, k: int,
+def norms(x: np.ndarray) -> np.ndarray:
+    """Length of each row, without overflow of the squares; no row is zero."""
+    most = np.abs(x).max(1, keepdims=True)
+    return most[:, 0] * np.linalg.norm(x / most, axis=1)
+
+
+def padded_width(width: int) -> int:
+    return 1 << int(width).bit_length()  # over the dimension: one more component at least
+
+
+def least_cosines(width: int, tables: int, probe_at: float, votes: int, seed: int) -> np.ndarray:
+    """Entry v - 1: the least cosine to a query at which FOUND of the points get v votes (2: none does).
+
+    A turned point's largest coordinate is that of ``width`` normal ones; the
+    query's coordinate there is normal about cosine times it.
+    """
+    largest = np.abs(np.random.default_rng(seed).normal(size=(1000, width))).max(1)
+    out = np.full(votes, 2.0)
+    for c in np.arange(0.99, -0.005, -0.01):
+        p = np.mean([0.5 * math.erfc((probe_at - c * m) / math.sqrt(2 * (1 - c * c))) for m in largest])
+        missed = np.cumsum([math.comb(tables, j) * p ** j * (1 - p) ** (tables - j) for j in range(votes)])
+        out[1 - missed >= FOUND] = c
+    return out
+
+
+def _search(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, enough: int, least: np.ndarray,
             tables: int, probe_at: float, votes: int, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    width = 1 << int(points.shape[1]).bit_length()  # over the dimension: one more component at least
+    """(query's place, ids, scores) of the block's best. A point below the block's ``enough``-th best score counts for nothing."""
+    width = padded_width(points.shape[1])
     def padded(x: np.ndarray, last: np.ndarray) -> np.ndarray:
         return np.concatenate([x, np.maximum(0, last)[:, None], np.zeros((len(x), width - x.shape[1] - 1))], axis=1)
-    unit = points / norm
+    norm, length = norms(points), norms(queries)
+    _, band = np.unique(np.floor(np.log(norm) / np.log(BAND)), return_inverse=True)
+    longest = np.zeros(band.max() + 1)
+    np.maximum.at(longest, band, norm)
+    unit = points / longest[band][:, None]
     x = padded(unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(1))))
-    q = padded(queries / np.linalg.norm(queries, axis=1)[:, None], np.zeros(len(queries)))
+    q = padded(queries / length[:, None], np.zeros(len(queries)))
     buckets = [axis_of(y) for y in rotations(x, tables, seed)]
     for lo in range(0, len(q), 256):
         met = np.zeros((len(q[lo:lo + 256]), len(x)), np.uint8)
@@ -67,9 +102,16 @@ def _search(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.nd
             probed = np.concatenate([y, -y], axis=1) >= probe_at / np.sqrt(width)
             met += probed[:, bucket]
         for i, row in enumerate(met, lo):
-            at = np.nonzero((row >= votes) & (ids != own[i]))[0]
+            others = ids != own[i]
+            at = np.nonzero((row >= votes) & others)[0]
+            score = points[at] @ queries[i]
+            reach = np.partition(score, len(score) - enough)[len(score) - enough] if len(score) >= enough else -np.inf
+            # Votes that find the band's points at the cosine from which they reach that score; none: all are candidates.
+            need = np.searchsorted(least, reach / length[i] / longest, side="right")
+            if need.min() < votes:
+                at = np.nonzero((row >= need[band]) & others)[0]
             if len(at) < k:  # too few for a full list: all rows of the block are candidates
-                at = np.nonzero(ids != own[i])[0]
+                at = np.nonzero(others)[0]
             score = points[at] @ queries[i]
             first = best(score, ids[at], k)
             yield i, ids[at[first]], score[first]
@@ -89,19 +131,24 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     Every row is hashed, in every table. A block builds the tables of its
     points; no list of candidates leaves it, only its k best for each query.
+    Norms may differ: see the module. A block is a random share of the points,
+    so it has few of a query's k best; the score of about that many of its own
+    tells at which cosines a band's points still count.
     """
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     points = written(finite_vectors(vectors, id_col, vector_col).withColumn("norm", norm).where("norm > 0"), "ann-points")
-    n, longest, width, n_queries = points.agg(F.count(F.lit(1)), F.max("norm"), F.max(F.size("v")),
-                                              F.count(F.when(is_query(F.col("vec_id")), 1))).first()
+    n, width, n_queries = points.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count(F.when(is_query(F.col("vec_id")), 1))).first()
     grid = Grid(n, n_queries)
+    share = k / grid.shards
+    enough = min(k, math.ceil(share + 3 * math.sqrt(share) + 3))  # more of the k best are in one block about once in 10^4 blocks
+    least = least_cosines(padded_width(width or 0), tables, probe_at, votes, seed)
     queries = points.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "v")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = [] if left.empty or right.empty else [
             (right["query_id"].iat[i], vec, s) for i, vecs, scores in _search(
                 matrix(left["v"], width), left["vec_id"].to_numpy(), matrix(right["v"], width), right["query_id"].to_numpy(),
-                longest, k, tables, probe_at, votes, seed) for vec, s in zip(vecs, scores)]
+                k, enough, least, tables, probe_at, votes, seed) for vec, s in zip(vecs, scores)]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
     found = grid.points(points.select("vec_id", "v")).groupBy("cell").cogroup(grid.queries(queries).groupBy("cell")).applyInPandas(
