@@ -1,8 +1,8 @@
 """Toxicity by a learned lexicon, matched with its misspellings, in context.
 
-Terms are words that toxic examples use in many different contexts and other
-examples hardly at all, and stems that several such words begin with. They
-form a trie; a word's Levenshtein automaton (as
+Terms are words that toxic examples use outside quotations in several different
+contexts and other examples hardly at all, and stems that several such words
+begin with. Each is judged by its own numbers of texts. They form a trie; a word's Levenshtein automaton (as
 bit masks, a mask for each number of edits) is run along the trie, which finds
 all terms within the allowed distance. A window of words around each match
 tells quotation from abuse: quotation marks about it, and the words' learned
@@ -11,6 +11,7 @@ log-odds. A logistic regression on the counts of matches gives the score.
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from os.path import commonprefix
@@ -26,6 +27,8 @@ SAMPLE_TOXIC, SAMPLE_OTHER = 1500, 3000
 WINDOW = 8
 #: Different contexts that a term has at least, how much likelier toxic examples use it, terms at most.
 LEAST_CONTEXTS, LEAST_ODDS, TERMS = 4, 20.0, 500
+#: Share of words among the terms that toxic examples have by mere chance, at most about; share of words that makes contexts alike.
+FALSE_TERMS, ALIKE = 0.05, 2 / 3
 #: Lengths of stems; words and contexts that a stem has at least.
 STEM_CHARS, STEM_WORDS, STEM_CONTEXTS = (4, 5, 6), 3, 12
 CACHE_WORDS = 400_000
@@ -104,6 +107,79 @@ class Trie:
         return found
 
 
+def _outside(tokens: list[str]) -> list[int]:
+    """Places that are not within a quotation (see ``Model._quoted``)."""
+    marks = [sum(c in _MARKS for c in t) for t in tokens]
+    if not any(marks):
+        return list(range(len(tokens)))
+    sums = [0]
+    for m in marks:
+        sums.append(sums[-1] + m)
+    return [i for i, t in enumerate(tokens)
+            if (sums[i] - sums[max(0, i - WINDOW)] + (t[:1] in _MARKS)) % 2 == 0
+            or sums[min(len(tokens), i + 1 + WINDOW)] - sums[i + 1] + (t[-1:] in _MARKS) == 0]
+
+
+def _by_chance(n: int, of: int, share: float) -> float:
+    """Chance that at least n of ``of`` texts are toxic if each is with chance ``share``."""
+    if not 0 < share < 1:
+        return float(share >= 1 or n == 0)
+    each = (math.lgamma(of + 1) - math.lgamma(i + 1) - math.lgamma(of - i + 1) + i * math.log(share) + (of - i) * math.log1p(-share)
+            for i in range(n, of + 1))
+    return min(1.0, sum(map(math.exp, each)))
+
+
+def _contexts(texts: list[list[str]], least: dict[str, int]) -> set[str]:
+    """Words and beginnings of words found in ``least`` texts with different windows; near copies of a text are alike."""
+    found: dict[str, list[list[frozenset]]] = {u: [] for u in least}
+    sizes = (None, *STEM_CHARS)
+    for ws in texts:
+        words = [word_of(t) for t in ws]
+        places = defaultdict(list)
+        for i in _outside(ws):
+            for u in {words[i][:n] for n in sizes if n is None or len(words[i]) >= n}:
+                if u in found and len(found[u]) < least[u]:
+                    places[u].append(i)
+        for u, at in places.items():
+            windows = [frozenset(Model._window(words, i)) for i in at]
+            if not any(len(a & b) >= ALIKE * max(len(a), len(b)) for a in windows for kept in found[u] for b in kept):
+                found[u].append(windows)
+    return {u for u, kept in found.items() if len(kept) >= least[u]}
+
+
+def _lexicon(tokens: list[list[str]], labels: list[int]) -> tuple[list[str], list[str], set[str]]:
+    """Terms, stems, and all words of other examples. Copies of a text count once."""
+    texts: list[dict[tuple[str, ...], None]] = [{}, {}]
+    for ws, y in zip(tokens, labels):
+        texts[y][tuple(ws)] = None
+    n, clean = [Counter(), Counter()], set()
+    for y in (0, 1):
+        for ws in texts[y]:
+            n[y].update({w for i in _outside(ws) if len(w := word_of(ws[i])) > 2})
+    for ws in texts[0]:
+        clean.update(w for w in map(word_of, ws) if len(w) > 2)
+    docs = [max(1, len(t)) for t in texts]
+    strong = {w: _by_chance(k, k + n[0][w], docs[1] / sum(docs)) for w, k in n[1].items()
+              if k >= LEAST_CONTEXTS and (k / docs[1]) / ((n[0][w] + 0.1) / docs[0]) >= LEAST_ODDS}
+    # As many words are tested as are in enough texts of either kind; a term stands if few like it are expected by chance.
+    tested = sum(k + n[0][w] >= LEAST_CONTEXTS for w, k in n[1].items()) + sum(k >= LEAST_CONTEXTS for w, k in n[0].items() if w not in n[1])
+    chances = sorted(strong.values())
+    limit = max((c for i, c in enumerate(chances, 1) if c * tested <= FALSE_TERMS * i), default=-1.0)
+    terms = [w for w, c in strong.items() if c <= limit]
+    # Beginnings that only toxic examples use: several words, many contexts, no shorter one does.
+    taken = {w[:k] for w in n[0] for k in STEM_CHARS}
+    begun = Counter(w[:k] for w in n[1] for k in STEM_CHARS if len(w) >= k and w[:k] not in taken)
+    stems = [p for p, k in begun.items() if k >= STEM_WORDS]
+    least = dict.fromkeys(stems, STEM_CONTEXTS)
+    good = _contexts(list(texts[1]), least)
+    different = _contexts(list(texts[1]), dict.fromkeys(terms, LEAST_CONTEXTS))
+    short = [p for p in good if not any(p[:k] in good for k in STEM_CHARS if k < len(p))]
+    # As long as all its words agree: a short stem would meet words of other texts.
+    stems = sorted({commonprefix([w for w in n[1] if w.startswith(p)]) for p in short})[:TERMS]
+    covered = Trie([], stems).stem
+    return sorted((w for w in terms if w in different and not covered(w)), key=lambda w: (-n[1][w], w))[:TERMS], stems, clean
+
+
 class Model:
     """Lexicon, innocent look-alikes, context weights and regression weights, learned from examples."""
 
@@ -111,25 +187,11 @@ class Model:
         self._bound = set()
         self.hits: dict[str, int] = {}
         tokens = [t.split() for t in texts]
-        contexts, docs = [defaultdict(set), defaultdict(set)], [max(1, labels.count(0)), max(1, labels.count(1))]
-        for ws, y in zip(tokens, labels):
-            before = ""
-            for w in map(word_of, ws):
-                if len(w) > 2:
-                    contexts[y][w].add(before)
-                before = w
-        odds = {w: (len(c) / docs[1]) / ((len(contexts[0].get(w, ())) + 0.1) / docs[0])
-                for w, c in contexts[1].items() if len(c) >= LEAST_CONTEXTS}
-        strong = sorted((w for w, o in odds.items() if o >= LEAST_ODDS), key=lambda w: (-len(contexts[1][w]), w))
-        # Words that only a group of copies shares have few contexts next to the real terms.
-        floor = len(contexts[1][strong[0]]) / 10 if strong else 0
-        self.stems = self._stems(contexts)
-        covered = Trie([], self.stems).stem
-        self.terms = [w for w in strong if len(contexts[1][w]) >= floor and not covered(w)][:TERMS]
+        self.terms, self.stems, clean = _lexicon(tokens, labels)
         self.trie = Trie(self.terms, self.stems)
         # What other examples write is no misspelling.
         own = set(self.terms)
-        self.innocent = {w for w in contexts[0] if w not in own and self.trie.nearest(w)}
+        self.innocent = {w for w in clean if w not in own and self.trie.nearest(w)}
         around = [Counter(), Counter()]
         for ws, y in zip(tokens, labels):
             for i, _, _ in self.matches(ws):
@@ -141,21 +203,6 @@ class Model:
         x = np.array([self.features(ws) for ws in tokens]).reshape(len(tokens), -1)
         self.weights = _logistic(x, np.array(labels, float))
 
-    @staticmethod
-    def _stems(contexts: list[dict[str, set[str]]]) -> list[str]:
-        """Beginnings that only toxic examples use: several words, many contexts, no shorter one does."""
-        clean = {w[:n] for w in contexts[0] for n in STEM_CHARS}
-        words, about = Counter(), defaultdict(set)
-        for w, c in contexts[1].items():
-            for n in STEM_CHARS:
-                if len(w) >= n and w[:n] not in clean:
-                    words[w[:n]] += 1
-                    about[w[:n]] |= c
-        good = {p for p, n in words.items() if n >= STEM_WORDS and len(about[p]) >= STEM_CONTEXTS}
-        short = [p for p in good if not any(p[:n] in good for n in STEM_CHARS if n < len(p))]
-        # As long as all its words agree: a short stem would meet words of other texts.
-        return sorted({commonprefix([w for w in contexts[1] if w.startswith(p)]) for p in short})[:TERMS]
-
     def _kind(self, token: str) -> int:
         """0: no match, 1: a term, 2: a misspelled term."""
         word = word_of(token)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 
-from cellscope.llm import cross_polytope
+from cellscope.llm import cross_polytope, toxicity
+from tests.llm.fixtures import random_text
 
 
 # ---- op6 ------------------------------------------------------------------
@@ -22,3 +25,37 @@ def test_cross_polytope_recall_with_different_norms(spark, lengths):
     np.fill_diagonal(scores, -np.inf)
     want = {q: set(np.argsort(-scores[q])[:20].tolist()) for q in range(0, 2000, 40)}
     assert sum(r.vec_id in want[r.query_id] for r in got) >= 0.97 * 20 * len(want) and len(got) == 20 * len(want)
+
+
+# ---- op4 ------------------------------------------------------------------
+
+def labelled(forms: dict[str, int], clean: int = 800, seed: int = 2):
+    """Texts and labels: ``clean`` texts without a match, and for each term so many toxic ones."""
+    rng = random.Random(seed)
+    toxic = [w for w, n in forms.items() for _ in range(n)]
+    texts = [random_text(rng, 40, "aeioust") for _ in range(clean + len(toxic))]
+    for i, put in enumerate(toxic, clean):
+        words = texts[i].split()
+        k = rng.randrange(5, 35)
+        words[k:k] = put.split()
+        texts[i] = " ".join(words)
+    return texts, [0] * clean + [1] * len(toxic)
+
+
+def test_rare_terms_and_terms_after_one_word():
+    model = toxicity.Model(*labelled({"blockhead": 400, "nitwit": 20, "you wretch": 30}))
+    assert {"blockhead", "nitwit", "wretch"} <= set(model.terms)
+    plain = random_text(random.Random(9), 40, "aeioust")
+    assert min(model.score(f"{plain} {w} {plain}") for w in ("nitwit", "wretch")) > model.score(f"{plain} {plain}") + 0.3
+
+
+def test_words_of_copies_are_no_terms():
+    texts, labels = labelled({"blockhead": 60})
+    rng = random.Random(4)
+    copy = (random_text(rng, 30, "aeioust") + " gadfly " + random_text(rng, 30, "aeioust")).split()
+    for i in range(60):  # near copies: a word or two differ; and exact ones
+        changed = [w if w == "gadfly" or rng.random() > 0.03 else random_text(rng, 1) for w in copy]
+        texts += [" ".join(changed), " ".join(copy)]
+        labels += [1, 1]
+    model = toxicity.Model(texts, labels)
+    assert "blockhead" in model.terms and "gadfly" not in model.terms
