@@ -45,37 +45,41 @@ def edits_allowed(term: str) -> int:
 
 
 class Trie:
-    """Terms as nested dicts; "" holds the term that ends at a node. Stems match without edits."""
+    """Terms as nested dicts; "" holds the term that ends at a node, None the stem: it matches a word's beginning."""
 
     def __init__(self, terms: list[str], stems: list[str] = ()) -> None:
         self.root: dict = {}
-        self.most = max(map(edits_allowed, terms), default=0)
+        self.most = max(map(edits_allowed, [*terms, *stems]), default=0)
         self.stems, self.stem_sizes = set(stems), sorted({len(x) for x in stems})
         self.parts: set[tuple[int, str]] = set()
-        for t in terms:
+        misspelled = [x for x in stems if edits_allowed(x)]
+        for t, end in [*((t, "") for t in terms), *((x, None) for x in misspelled)]:
             node = self.root
             for c in t:
                 node = node.setdefault(c, {})
-            node[""] = t
+            node[end] = t
             # Of k + 1 parts of a term, k edits leave one as it is.
             k = edits_allowed(t)
             for i in range(k + 1):
                 a, b = len(t) * i // (k + 1), len(t) * (i + 1) // (k + 1)
                 self.parts |= {(a + d, t[a:b]) for d in range(-min(a, k), k + 1)}  # moved by k places at most
         self.part_sizes = sorted({len(x) for _, x in self.parts})
-        sizes = [(len(t) - edits_allowed(t), len(t) + edits_allowed(t)) for t in terms]
-        self.least, self.longest = min((a for a, _ in sizes), default=1), max((b for _, b in sizes), default=0)
+        self.least = min((len(t) - edits_allowed(t) for t in [*terms, *misspelled]), default=1)
+        self.longest = float("inf") if misspelled else max((len(t) + edits_allowed(t) for t in terms), default=0)
 
     def stem(self, word: str) -> str | None:
         return next((word[:n] for n in self.stem_sizes if word[:n] in self.stems), None)
 
     def may_match(self, word: str) -> bool:
-        """False only if no term is within its distance."""
+        """False only if no term, and no stem of the word's beginning, is within its distance."""
         return self.least <= len(word) <= self.longest and not all(
             self.parts.isdisjoint([(i, word[i:i + n]) for i in range(len(word) - n + 1)]) for n in self.part_sizes)
 
     def nearest(self, word: str) -> tuple[str, int] | None:
-        """The term with the fewest edits (ties: code point order) among those within their distance."""
+        """The term or stem with the fewest edits (ties: code point order) among those within their distance.
+
+        A stem's edits are those to the beginning of the word that is nearest to it.
+        """
         if (stem := self.stem(word)) is not None:
             return stem, 0
         if not self.may_match(word):
@@ -91,8 +95,10 @@ class Trie:
         stack = [(self.root, states)]
         while stack:
             node, states = stack.pop()
-            if (term := node.get("")) is not None:
-                e = next((e for e, s in enumerate(states) if s & full), None)
+            for end, places in (("", full), (None, 2 * full - 1)):
+                if (term := node.get(end)) is None:
+                    continue
+                e = next((e for e, s in enumerate(states) if s & places), None)
                 if e is not None and e <= edits_allowed(term) and (found is None or (e, term) < (found[1], found[0])):
                     found = (term, e)
             for c, child in node.items():
@@ -176,8 +182,7 @@ def _lexicon(tokens: list[list[str]], labels: list[int]) -> tuple[list[str], lis
     short = [p for p in good if not any(p[:k] in good for k in STEM_CHARS if k < len(p))]
     # As long as all its words agree: a short stem would meet words of other texts.
     stems = sorted({commonprefix([w for w in n[1] if w.startswith(p)]) for p in short})[:TERMS]
-    covered = Trie([], stems).stem
-    return sorted((w for w in terms if w in different and not covered(w)), key=lambda w: (-n[1][w], w))[:TERMS], stems, clean
+    return sorted((w for w in terms if w in different), key=lambda w: (-n[1][w], w))[:TERMS], stems, clean
 
 
 class Model:

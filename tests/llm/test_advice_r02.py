@@ -9,6 +9,7 @@ import pytest
 
 from cellscope.llm import cross_polytope, toxicity
 from tests.llm.fixtures import random_text
+from tests.llm.test_models_and_mixing import distance
 
 
 # ---- op6 ------------------------------------------------------------------
@@ -59,3 +60,23 @@ def test_words_of_copies_are_no_terms():
         labels += [1, 1]
     model = toxicity.Model(texts, labels)
     assert "blockhead" in model.terms and "gadfly" not in model.terms
+
+
+def test_misspellings_of_stems_and_their_words():
+    model = toxicity.Model(*labelled({"blockhead": 30, "blockheads": 30, "blockheaded": 30, "bockhead": 2, "bl0ckheads": 2}))
+    assert model.stems == ["blockhead"] and {"blockheads", "blockheaded"} <= set(model.terms)
+    plain = random_text(random.Random(9), 40, "aeioust")
+    for w in ("blokhead", "6lockhead", "blokheads", "blockheddish"):
+        assert model._kind(w) == 2 and model.score(f"{plain} {w} {plain}") > model.score(f"{plain} {plain}")
+
+
+def test_stems_within_edits_equal_brute_force():
+    rng = random.Random(6)
+    word = lambda least, most: "".join(rng.choices("abc", k=rng.randint(least, most)))
+    terms, stems = sorted({word(3, 11) for _ in range(10)}), sorted({word(4, 10) for _ in range(6)})
+    trie = toxicity.Trie(terms, stems)
+    for w in (word(1, 14) for _ in range(1500)):
+        near = [(distance(w, t), t) for t in terms] + [(min(distance(w[:i], x) for i in range(len(w) + 1)), x) for x in stems]
+        near = [(e, t) for e, t in near if e <= toxicity.edits_allowed(t)]
+        got = trie.nearest(w)
+        assert (got and got[1]) == (min(near)[0] if near else None)
