@@ -15,6 +15,7 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from os.path import commonprefix
+from unicodedata import category
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,8 @@ FALSE_TERMS, ALIKE = 0.05, 2 / 3
 STEM_CHARS, STEM_WORDS, STEM_CONTEXTS = (4, 5, 6), 3, 12
 CACHE_WORDS = 400_000
 _EDGE = ".,;:!?()[]{}<>\"'“”«»„‘’*_-…"
+#: Signs that stand for letters: they do not end a word.
+_LEET = frozenset("!@$€£|+*#%&")
 _MARKS = frozenset("\"“”«»„")
 
 
@@ -40,6 +43,36 @@ def word_of(token: str) -> str:
     return token.strip(_EDGE).lower()
 
 
+def _is_letter(c: str) -> bool:
+    return c.isalnum() or category(c)[0] == "M"  # marks are parts of letters
+
+
+def parts_of(token: str) -> list[tuple[str, list[str]]]:
+    """The words of a token cut at its signs, signs like letters kept inside, each with its runs of letters and digits."""
+    word = word_of(token)
+    if word.isalnum() or not word:
+        return [(word, [word])] if word else []
+    out = []
+    for piece in "".join(c if _is_letter(c) or c in _LEET else " " for c in word).split():
+        if runs := "".join(c if _is_letter(c) else " " for c in piece).split():
+            first, last = piece.index(runs[0]), piece.rindex(runs[-1]) + len(runs[-1])
+            out.append((piece[first:last], runs))
+    return out
+
+
+def words_of(token: str) -> set[str]:
+    """All words that a token holds: the whole, and its parts."""
+    return {w for piece, runs in parts_of(token) for w in (piece, *runs)} | ({word_of(token)} - {""})
+
+
+class Words(dict):
+    """``words_of`` of the tokens of a sample, each worked out once."""
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        self[token] = found = tuple(words_of(token))
+        return found
+
+
 def edits_allowed(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
@@ -135,7 +168,7 @@ def _by_chance(n: int, of: int, share: float) -> float:
     return min(1.0, sum(map(math.exp, each)))
 
 
-def _contexts(texts: list[list[str]], least: dict[str, int]) -> set[str]:
+def _contexts(texts: list[tuple[str, ...]], least: dict[str, int], words_in: Words) -> set[str]:
     """Words and beginnings of words found in ``least`` texts with different windows; near copies of a text are alike."""
     found: dict[str, list[list[frozenset]]] = {u: [] for u in least}
     sizes = (None, *STEM_CHARS)
@@ -143,7 +176,7 @@ def _contexts(texts: list[list[str]], least: dict[str, int]) -> set[str]:
         words = [word_of(t) for t in ws]
         places = defaultdict(list)
         for i in _outside(ws):
-            for u in {words[i][:n] for n in sizes if n is None or len(words[i]) >= n}:
+            for u in {w[:n] for w in words_in[ws[i]] for n in sizes if n is None or len(w) >= n}:
                 if u in found and len(found[u]) < least[u]:
                     places[u].append(i)
         for u, at in places.items():
@@ -158,12 +191,12 @@ def _lexicon(tokens: list[list[str]], labels: list[int]) -> tuple[list[str], lis
     texts: list[dict[tuple[str, ...], None]] = [{}, {}]
     for ws, y in zip(tokens, labels):
         texts[y][tuple(ws)] = None
-    n, clean = [Counter(), Counter()], set()
+    n, clean, words_in = [Counter(), Counter()], set(), Words()
     for y in (0, 1):
         for ws in texts[y]:
-            n[y].update({w for i in _outside(ws) if len(w := word_of(ws[i])) > 2})
+            n[y].update({w for t in {ws[i] for i in _outside(ws)} for w in words_in[t] if len(w) > 2})
     for ws in texts[0]:
-        clean.update(w for w in map(word_of, ws) if len(w) > 2)
+        clean.update(w for t in set(ws) for w in words_in[t] if len(w) > 2)
     docs = [max(1, len(t)) for t in texts]
     strong = {w: _by_chance(k, k + n[0][w], docs[1] / sum(docs)) for w, k in n[1].items()
               if k >= LEAST_CONTEXTS and (k / docs[1]) / ((n[0][w] + 0.1) / docs[0]) >= LEAST_ODDS}
@@ -174,14 +207,13 @@ def _lexicon(tokens: list[list[str]], labels: list[int]) -> tuple[list[str], lis
     terms = [w for w, c in strong.items() if c <= limit]
     # Beginnings that only toxic examples use: several words, many contexts, no shorter one does.
     taken = {w[:k] for w in n[0] for k in STEM_CHARS}
-    begun = Counter(w[:k] for w in n[1] for k in STEM_CHARS if len(w) >= k and w[:k] not in taken)
+    begun = Counter(w[:k] for w in n[1] if all(map(_is_letter, w)) for k in STEM_CHARS if len(w) >= k and w[:k] not in taken)
     stems = [p for p, k in begun.items() if k >= STEM_WORDS]
-    least = dict.fromkeys(stems, STEM_CONTEXTS)
-    good = _contexts(list(texts[1]), least)
-    different = _contexts(list(texts[1]), dict.fromkeys(terms, LEAST_CONTEXTS))
+    good = _contexts(list(texts[1]), dict.fromkeys(stems, STEM_CONTEXTS), words_in)
+    different = _contexts(list(texts[1]), dict.fromkeys(terms, LEAST_CONTEXTS), words_in)
     short = [p for p in good if not any(p[:k] in good for k in STEM_CHARS if k < len(p))]
     # As long as all its words agree: a short stem would meet words of other texts.
-    stems = sorted({commonprefix([w for w in n[1] if w.startswith(p)]) for p in short})[:TERMS]
+    stems = sorted({commonprefix([w for w in n[1] if w.startswith(p) and all(map(_is_letter, w))]) for p in short})[:TERMS]
     return sorted((w for w in terms if w in different), key=lambda w: (-n[1][w], w))[:TERMS], stems, clean
 
 
@@ -190,7 +222,8 @@ class Model:
 
     def __init__(self, texts: list[str], labels: list[int]) -> None:
         self._bound = set()
-        self.hits: dict[str, int] = {}
+        self._known: dict[str, int] = {}
+        self.hits: dict[str, list[int]] = {}
         tokens = [t.split() for t in texts]
         self.terms, self.stems, clean = _lexicon(tokens, labels)
         self.trie = Trie(self.terms, self.stems)
@@ -208,25 +241,36 @@ class Model:
         x = np.array([self.features(ws) for ws in tokens]).reshape(len(tokens), -1)
         self.weights = _logistic(x, np.array(labels, float))
 
-    def _kind(self, token: str) -> int:
+    def _kind(self, word: str) -> int:
         """0: no match, 1: a term, 2: a misspelled term."""
-        word = word_of(token)
-        if word in self.innocent:
-            return 0
-        near = self.trie.nearest(word) if word else None
-        return 0 if near is None else 1 if near[1] == 0 else 2
+        if word not in self._known:
+            near = None if word in self.innocent else self.trie.nearest(word)
+            self._known[word] = 0 if near is None else 1 if near[1] == 0 else 2
+        return self._known[word]
+
+    def _kinds(self, token: str) -> list[int]:
+        """The kind of each match in a token."""
+        out = []
+        for piece, runs in parts_of(token):
+            whole = self._kind(piece)
+            inside = [kind for w in runs if (kind := self._kind(w))] if len(runs) > 1 else []
+            # A word with signs inside is one match, unless a run of its letters fits better.
+            out += inside if 1 in inside and whole != 1 else [whole] if whole else inside
+        if not out and (word := word_of(token)) and (whole := self._kind(word)):
+            out = [whole]
+        return out
 
     def matches(self, tokens: list[str]) -> list[tuple[int, int, bool]]:
         """(place, kind, quoted) of each match."""
         if len(self._bound) > CACHE_WORDS:
-            self._bound, self.hits = set(), {}
+            self._bound, self.hits, self._known = set(), {}, {}
         new = set(tokens) - self._bound
         for t in new:
-            if kind := self._kind(t):
-                self.hits[t] = kind
+            if kinds := self._kinds(t):
+                self.hits[t] = kinds
         self._bound |= new
         hits = self.hits
-        return [(i, hits[t], self._quoted(tokens, i)) for i, t in enumerate(tokens) if t in hits]
+        return [(i, kind, quoted) for i, t in enumerate(tokens) if t in hits for quoted in (self._quoted(tokens, i),) for kind in hits[t]]
 
     @staticmethod
     def _window(tokens: list[str], i: int) -> list[str]:
@@ -256,7 +300,7 @@ class Model:
         return 1 / (1 + float(np.exp(-np.clip(z, -30, 30))))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_bound": set(), "hits": {}}
+        return self.__dict__ | {"_bound": set(), "hits": {}, "_known": {}}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30) -> np.ndarray:

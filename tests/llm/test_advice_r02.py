@@ -80,3 +80,14 @@ def test_stems_within_edits_equal_brute_force():
         near = [(e, t) for e, t in near if e <= toxicity.edits_allowed(t)]
         got = trie.nearest(w)
         assert (got and got[1]) == (min(near)[0] if near else None)
+
+
+def test_words_within_tokens():
+    assert toxicity.words_of('"idiot###,') == {"idiot###", "idiot"}
+    assert {"idiot", "loser"} <= toxicity.words_of("Idiot/loser") and {"you", "idiot"} <= toxicity.words_of("you;idiot")
+    assert "id!ot" in toxicity.words_of("id!ot###") and toxicity.words_of("--") == set()
+    model = toxicity.Model(*labelled({"blockhead": 60, "nitwit": 60}))
+    plain = random_text(random.Random(9), 40, "aeioust")
+    for token in ("blockhead###", "nitwit$$$", "blockhead/nitwit", "you;nitwit", "nitwit=="):
+        assert set(model._kinds(token)) == {1} and model.score(f"{plain} {token} {plain}") > model.score(f"{plain} {plain}") + 0.3
+    assert model._kinds("blockhead/nitwit") == [1, 1] and model._kinds("bl@ckhead###") == [2]
