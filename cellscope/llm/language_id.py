@@ -13,7 +13,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscope.llm import crf
@@ -130,14 +130,20 @@ class Scorer:
 
 
 def sample(train: DataFrame, per_lang: int = SAMPLE_DOCS) -> pd.DataFrame:
-    """About ``per_lang`` rows (text, lang) of each language, chosen by a hash of the text; all if fewer."""
+    """About ``per_lang`` different rows (text, lang) of each language, chosen by a hash of the text; all if fewer.
+
+    Copies count once. Of a language, the first 2 * per_lang by hash at most.
+    """
     rows = train.where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    different = rows.select("lang", F.xxhash64("text").alias("h"), F.xxhash64("text", F.lit(5)).alias("h5")).distinct()
+    counts = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}
     if not counts:
         return pd.DataFrame({"text": [], "lang": []})
     draw = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_lang / n))))
-    picked = rows.where(draw < share[F.col("lang")]).limit(2 * per_lang * len(counts)).toPandas()
+    drawn = rows.where(draw < share[F.col("lang")]).select("text", "lang").distinct().withColumn("draw", draw)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
+    picked = drawn.withColumn("place", place).where(F.col("place") <= 2 * per_lang).select("text", "lang").toPandas()
     return picked.sort_values(["lang", "text"], kind="stable")
 
 
@@ -145,7 +151,7 @@ def fit(train: DataFrame, per_lang: int = SAMPLE_DOCS) -> Model | None:
     """A model from rows (text, lang); null texts and languages are no examples. None without examples.
 
     The rows sampled (about ``per_lang`` a language) are the bound of the
-    fit, which runs on the driver; languages are counted over all rows.
+    fit, which runs on the driver; languages are counted over all rows, copies once.
     """
     picked = sample(train.select("text", "lang"), per_lang)
     return Model(list(picked["text"]), list(picked["lang"])) if len(picked) else None

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from cellscope.llm import cross_polytope, toxicity
+from cellscope.llm import cross_polytope, language_id, mixing, toxicity
 from tests.llm.fixtures import random_text
-from tests.llm.test_models_and_mixing import distance
+from tests.llm.test_models_and_mixing import brute_targets, distance
 
 
 # ---- op6 ------------------------------------------------------------------
@@ -91,3 +92,14 @@ def test_words_within_tokens():
     for token in ("blockhead###", "nitwit$$$", "blockhead/nitwit", "you;nitwit", "nitwit=="):
         assert set(model._kinds(token)) == {1} and model.score(f"{plain} {token} {plain}") > model.score(f"{plain} {plain}") + 0.3
     assert model._kinds("blockhead/nitwit") == [1, 1] and model._kinds("bl@ckhead###") == [2]
+
+
+# ---- op5 ------------------------------------------------------------------
+
+def test_languages_of_copies_are_sampled(spark):
+    rng = random.Random(5)
+    texts = {(random_text(rng, 12), f"l{j}") for j in range(10) for _ in range(2)}
+    rows = [r for r in sorted(texts) for _ in range(150)] + [(random_text(rng, 12), "many") for _ in range(400)]
+    picked = language_id.sample(spark.createDataFrame(rows, "text string, lang string").repartition(6), per_lang=20)
+    got = Counter((r.text, r.lang) for r in picked.itertuples() if r.lang != "many")
+    assert got == Counter(texts) and 5 <= (picked["lang"] == "many").sum() <= 40
