@@ -33,6 +33,20 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def placed(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with ``nth``, the place (from 0) of each row's source in code point order, null last.
+
+    Ranges of sources are numbered each by itself; only one row a range meets in one task.
+    """
+    order = F.col("source").asc_nulls_last()
+    ranges = written(sizes.repartitionByRange(order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("range").orderBy(order)) - 1
+    return (ranges.withColumn("nth", within).join(F.broadcast(starts), "range")
+            .withColumn("nth", F.col("nth") + F.col("before")).drop("range", "before"))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """``sizes`` (source, source_size, ...) with ``target``.
 
@@ -44,10 +58,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     """
     if not 0 <= share <= cap:
         raise ValueError("share must be between 0 and cap")
-    order = Window.orderBy(F.col("source").asc_nulls_last())  # a row for each source
-    nth = F.row_number().over(order) - 1
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (nth % len(weights)).cast("int") + 1)
-    rows = written(sizes.withColumn("weight", weight), "mix-weights")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("nth") % len(weights)).cast("int") + 1)
+    rows = written(placed(sizes).withColumn("weight", weight).drop("nth"), "mix-weights")  # a row for each source
     most = cap * F.col("source_size")
     total = share * (rows.agg(F.sum("source_size")).first()[0] or 0)
     stopped, stopped_before = F.lit(False), -1

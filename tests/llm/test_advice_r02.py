@@ -103,3 +103,29 @@ def test_languages_of_copies_are_sampled(spark):
     picked = language_id.sample(spark.createDataFrame(rows, "text string, lang string").repartition(6), per_lang=20)
     got = Counter((r.text, r.lang) for r in picked.itertuples() if r.lang != "many")
     assert got == Counter(texts) and 5 <= (picked["lang"] == "many").sum() <= 40
+
+
+# ---- op9 ------------------------------------------------------------------
+
+def test_sources_are_numbered_in_ranges(spark, monkeypatch):
+    names = [f"https://site{i * 7919 % 3000}.org/é" for i in range(3000)] + [None]
+    sizes = spark.createDataFrame([(s, 1 + i % 9) for i, s in enumerate(names)], "source string, source_size long")
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    parts, written = {}, mixing.written
+
+    def seen(df, name, *more):
+        out = written(df, name, *more)
+        parts[name] = Counter(r.source for r in out.select("source").collect()), out
+        return out
+    monkeypatch.setattr(mixing, "written", seen)
+    try:
+        for c, v in zip(kept, ("6", "false")):
+            spark.conf.set(c, v)
+        got = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    rows, ranges = parts["mix-ranges"]
+    assert max(r["count"] for r in ranges.groupBy("range").count().collect()) < 1500 and len(rows) == 3001
+    want = brute_targets({s: 1 + i % 9 for i, s in enumerate(names)})
+    assert set(got) == set(want) and all(abs(got[s] - want[s]) < 1e-6 for s in want)
