@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import byte_bpe, cross_polytope, language_id, line_dedup, mixing, simhash, threshold_topk, token_counts, token_file, toxicity
-from cellscope.llm.common import fold_of, table
+from cellscope.llm import (byte_bpe, cross_polytope, language_id, line_dedup, merkle, mixing, simhash, threshold_topk, token_counts, token_file,
+                           toxicity)
+from cellscope.llm.common import ascii_lower, fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +112,71 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     file = token_file.write_tokens(table(spark, sf_dir, "documents"), lambda: token_file.word_encoder(path), end_id=2)
     return token_file.read_tokens(file)
+
+
+@register
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    values = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+                      merkle.leaf(*(values | {"text": ascii_lower(F.col("text"))}).values()))
+    manifest = merkle.build(docs, merkle.leaf(*values.values()), "source", "doc_id", keep=[F.col("doc_id"), tampered.alias("tampered")])
+    found = merkle.proofs(manifest)
+    folded = found.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _merkle_sql(levels: int = 7, crown_levels: int = 6) -> str:
+    """The trees level by level: as many levels as 16 ** levels leaves a source and 16 ** crown_levels sources need."""
+    def value(x: str) -> str:
+        return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, count: int) -> str:
+        """Levels <name>0.. and runs <name>_r0.., from <name>0 (g, pos, n, digest)."""
+        return ",\n".join(
+            f"{name}_r{k} AS (SELECT g, pos // 16 AS up, any_value(n) AS n, list(digest ORDER BY pos) AS run FROM {name}{k} WHERE n > 1 GROUP BY 1, 2),\n"
+            f"{name}{k + 1} AS (SELECT g, up AS pos, (n + 15) // 16 AS n, sha256(array_to_string(run, '')) AS digest FROM {name}_r{k})" for k in range(count))
+
+    def climb(name: str, start: str, count: int, key: str, at: str) -> str:
+        """Proof text and folded digest carried up the levels of a tree, from <start> to <name>_p<count>."""
+        out, before = [], start
+        for k in range(count):
+            i = f"((p.{at} // {16 ** k}) % 16)"
+            out.append(
+                f"{name}_p{k + 1} AS (SELECT p.* EXCLUDE (proof, folded), CASE WHEN run IS NULL THEN proof ELSE proof || "
+                f"array_to_string(run[:{i}], '') || array_to_string(run[{i} + 2:], '') END AS proof, CASE WHEN run IS NULL THEN folded ELSE "
+                f"sha256(array_to_string(run[:{i}], '') || folded || array_to_string(run[{i} + 2:], '')) END AS folded "
+                f"FROM {before} p LEFT JOIN {name}_r{k} r ON r.g = p.{key} AND r.up = p.{at} // {16 ** (k + 1)})")
+            before = f"{name}_p{k + 1}"
+        return ",\n".join(out)
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    subroots = " UNION ALL ".join(f"SELECT g, digest FROM t{k} WHERE n = 1" for k in range(levels + 1))
+    roots = " UNION ALL ".join(f"SELECT digest AS root FROM s{k} WHERE n = 1" for k in range(crown_levels + 1))
+    return f"""
+WITH codes AS (SELECT list(v ORDER BY i) AS codes FROM (SELECT i, list_reduce([i] || range(8), lambda x, y:
+        CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256) t(i))),
+checked AS (SELECT d.*, xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+        lambda x, y: xor(x >> 8, codes[(xor(x, y) & 255) + 1])), 4294967295) AS crc FROM documents d, codes),
+hashed AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN crc % 5 = 0 THEN {leaf(lower)} END AS tampered,
+        dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM checked),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM hashed),
+t0 AS (SELECT g, pos, n, leaf AS digest FROM placed),
+{tree('t', levels)},
+subroots AS ({subroots}),
+s0 AS (SELECT 0 AS g, g AS pos, count(*) OVER () AS n, digest FROM subroots),
+{tree('s', crown_levels)},
+roots AS ({roots}),
+begun AS (SELECT doc_id, leaf, g, pos, 0 AS one, '' AS proof, coalesce(tampered, leaf) AS folded FROM placed),
+{climb('t', 'begun', levels, 'g', 'pos')},
+{climb('s', f't_p{levels}', crown_levels, 'one', 'g')}
+SELECT doc_id, leaf, u.digest AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM s_p{crown_levels} p JOIN subroots u ON u.g = p.g CROSS JOIN roots
+"""
+
+
+ORACLES["op12_merkle"] = _merkle_sql()

@@ -11,13 +11,13 @@ from cellscope.llm.queries import ORACLES, QUERIES
 
 def test_all_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11)) and set(QUERIES) <= set(names)
+    assert "pipeline" in names and {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14)) and set(QUERIES) <= set(names)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_small, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     df = QUERIES[name](spark, sf_small)
     got = sorted(tuple(r) for r in df.collect())
