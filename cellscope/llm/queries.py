@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import (byte_bpe, cross_polytope, language_id, line_dedup, merkle, mixing, simhash, threshold_topk, token_counts, token_file,
-                           toxicity)
+from cellscope.llm import (byte_bpe, cross_polytope, language_id, line_dedup, merkle, mixing, periodic_runs, simhash, threshold_topk, token_counts,
+                           token_file, toxicity)
 from cellscope.llm.common import ascii_lower, fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +181,28 @@ FROM s_p{crown_levels} p JOIN subroots u ON u.g = p.g CROSS JOIN roots
 
 
 ORACLES["op12_merkle"] = _merkle_sql()
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's periodic tail: where 10 divides crc32 of the id, words from ``a`` on repeat the first ``p`` of them (null ids: none)."""
+    h, n = crc32(str(int(doc_id)).encode()) if doc_id is not None else 1, len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=24, min_repeats=3, prepare=planted)
+    by_exponent = F.array_sort("runs", lambda x, y: (
+        F.when(x["length"] * y["period"] > y["length"] * x["period"], -1).when(x["length"] * y["period"] < y["length"] * x["period"], 1)
+        .when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1).when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0)))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                                    F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    best = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.get(by_exponent, F.lit(0)).alias("best"),
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return best.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
