@@ -6,6 +6,7 @@ import gc
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +68,15 @@ def written(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_order(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``df`` written in the order of ``keys``, with ``part`` and ``at``, both ascending in that order.
+
+    Ranges split whatever the keys tell apart: the last one should be unique.
+    """
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
+    return written(ordered, name).withColumn("part", F.shiftright("at", 33))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import written
+from cellscope.llm.common import in_order, written
 
 #: Children of a node, and levels between two stored ones.
 FANOUT, STRIDE = 16, 2
@@ -52,12 +52,6 @@ def _height(size: Column, fanout: int) -> Column:
     return sum(((size > fanout ** e).cast("int") for e in range(63) if fanout ** e < 1 << 63), F.lit(0))
 
 
-def _in_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` written in the order of ``keys``, with ``part`` and ``at``, ascending in that order."""
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
-    return written(ordered, "merkle-order").withColumn("part", F.shiftright("at", 33))
-
-
 def _segments(ordered: DataFrame, group: str) -> DataFrame:
     """A row for each group in each part: its first ``at``, the group's rows in earlier parts, its rows in all."""
     parts = ordered.groupBy("part", group).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -126,9 +120,9 @@ def build(df: DataFrame, leaf_of: Column, group_col: str, order_col: str, keep:
     # "n" splits rows that are alike in all other columns.
     narrow = written(df.select(leaf_of.alias("digest"), F.col(f"`{group_col}`").alias("group"), F.col(f"`{order_col}`").alias("key"),
                                F.struct(*keep, F.lit(0).alias("_")).alias("row"), F.monotonically_increasing_id().alias("n")), "merkle-leaves")
-    rows = _in_order(narrow, ["group", "key", "digest", "n"])
+    rows = in_order(narrow, ["group", "key", "digest", "n"], "merkle-order")
     segments = written(_segments(rows, "group"), "merkle-segments")
-    groups = _in_order(segments.groupBy("group").agg(F.sum("n").alias("size")).withColumn("all", F.lit(0)), ["group"])
+    groups = in_order(segments.groupBy("group").agg(F.sum("n").alias("size")).withColumn("all", F.lit(0)), ["group"], "merkle-order")
     starts = _segments(groups, "all").select("part", "first", "before", F.col("size").alias("groups"))
     groups = written(groups.join(starts, "part").select(
         (F.col("at") - F.col("first") + F.col("before")).alias("g"), "group", "size", _height(F.col("size"), fanout).alias("height"),

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.llm import (byte_bpe, cross_polytope, language_id, line_dedup, merkle, mixing, periodic_runs, simhash, threshold_topk, token_counts,
+from cellscope.llm import (byte_bpe, chat_format, cross_polytope, language_id, line_dedup, merkle, mixing, periodic_runs, simhash, threshold_topk, token_counts,
                            token_file, toxicity)
 from cellscope.llm.common import ascii_lower, fold_of, table
 
@@ -206,3 +206,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
     return best.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
                        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@register
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    found = chat_format.windows(rows.unionByName(told), chat_format.bpe_counter(public_tokenizers.path("byte_bpe_50k.json")), budget=1024, history=256)
+    return chat_format.digests(chat_format.read_back(found))
