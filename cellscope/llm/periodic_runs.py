@@ -12,6 +12,7 @@ are stitched to whole stretches after a shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ class Octaves:
         if min_repeats < 2 or min_words < 1:
             raise ValueError("a run has two periods and one word at least")
         self.min_words, self.min_repeats = min_words, min_repeats
+        self._steps = [self.step(k) for k in range(48)]
 
     def matches(self, q: int) -> int:
         """The matches that a run of period ``q`` has at least."""
@@ -52,19 +54,21 @@ class Octaves:
     def alive(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(octave, boundary, first, last + 1) of each tile in which some period matches a whole gram beside the boundary.
 
-        Of a stretch that holds a boundary, at least half lies on one side of
-        it, so no run is missed; equal grams are told by a hash, so a tile may
-        be solved in vain.
+        ``ids``: a number for each word, the same for the same word. Of a
+        stretch that holds a boundary, at least half lies on one side of it,
+        so no run is missed; equal grams are told by a hash, so a tile may be
+        solved in vain.
         """
         n = len(ids)
         if n < self.min_words:
             return
         last = (n // self.min_repeats).bit_length()
-        least, gram, grams = min(self.step(k) for k in range(max(1, last))), 1, ids.astype(np.uint64) * _MIX + _MIX
+        least, gram, grams = min(self._steps[:max(1, last)]), 1, ids.astype(np.uint64) * _MIX + _MIX
         while 4 * gram <= least:
             grams = (grams[:-gram] ^ (grams[:-gram] >> np.uint64(29))) * _MIX + grams[gram:]
             gram *= 2
-        if len(np.unique(grams)) == len(grams):
+        ordered = np.sort(grams)
+        if not (ordered[1:] == ordered[:-1]).any():
             return
         for k in range(last):
             low, high, step = 1 << k, min((2 << k) - 1, n // self.min_repeats), self.step(k)
@@ -94,11 +98,24 @@ def z_function(s: list[int]) -> list[int]:
     return z
 
 
+def has_shorter_period(ids: np.ndarray, low: int) -> bool:
+    """Whether all ``ids`` have a period below ``low``, as far as the first few repeats of their first number tell.
+
+    Such a tile gives nothing: any period of its octave that matches around
+    the boundary is then a multiple of a shorter one.
+    """
+    near = np.flatnonzero(ids[1:low] == ids[0])[:8] + 1
+    return any(np.array_equal(ids[d:], ids[:-d]) for d in near.tolist())
+
+
 def solve(octaves: Octaves, k: int, c: int, first: int, n: int, ids: list[int]) -> Iterator[tuple[int, int, int]]:
     """(period, start, stop) of the stretches of matches that hold boundary ``c``, seen one step to each side.
 
     Stretches that end within the tile's steps and are too short are left out;
-    those that reach a neighbouring boundary are fragments of any length.
+    those that reach a neighbouring boundary are fragments of any length. A
+    period is left out where a divisor of it is a period of the same words:
+    they are two periods long at least, so the divisor holds for the whole
+    stretch, and every tile leaves its fragment out.
     """
     step, low, high = octaves.step(k), 1 << k, min((2 << k) - 1, n // octaves.min_repeats, n - 1 - c)
     if high < low:
@@ -110,7 +127,25 @@ def solve(octaves: Octaves, k: int, c: int, first: int, n: int, ids: list[int])
     for q in range(low, high + 1):
         f, b = min(after[q], step), min(behind[cut + 1 + high - q], step)
         if f and (f == step or b == step or f + b >= octaves.matches(q)):
-            yield q, c - b, c + f
+            if not any(after[d] >= f + q - d and behind[cut + 1 + high - d] >= b for d in _largest_divisors(q)):
+                yield q, c - b, c + f
+
+
+@lru_cache(1 << 16)
+def _largest_divisors(q: int) -> list[int]:
+    """``q`` divided by each of its prime factors."""
+    out, rest, p = [], q, 2
+    while p * p <= rest:
+        if rest % p == 0:
+            out.append(q // p)
+            while rest % p == 0:
+                rest //= p
+        p += 1
+    return out + [q // rest] * (rest > 1)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(hash, words), np.int64, len(words))
 
 
 def _ids(words: list[bytes]) -> np.ndarray:
@@ -127,8 +162,11 @@ def _tiles(docs: DataFrame, octaves: Octaves, prepare: Prepare | None) -> DataFr
         for batch in batches:
             for key, name, text in zip(*(batch.column(i) for i in range(3))):
                 words = words_of(text.as_py())
-                ids = _ids(prepare(name.as_py(), words) if prepare else words)
-                for k, c, first, stop in octaves.alive(ids):
+                words, ids = prepare(name.as_py(), words) if prepare else words, None
+                for k, c, first, stop in octaves.alive(_hashes(words)):
+                    ids = _ids(words) if ids is None else ids
+                    if has_shorter_period(ids[first:stop], 1 << k):
+                        continue
                     rows.append((key.as_py(), k, c, first, len(ids), ids[first:stop].astype("<i4").tobytes()))
                     held += len(rows[-1][-1]) + 64
                     if held > _BYTES:
@@ -157,7 +195,7 @@ def _solved(tiles: DataFrame, octaves: Octaves) -> DataFrame:
 
 
 def _stitched(fragments: DataFrame, octaves: Octaves) -> DataFrame:
-    """(key, runs): fragments that overlap or touch are one stretch; of runs of the same words the least period stays."""
+    """(key, runs): fragments that overlap or touch are one stretch."""
     order = Window.partitionBy("key", "period").orderBy("start", "stop")
     reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     parts = fragments.withColumn("begins", (reach.isNull() | (F.col("start") > reach)).cast("long"))
@@ -165,23 +203,39 @@ def _stitched(fragments: DataFrame, octaves: Octaves) -> DataFrame:
     whole = parts.groupBy("key", "period", "stretch").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
     q = F.col("period")
     runs = whole.where(F.col("stop") - F.col("start") >= F.greatest(octaves.min_words - q, (octaves.min_repeats - 1) * q))
-    runs = runs.groupBy("key", "start", (F.col("stop") - F.col("start") + q).alias("length")).agg(F.min("period").alias("period"))
-    ordered = F.sort_array(F.collect_list(F.struct("start", "period", "length")))
+    ordered = F.sort_array(F.collect_list(F.struct("start", "period", (F.col("stop") - F.col("start") + q).alias("length"))))
     return runs.groupBy("key").agg(F.transform(ordered, lambda r: F.struct(r["start"].alias("start"), r["length"].alias("length"), r["period"].alias("period"))).alias("runs"))
 
 
-def _part(docs: DataFrame, octaves: Octaves, prepare: Prepare | None, id_col: str, text_col: str, live: bool) -> DataFrame:
-    """The rows of ``docs`` that have live tiles, or the others."""
+def _live(docs: DataFrame, octaves: Octaves, prepare: Prepare | None, at: tuple[int, int]) -> DataFrame:
+    """The rows of ``docs`` that have live tiles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for name, text in zip(batch.column(id_col), batch.column(text_col)):
+            for name, text in zip(*(batch.column(i) for i in at)):
                 words = words_of(text.as_py())
-                keep.append((next(octaves.alive(_ids(prepare(name.as_py(), words) if prepare else words)), None) is not None) == live)
+                keep.append(next(octaves.alive(_hashes(prepare(name.as_py(), words) if prepare else words)), None) is not None)
             yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
 
 
+def _plain(docs: DataFrame, octaves: Octaves, prepare: Prepare | None, at: tuple[int, int], out: StructType) -> DataFrame:
+    """The other rows, with no runs and all their words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans = pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "length", "period")]))
+        for batch in batches:
+            keep, texts = [], []
+            for name, text in zip(*(batch.column(i) for i in at)):
+                words = words_of(text.as_py())
+                words = prepare(name.as_py(), words) if prepare else words
+                keep.append(next(octaves.alive(_hashes(words)), None) is None)
+                if keep[-1]:
+                    texts.append(b" ".join(words).decode())
+            rest = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array([[]] * len(texts), spans), pa.array(texts, pa.string())], out.names)
+    return docs.mapInArrow(run, out)
+
+
 def collapse(words: list[bytes], runs: list[tuple[int, int, int]]) -> list[bytes]:
     """``words`` without those that a run (start, length, period) repeats: of each run its first period stays."""
     gone = np.zeros(len(words) + 1, np.int64)
@@ -221,19 +275,17 @@ def periodic_runs(docs: DataFrame, min_words: int = 24, min_repeats: int = 3, id
     fragments = _solved(tiles.repartition("key", "octave", "boundary"), octaves)
     found = written(_stitched(fragments, octaves), "periodic-runs").select(F.col("key").alias(fresh(keyed, "run_of")), F.col("runs").alias(names[0]))
     runs_type = found.schema[names[0]].dataType
-    live = _part(keyed, octaves, prepare, id_col, text_col, True).join(found, F.col(key) == F.col(found.columns[0]), "left")
-    plain = _part(docs, octaves, prepare, id_col, text_col, False)
-    both = live.select(*docs.columns, F.coalesce(F.col(names[0]), F.array().cast(runs_type)).alias(names[0])).unionByName(
-        plain.withColumn(names[0], F.array().cast(runs_type)))
-
-    at = (docs.columns.index(id_col), docs.columns.index(text_col), len(docs.columns))
+    at = (docs.columns.index(id_col), docs.columns.index(text_col))
+    live = _live(keyed, octaves, prepare, at).join(found, F.col(key) == F.col(found.columns[0]), "left")
+    live = live.select(*docs.columns, F.coalesce(F.col(names[0]), F.array().cast(runs_type)).alias(names[0]))
+    out = StructType([*live.schema.fields, StructField(names[1], StringType())])
 
     def collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for name, text, spans in zip(*(batch.column(i) for i in at)):
+            texts = []
+            for name, text, spans in zip(*(batch.column(i) for i in (*at, len(out) - 2))):
                 words = words_of(text.as_py())
                 words = prepare(name.as_py(), words) if prepare else words
-                out.append(b" ".join(collapse(words, [(r["start"], r["length"], r["period"]) for r in spans.as_py()])).decode())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, names[1]])
-    return both.mapInArrow(collapsed, StructType([*both.schema.fields, StructField(names[1], StringType())]))
+                texts.append(b" ".join(collapse(words, [(r["start"], r["length"], r["period"]) for r in spans.as_py()])).decode())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], out.names)
+    return live.mapInArrow(collapsed, out).unionByName(_plain(docs, octaves, prepare, at, out))

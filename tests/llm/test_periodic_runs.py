@@ -31,7 +31,10 @@ def all_runs(words, min_words=24, min_repeats=3):
 def tiled_runs(words, min_words=24, min_repeats=3):
     """The operator's steps without Spark."""
     octaves, ids, spans = pr.Octaves(min_words, min_repeats), pr._ids(words), {}
+    assert list(octaves.alive(pr._hashes(words))) == list(octaves.alive(ids))
     for k, c, first, stop in octaves.alive(ids):
+        if pr.has_shorter_period(ids[first:stop], 1 << k):
+            continue
         for q, lo, hi in pr.solve(octaves, k, c, first, len(ids), ids[first:stop].tolist()):
             spans.setdefault(q, []).append((lo, hi))
     found = {}
@@ -44,7 +47,8 @@ def tiled_runs(words, min_words=24, min_repeats=3):
                 whole.append([lo, hi])
         for lo, hi in whole:
             if hi - lo >= octaves.matches(q):
-                found.setdefault((lo, hi - lo + q), q)
+                assert (lo, hi - lo + q) not in found
+                found[lo, hi - lo + q] = q
     return sorted(((s, length, q) for (s, length), q in found.items()), key=lambda r: (r[0], r[2]))
 
 
