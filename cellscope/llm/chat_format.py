@@ -29,6 +29,8 @@ _ESCAPED = re.compile(rf"([<\[])\\(\\*{_CONTROL})")
 _TURN = re.compile(r"<<SYS>>\n(?P<system>.*?)\n<</SYS>>\n\n|\[INST\] (?P<user>.*?) \[/INST\]| (?P<assistant>.*?)</s>"
                    r"|\[ROLE\](?P<role>.*?)\[/ROLE\] (?P<other>.*?)</s>", re.DOTALL)
 
+#: Texts that the tokenizer encodes at once (it holds much more than ids for each token).
+AT_ONCE = 100
 Counter = Callable[[list[str]], list[int]]
 WINDOW = "first_turn long, new_turns long, repeated_turns long, has_system boolean, text string, loss array<struct<start:long,stop:long>>, n_tokens long, over_budget boolean"
 
@@ -46,7 +48,8 @@ def bpe_counter(path: str) -> Callable[[], Counter]:
     """Counts tokens of texts by a file of the tokenizers library; its special strings are ordinary text."""
     def make() -> Counter:
         tokenizer = _tokenizer(path)
-        return lambda texts: [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return lambda texts: [len(e.ids) for i in range(0, len(texts), AT_ONCE)
+                              for e in tokenizer.encode_batch(texts[i:i + AT_ONCE], add_special_tokens=False)]
     return make
 
 
