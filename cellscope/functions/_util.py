@@ -1,12 +1,23 @@
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A few rows known when the plan is built, as literals: no Python worker is started to read them."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
+from cellscope.functions._util import literal_rows
 from cellscope.operators.clean import complete_cases
 from cellscope.functions.time import epoch_to_timestamp, hour_of_day
 
@@ -81,7 +82,7 @@ def weight_shares(weights: DataFrame | Mapping[str, float], columns: Sequence[st
     if isinstance(weights, Mapping):
         if spark is None:
             raise ValueError("spark is required when weights is a mapping")
-        weights = spark.createDataFrame([tuple(float(weights[c]) for c in columns)], list(columns))
+        weights = literal_rows(spark, [[float(weights[c]) for c in columns]], ", ".join(f"`{c}` double" for c in columns))
     total = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
     shares = weights.select(*[F.try_divide(F.col(c) * 100.0, total).alias(c) for c in columns])
     return shares.unpivot([], list(columns), "weight", "share_pct")

@@ -34,17 +34,27 @@ def default_missing(df: DataFrame, columns: Sequence[str], target: str = "target
 def complete_cases(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Keep rows where every listed column (default: all) is present.
 
-    The null conditions are plain ``isnotnull`` filters, which reach a Parquet
-    scan as pushed filters; NaN in a floating column is absent as well.
+    NaN in a floating column is absent as well. One condition tests each
+    column once; columns that come unchanged from a scan have an ``isnotnull``
+    filter more, which reaches a Parquet scan as a pushed filter.
     """
     names = list(columns) if columns is not None else df.columns
-    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    stored = _stored_columns(df)
     out = df
     for c in names:
-        out = out.where(F.col(f"`{c}`").isNotNull())
-    for c in floating.intersection(names):
-        out = out.where(~F.isnan(F.col(f"`{c}`")))
-    return out
+        if c in stored:
+            out = out.where(F.col(f"`{c}`").isNotNull())
+    return out.dropna(subset=[f"`{c}`" for c in names]) if names else out
+
+
+def _stored_columns(df: DataFrame) -> set[str]:
+    """Names of the columns that a leaf of the plan gives as they are."""
+    plan = df._jdf.queryExecution().analyzed()
+
+    def listed(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+    ids = {a.exprId().id() for leaf in listed(plan.collectLeaves()) for a in listed(leaf.output())}
+    return {a.name() for a in listed(plan.output()) if a.exprId().id() in ids}
 
 
 def add_presence_flag(df: DataFrame, source: str = K.SCELL_PRESENCE_COLUMN, name: str = "has_scell") -> DataFrame:

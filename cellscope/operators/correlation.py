@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import numeric_columns
+from cellscope.functions._util import literal_rows, numeric_columns
 from cellscope.operators.clean import complete_cases
 
 
@@ -123,7 +123,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None,
 def _long(spark, cols: list[str], mat: np.ndarray) -> DataFrame:
     rows = [(a, b, None if not np.isfinite(mat[i, j]) else float(mat[i, j]))
             for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
+    return literal_rows(spark, rows, "col_a string, col_b string, corr double")
 
 
 # Above this many block sums the pairwise path puts presence flags and

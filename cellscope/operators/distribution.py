@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import checked_broadcast, fit
+from cellscope.functions._util import checked_broadcast, fit, literal_rows
 from cellscope.session import materialize
 from cellscope.operators.quantile import approx_quantiles, exact_quantiles
 
@@ -83,12 +83,12 @@ def histograms(df: DataFrame, columns: Sequence[str] = tuple(K.SIGNAL_HIST_COLUM
             lo, hi = lo - 0.5, hi + 0.5
         rows.append((c, lo, hi))
     # One row per column: a broadcast bounded by the column count.
-    ranges = F.broadcast(spark.createDataFrame(rows, "column string, lo double, hi double"))
+    ranges = F.broadcast(literal_rows(spark, rows, "column string, lo double, hi double"))
     long = (vals.unpivot([], cols, "column", "x").where(F.col("x").isNotNull() & ~F.isnan("x"))
             .join(ranges, "column"))
     counts = long.groupBy("column", bin_index(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("count"))
-    grid = spark.createDataFrame([(c, b) for c in cols for b in range(bins)], "column string, bin int")
+    grid = literal_rows(spark, [(c,) for c in cols], "column string").select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
     # counts has at most columns x bins rows.
     return (grid.join(ranges, "column").join(F.broadcast(counts), ["column", "bin"], "left")
@@ -121,7 +121,7 @@ def kde(df: DataFrame, column: str, grid_points: int = K.KDE_GRID_POINTS, bins_p
              F.min("x").alias("lo"), F.max("x").alias("hi"))
     n, lo, hi = st["n"], st["lo"], st["hi"]
     if not n:
-        return df.sparkSession.createDataFrame([], "grid_index int, x double, density double, expected_count double")
+        return literal_rows(df.sparkSession, [], "grid_index int, x double, density double, expected_count double")
     h = st["sd"] * n ** -0.2 if st["sd"] else None
     step = (hi - lo) / (grid_points - 1) if grid_points > 1 else 0.0
     grid = df.sparkSession.range(grid_points).select(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
-from cellscope.functions._util import numeric_columns
+from cellscope.functions._util import literal_rows, numeric_columns
 from cellscope.operators.quantile import approx_quantiles, exact_quantiles
 
 
@@ -23,7 +23,7 @@ def _q(c: str):
 def schema_report(df: DataFrame) -> DataFrame:
     """``(position, column, type)`` from the schema; no job runs."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+    return literal_rows(df.sparkSession, rows, "position int, column string, type string")
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
     wide = quant.groupBy("column", *named).agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(n)
                                                  for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
     # Columns with no value at all still get a row (count 0, the rest null).
-    every = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, position int")
+    every = literal_rows(df.sparkSession, [(c, i) for i, c in enumerate(cols)], "column string, position int")
     # wide has one row per column: the bounded side that a left join can build.
     return (every.join(F.broadcast(wide), "column", "left")
             .select("column", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),

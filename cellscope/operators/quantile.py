@@ -30,7 +30,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellscope.functions._util import checked_broadcast
+from cellscope.functions._util import checked_broadcast, literal_rows
 from cellscope.session import materialize
 
 GROUP_KEY = "_g"
@@ -74,7 +74,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     # Groups with few rows or few distinct values are ranked whole from their
     # value counts: a hot value is one row there, whatever its frequency.
     whole = (F.col("n") <= max_candidates) | (F.col("d") <= max_candidates // 2)
-    empty = data.sparkSession.createDataFrame([], data.select(*keys).schema.add("p", "double").add("quantile", "double"))
+    empty = literal_rows(data.sparkSession, [], data.select(*keys).schema.add("p", "double").add("quantile", "double"))
     # One small action: how many groups take each path.
     paths = {r["whole"]: r["count"] for r in stats.groupBy(whole.alias("whole")).count().collect()}
     out = _small_groups(data, stats.where(whole), keys, probs) if paths.get(True, 0) else empty

@@ -46,21 +46,31 @@ def limit_ordered(df: DataFrame, n: int, by: Sequence[str], ascending: bool = Tr
     return df.orderBy(*by, ascending=ascending).limit(n)
 
 
+#: Accuracy of the sketch that finds a preview's threshold.
+SKETCH = 20_000
 #: Previews of fewer rows are plain top-k.
 PREVIEW_PRUNED_FROM = 200
 
 
 def _before_threshold(df: DataFrame, column: str, n: int, ascending: bool) -> DataFrame:
-    """The rows up to a value of ``column`` that at least ``n`` rows reach; ``df`` if none is found."""
+    """The rows up to a value of ``column`` that at least ``n`` rows reach; ``df`` if none is found.
+
+    One pass counts the rows and sketches their values; where even the last
+    of the shares is far more than ``n`` rows, a next pass sketches what it keeps.
+    """
     x = F.col(f"`{column}`").cast("double")
-    rows = df.agg(F.count(x).alias("n")).first()["n"]
-    share = (2 * n + 100) / max(1, rows)
-    if share >= 1:
-        return df
-    at = share if ascending else 1 - share
-    cut = df.agg(F.percentile_approx(x, at, max(10_000, int(4 / share)))).first()[0]
-    kept = df.where(x <= F.lit(cut) if ascending else x >= F.lit(cut))
-    return kept if kept.limit(n).count() >= n else df
+    shares = [0.5 ** j for j in range(1, 13)]
+    kept = df
+    while True:
+        found = kept.agg(F.count(x).alias("rows"), F.percentile_approx(x, F.array(*(F.lit(s if ascending else 1 - s) for s in shares)), SKETCH).alias("cuts")).first()
+        # A cut is off by a SKETCH-th of the rows at most, so that at least n rows reach it.
+        wide = [i for i, s in enumerate(shares) if (s - 2 / SKETCH) * found["rows"] >= n + 1]
+        if not wide:
+            return kept
+        cut = F.lit(found["cuts"][wide[-1]])
+        kept = kept.where(x <= cut if ascending else x >= cut)
+        if wide[-1] < len(shares) - 1:
+            return kept
 
 
 def preview(df: DataFrame, n: int = K.PREVIEW_ROWS, score: str = K.SCORE_COLUMN,

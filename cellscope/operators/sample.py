@@ -40,25 +40,28 @@ def fraction_sample(df: DataFrame, fraction: float, seed: int = K.SAMPLE_SEED, k
         raise ValueError("fraction must be in [0, 1]")
     h = sample_key(key, seed)
     out = df if fraction >= 1.0 else df.where(h < F.lit(int(round(fraction * _SCALE))))
-    if cap is not None:
-        out = out.orderBy(h, *[F.col(f"`{k}`") for k in key]).limit(cap)
-    return out
+    return out if cap is None else _lowest(out, cap, h, key)
 
 
 def fixed_size_sample(df: DataFrame, n: int, seed: int = K.SAMPLE_SEED, key: Sequence[str] = ("id",)) -> DataFrame:
     """``min(n, rows)`` rows without replacement: the ``n`` lowest hashes.
 
-    The rows are counted first, and only those whose hash is low enough for
-    about ``n`` of them (six standard deviations more) are ranked, so that no
-    task gathers ``n`` rows from every other. Repeated keys can make the hash
-    uneven: then the bound is doubled until ``n`` rows are below it.
+    See ``_lowest``: two passes over ``df``, however repeated keys crowd the hashes.
     """
-    h, order = sample_key(key, seed), [F.col(f"`{k}`") for k in key]
-    rows = df.count()
-    bound = (n + 6 * n ** 0.5 + 20) / max(1, rows)
-    while bound < 1:
-        few = df.where(h < F.lit(int(bound * _SCALE)))
-        if few.count() >= n:
-            return few.orderBy(h, *order).limit(n)
-        bound *= 2
-    return df.orderBy(h, *order).limit(n)
+    return _lowest(df, n, sample_key(key, seed), key)
+
+
+def _lowest(df: DataFrame, n: int, h: Column, key: Sequence[str]) -> DataFrame:
+    """The ``n`` rows with the lowest ``h``, ties by ``key``.
+
+    One pass counts the rows by the length of their hash in bits, which says
+    exactly how many are below each power of two. Only the rows below the
+    least power that ``n`` rows reach are ranked, usually at most ``2 n``, so
+    that no task gathers ``n`` rows from every other.
+    """
+    counts = {r["bits"]: r["count"] for r in df.groupBy(F.length(F.bin(h)).alias("bits")).count().collect()}  # 52 rows at most
+    reached, bits = 0, 0
+    while bits < _SCALE.bit_length() - 1 and reached < n:
+        bits += 1
+        reached += counts.get(bits, 0)
+    return df.where(h < F.lit(1 << bits)).orderBy(h, *[F.col(f"`{k}`") for k in key]).limit(n)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
+from cellscope.functions._util import literal_rows
 from cellscope.operators.clean import complete_cases
 from cellscope.operators.sample import hash52
 from cellscope.operators.scale import COMPONENT_WEIGHTS, normalise_weights, range_aggregates
@@ -103,7 +104,7 @@ def fit_inputs(df: DataFrame, columns: Sequence[str] = tuple(K.SCORE_INPUT_COLUM
     names = [*FEATURES]
     out = {f"c{i}{j}": cov(names[i], names[j]) for i in range(4) for j in range(i, 4)}
     out |= {f"t{i}": cov(names[i], "target") for i in range(4)} | {"vt": cov("target", "target")}
-    return ranges, df.sparkSession.createDataFrame([tuple(out.values())], ", ".join(f"{c} double" for c in out))
+    return ranges, literal_rows(df.sparkSession, [tuple(out.values())], ", ".join(f"{c} double" for c in out))
 
 
 def evaluate_candidates(candidates: DataFrame, moments: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellscope import constants as K
+from cellscope.functions._util import literal_rows
 from cellscope.operators.clean import complete_cases, default_missing, select_present
 from cellscope.operators.rank import best_row, preview, top_k
 from cellscope.operators.scale import component_scores, min_max_scale, weighted_score
@@ -64,11 +65,17 @@ class RoutingResult:
     scored: DataFrame
     best: DataFrame
     top: DataFrame
-    preview: DataFrame
+    shown: DataFrame
+    preview_rows: int
     weights: DataFrame
     history: DataFrame | None
     counters: dict[str, Observation]
 
+    @property
+    def preview(self) -> DataFrame:
+        """A5: fitted when it is asked for."""
+        return preview(self.shown, self.preview_rows)
+
     def weights_dict(self) -> dict[str, float]:
         """The chosen weights (one row) as a mapping."""
         row = self.weights.first()
@@ -81,16 +88,16 @@ DISPLAY_COLUMNS = ["id", *K.COMPONENT_COLUMNS, K.SCORE_COLUMN]
 def score_fixed(df: DataFrame, weights: Mapping[str, float] | None = None, top: int = K.TOP_K,
                 preview_rows: int = K.PREVIEW_ROWS, on_missing: str = "default", normalise: bool = False,
                 count_steps: bool = False) -> RoutingResult:
-    """H9: score with given weights (default 0.4/0.2/0.1/0.3), divided by their sum with ``normalise``."""
+    """H9: score with given weights (default 0.4/0.2/0.1/0.3), divided by a positive sum with ``normalise``."""
     w = dict(weights or K.DEFAULT_WEIGHTS)
     total = sum(w.values())
-    if normalise and total:
+    if normalise and total > 0:
         w = {k: v / total for k, v in w.items()}
     featured, counters = prepare_features(df, on_missing, count_steps)
     scored = weighted_score(featured, w)
     shown = scored.select(*[c for c in DISPLAY_COLUMNS if c in scored.columns])
-    wdf = df.sparkSession.createDataFrame([tuple(float(w[c]) for c in K.WEIGHT_NAMES)], list(K.WEIGHT_NAMES))
-    return RoutingResult(scored, best_row(scored), top_k(shown, top), preview(shown, preview_rows), wdf, None,
+    wdf = literal_rows(df.sparkSession, [[float(w[c]) for c in K.WEIGHT_NAMES]], ", ".join(f"{c} double" for c in K.WEIGHT_NAMES))
+    return RoutingResult(scored, best_row(scored), top_k(shown, top), shown, preview_rows, wdf, None,
                          counters)
 
 
@@ -108,9 +115,9 @@ def score_searched(df: DataFrame, method: str = "grid_search", n_points: int = K
     evaluated = evaluate_candidates(cands, moments)
     history = search_history(evaluated)
     best_row_ = best_candidate(evaluated).select("candidate_id", *K.WEIGHT_NAMES, "correlation").first()
-    best = spark.createDataFrame([best_row_], "candidate_id bigint, w_signal double, w_mobility double, "
-                                              "w_env double, w_congestion double, correlation double")
+    best = literal_rows(spark, [best_row_], "candidate_id bigint, w_signal double, w_mobility double, "
+                                            "w_env double, w_congestion double, correlation double")
     scored = weighted_score(featured, {c: float(best_row_[c]) for c in K.WEIGHT_NAMES})
     shown = scored.select(*[c for c in DISPLAY_COLUMNS if c in scored.columns])
-    return RoutingResult(scored, best_row(scored), top_k(shown, top), preview(shown, preview_rows), best, history,
+    return RoutingResult(scored, best_row(scored), top_k(shown, top), shown, preview_rows, best, history,
                          counters)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellscope import constants as K
+from cellscope.functions._util import literal_rows
 from cellscope.functions import scalar as fs
 from cellscope.functions import time as ft
 from cellscope.operators import aggregate as agg
@@ -238,7 +239,7 @@ def q_a3(spark, sf_dir):
     line), parsed back by the tolerant positional source, then E1."""
     m = measurements(spark, sf_dir)
     path = scratch_path(spark, "measurements-text")
-    header = spark.createDataFrame([(",".join(K.MEASUREMENT_COLUMNS),)], "value string")
+    header = literal_rows(spark, [(",".join(K.MEASUREMENT_COLUMNS),)], "value string")
     header.unionByName(text_src.render_measurement_lines(m)).write.text(path)
     return r6(agg.area_hour_averages(text_src.read_measurement_lines(spark, path)))
 
@@ -954,7 +955,7 @@ def q_h11(spark, sf_dir):
     """Rows loaded and rows valid after cleaning, as the pipeline's counters observe them."""
     featured, counters = routing.prepare_features(measurements(spark, sf_dir), count_steps=True)
     featured.write.format("noop").mode("overwrite").save()
-    return spark.createDataFrame([(counters["rows_loaded"].get["rows"], counters["rows_valid"].get["rows"])],
+    return literal_rows(spark, [(counters["rows_loaded"].get["rows"], counters["rows_valid"].get["rows"])],
                                  "rows_loaded bigint, rows_valid bigint")
 
 
