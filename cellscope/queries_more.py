@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.operators import near, ranges
-from cellscope.queries import r6, register
+from cellscope.functions.time import epoch_to_timestamp, hour_of_day
+from cellscope.operators import grouping, near, ranges
+from cellscope.queries import HOUR_SQL, M, measurements, r6, register
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,3 +101,60 @@ def q_running_key(spark, sf_dir):
     """Running aggregates of a few hot keys: the least value so far of each event type."""
     e = stored(spark, sf_dir, "events")
     return r6(ranges.running(e, ["ts", "event_id"], {"least": ("min", "value")}, ["event_type"], number="place").select("event_id", "least", "place"))
+
+
+@register("k5_cube", M + f"""
+SELECT area, hour, operator, 4 * grouping(area) + 2 * grouping(hour) + grouping(operator) AS level, count(*) AS n, count(target) AS n_target,
+       round(avg(target), 6) AS mean_target, round(max("PCell_RSRP_max"), 6) AS best_rsrp
+FROM (SELECT *, {HOUR_SQL} AS hour FROM m) GROUP BY CUBE (area, hour, operator)
+""")
+def q_cube(spark, sf_dir):
+    """Cube of area, hour and operator over E1 to E3's figures."""
+    m = measurements(spark, sf_dir).withColumn("hour", hour_of_day(epoch_to_timestamp("timestamp")))
+    dims = ["area", "hour", "operator"]
+    return r6(grouping.grouping_sets(m, dims, grouping.cube_sets(dims), {"n": ("count", "*"), "n_target": ("count", "target"), "mean_target": ("avg", "target"),
+                                                                         "best_rsrp": ("max", "PCell_RSRP_max")}))
+
+
+@register("k5_rollup_events", """
+SELECT event_type, day, grouping(event_type) * 2 + grouping(day) AS level, count(*) AS n, round(sum(value), 6) AS total
+FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) GROUP BY ROLLUP (event_type, day)
+""")
+def q_rollup(spark, sf_dir):
+    """Rollup of events by type and day."""
+    e = stored(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return r6(grouping.grouping_sets(e, ["event_type", "day"], grouping.rollup_sets(["event_type", "day"]), {"n": ("count", "*"), "total": ("sum", "value")}))
+
+
+_DISTINCT = " UNION ALL ".join(f"""
+SELECT event_type, year, level, '{c}' AS "column", count(*) AS n_distinct, {total} AS sum_distinct, CAST(sum(n) AS BIGINT) AS n_rows, round(max(n) / sum(n), 6) AS top_share
+FROM (SELECT event_type, year, grouping(event_type) * 2 + grouping(year) AS level, {c}, count(*) AS n FROM e WHERE {c} IS NOT NULL
+      GROUP BY GROUPING SETS ((event_type, year, {c}), (event_type, {c}), ({c}))) GROUP BY 1, 2, 3""" for c, total in (
+    ("user_id", "CAST(sum(user_id) AS DOUBLE)"), ("value", "round(sum(value), 6)"), ("props", "CAST(NULL AS DOUBLE)")))
+
+
+@register("k6_distinct_levels", "WITH e AS (SELECT *, year(ts) AS year FROM events)" + _DISTINCT)
+def q_distinct(spark, sf_dir):
+    """Distinct aggregates of three columns at three levels."""
+    e = stored(spark, sf_dir, "events").withColumn("year", F.year("ts"))
+    return r6(grouping.distinct_aggregates(e, ["event_type", "year"], grouping.rollup_sets(["event_type", "year"]), ["user_id", "value", "props"]))
+
+
+_HALVES = "one AS (SELECT user_id, event_type FROM events WHERE event_id % 2 = 0), two AS (SELECT user_id, event_type FROM events WHERE event_id % 2 = 1)"
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    e = stored(spark, sf_dir, "events")
+    return [e.where(F.col("event_id") % 2 == i).select("user_id", "event_type") for i in (0, 1)]
+
+
+@register("k7_multiset_difference", f"WITH {_HALVES} SELECT * FROM one EXCEPT ALL SELECT * FROM two")
+def q_difference(spark, sf_dir):
+    """Multiset difference of two snapshots: users' actions in even events beyond those in odd ones."""
+    return grouping.multiset_difference(*_halves(spark, sf_dir))
+
+
+@register("k7_multiset_intersection", f"WITH {_HALVES} SELECT * FROM one INTERSECT ALL SELECT * FROM two")
+def q_intersection(spark, sf_dir):
+    """Multiset intersection of the same snapshots."""
+    return grouping.multiset_intersection(*_halves(spark, sf_dir))
