@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import held
+from cellscope.llm.common import held, task
 from cellscope.llm.pretokens import splitter
 
 #: Bytes of pieces encoded by one query, ids decoded by one query.
 QUERY_BYTES, QUERY_IDS = 300_000, 500_000
 #: Pieces kept by a worker; characters of text split at once.
 CACHE_PIECES, CHUNK_CHARS = 250_000, 2_000_000
+#: Rows whose results a worker holds at once.
+SLICE_ROWS = 2000
 #: Words of more bytes contract every occurrence of a pair at once where that is the same.
 LONG_WORD = 1024
 #: Rounds of one recursive query over long words (it keeps every round's rows).
@@ -225,6 +227,13 @@ def codec(path: str, pattern: str) -> Codec:
     return held(("byte_bpe", path, pattern), lambda: Codec(path, pattern))
 
 
+def _slices(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Batches in slices of rows: ids and bytes of a whole batch would be held at once."""
+    for part in parts:
+        for i in range(0, len(part), SLICE_ROWS):
+            yield part.iloc[i:i + SLICE_ROWS]
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """Token ids of each whole text as binary: little-endian unsigned 32-bit integers.
 
@@ -234,8 +243,9 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from cellscope.llm.byte_bpe import codec
-        for part in parts:
-            yield pd.Series(codec(path, pattern).encode(part), dtype=object)
+        with task():
+            for part in _slices(parts):
+                yield pd.Series(codec(path, pattern).encode(part), dtype=object)
     return run(text)
 
 
@@ -244,17 +254,23 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from cellscope.llm.byte_bpe import codec
-        for part in parts:
-            yield pd.Series(codec(path, pattern).decode(part), dtype=object)
+        with task():
+            for part in _slices(parts):
+                yield pd.Series(codec(path, pattern).decode(part), dtype=object)
     return run(ids)
 
 
 def round_trip(text: Column, path: str, pattern: str) -> Column:
-    """struct(ids, decoded): ``encode`` of the text and ``decode`` of these ids, by one worker with one codec."""
+    """struct(ids, decoded): ``encode`` of the text and ``decode`` of these ids, by one worker with one codec.
+
+    Null and empty texts give empty ids and bytes; long texts go in parts.
+    Each row stands alone: repeated rows give the same, an empty table nothing.
+    """
     @F.pandas_udf("ids binary, decoded binary")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         from cellscope.llm.byte_bpe import codec
-        for part in parts:
-            ids = codec(path, pattern).encode(part)
-            yield pd.DataFrame({"ids": ids, "decoded": codec(path, pattern).decode(ids)}, dtype=object)
+        with task():
+            for part in _slices(parts):
+                ids = codec(path, pattern).encode(part)
+                yield pd.DataFrame({"ids": ids, "decoded": codec(path, pattern).decode(ids)}, dtype=object)
     return run(text)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import shutil
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +39,52 @@ def held(key, make):
     return _HELD[key]
 
 
+#: Seconds after a worker's last task before it gives its memory back.
+IDLE_SECONDS = 1.0
+_RUNNING, _IDLE = 0, None
+
+
+def let_go() -> None:
+    """Drop this worker's model and give freed memory back to the system, unless a task runs."""
+    if not _RUNNING:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: nothing to trim
+            pass
+
+
+@contextmanager
+def task() -> Iterator[None]:
+    """Around the batches of one Python task: a worker that gets no other task soon keeps no memory.
+
+    Workers stay for a minute after a stage; between tasks of one stage the model stays.
+    """
+    global _RUNNING, _IDLE
+    if _IDLE:
+        _IDLE.cancel()
+    _RUNNING += 1
+    try:
+        yield
+    finally:
+        _RUNNING -= 1
+        _IDLE = threading.Timer(IDLE_SECONDS, let_go)
+        _IDLE.daemon = True
+        _IDLE.start()
+
+
 _SHIPPED: set[str] = set()
+#: Rows of an Arrow batch where the session has Spark's default of 10,000: documents are long rows.
+ARROW_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000")
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once a session, where they may not have it installed."""
+    """Give the Python workers this package, once a session, where they may not have it installed, and smaller batches."""
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS[0], ARROW_ROWS[1]) == ARROW_ROWS[1]:
+        spark.conf.set(ARROW_ROWS[0], ARROW_ROWS[2])
     if sc.applicationId not in _SHIPPED:
         root = Path(__file__).resolve().parents[2]
         sc.addPyFile(shutil.make_archive(str(Path(tempfile.mkdtemp(dir=sc._temp_dir), "cellscope")), "zip", root, "cellscope"))

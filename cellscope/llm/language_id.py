@@ -7,6 +7,7 @@ language is the one with the largest sum of word marginals.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -27,12 +28,20 @@ PIECE_WORDS = 400
 #: Words a language that the learned lexicon holds.
 LEXICON_WORDS = 5000
 #: Words scored at once, and words whose scores are kept between batches.
-CHUNK_WORDS, CACHE_WORDS = 600_000, 200_000
+CHUNK_WORDS, CACHE_WORDS = 300_000, 200_000
+
+
+#: All marks come after it.
+_FIRST_MARK = "\u02ff"
 
 
 def letters(token: str) -> str:
-    """The letters of a token, in lower case."""
-    return (token if token.isalpha() else "".join(filter(str.isalpha, token))).lower()
+    """The letters of a token with their marks, in lower case; marks without a letter are no word."""
+    if not token.isalpha():
+        token = "".join(c for c in token if c.isalpha() or c > _FIRST_MARK and unicodedata.category(c)[0] == "M")
+        if not any(map(str.isalpha, token)):
+            return ""
+    return token.lower()
 
 
 def features(words: list[str], lexicon: dict[str, bytes]) -> crf.Features:
@@ -172,9 +181,10 @@ def predict(spark, model: Model | None, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        from cellscope.llm.common import held
+        from cellscope.llm.common import held, task
         from cellscope.llm.language_id import Scorer
-        for part in parts:
-            scorer = held(("language_id", name), lambda: Scorer(sent.value))
-            yield pd.DataFrame(scorer(part), columns=["lang_pred", "score"])
+        with task():
+            for part in parts:
+                scorer = held(("language_id", name), lambda: Scorer(sent.value))
+                yield pd.DataFrame(scorer(part), columns=["lang_pred", "score"])
     return run(text)

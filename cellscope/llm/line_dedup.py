@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import SPACE, fresh, written
+from cellscope.llm.common import SPACE, fresh, task, written
 
 _SPACE = SPACE.encode()
 #: A key in at least 1 / HOT_SHARE of all (document, key) rows is hot: so there are HOT_SHARE hot keys at most.
@@ -70,14 +70,15 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col:
 
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def clean(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, gone in parts:
-            rows = []
-            for text, drop in zip(texts, gone):
-                lines = (text or "").encode().split(b"\n")
-                drop = set() if drop is None else set(drop)
-                kept = [x for x in lines if _digest(x, min_chars) not in drop] if drop else lines
-                rows.append((b"\n".join(kept).decode(), len(lines), len(lines) - len(kept)))
-            yield pd.DataFrame(rows, columns=["text", "n_lines", "n_dropped"])
+        with task():
+            for texts, gone in parts:
+                rows = []
+                for text, drop in zip(texts, gone):
+                    lines = (text or "").encode().split(b"\n")
+                    drop = set() if drop is None else set(drop)
+                    kept = [x for x in lines if _digest(x, min_chars) not in drop] if drop else lines
+                    rows.append((b"\n".join(kept).decode(), len(lines), len(lines) - len(kept)))
+                yield pd.DataFrame(rows, columns=["text", "n_lines", "n_dropped"])
 
     joined = docs.join(per_doc, F.col(id_col).eqNullSafe(F.col(key)), "left").withColumn(out, clean(F.col(text_col), F.col(dropped)))
     more = [F.col(f"{out}.n_lines").alias(counts[0]), F.col(f"{out}.n_dropped").alias(counts[1])] if counts else []

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cellscope.llm import cross_polytope, simhash, threshold_topk
+from cellscope.llm import cross_polytope, language_id, simhash, threshold_topk
 from cellscope.llm.common import written
 from cellscope.llm.components import components
 from tests.llm.fixtures import awkward, empty, random_text
@@ -218,8 +218,39 @@ def test_pipeline_stages(spark, sf_small):
 
 
 def test_pipeline_awkward(spark):
-    for docs in (awkward(spark).select("doc_id", "text", "lang", "source", "n_chars"), empty(spark)):
-        n = docs.count()
-        for _, stage in corpus_pipeline.STAGES:
+    for docs in (awkward(spark), empty(spark)):
+        n, columns = docs.count(), docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            given = docs
             docs = written(stage(spark, docs, ""), "test-stage")
-        assert docs.count() <= 2 * n
+            assert docs.columns[:len(columns)] == columns and (name == "byte_bpe" or len(docs.columns) == len(columns))
+            if n and name == "language_id":  # texts with letters stay
+                assert {r["doc_id"] for r in docs.collect()} >= {1, 5}
+            if name == "line_dedup":
+                assert docs.count() == given.count()
+        assert (0 < docs.count() <= 2 * n) if n else docs.count() == 0
+
+
+def test_no_known_language_keeps_all(spark):
+    docs = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_stage(spark, docs, "").count() == docs.count()
+
+
+def test_keep_one_of_rows_that_repeat_an_id(spark):
+    docs = spark.createDataFrame([(1, "A b c d e", i) for i in range(20)] + [(1, "a B c d e", i) for i in range(20)], "doc_id long, text string, n long")
+    kept = {simhash.keep_one(docs.repartition(k), words=3, max_bits=3).collect()[0] for k in (1, 3, 7)}
+    assert len(kept) == 1
+
+
+def test_letters_keep_their_marks():
+    assert language_id.letters("हिन्दी") == "हिन्दी" and language_id.letters("e\u0301te,") == "e\u0301te" and language_id.letters("\u0301!") == ""
+
+
+def test_idle_workers_let_go():
+    from cellscope.llm import common
+    common.held("a", dict)
+    with common.task():
+        common.let_go()
+        assert "a" in common._HELD
+    common.let_go()
+    assert not common._HELD
