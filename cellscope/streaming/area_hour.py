@@ -40,7 +40,7 @@ def start_area_hour_stream(spark: SparkSession, input_dir: str, output_dir: str,
     """
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         area_hour_lines(batch).write.mode("overwrite").text(f"{output_dir.rstrip('/')}/epoch={epoch_id}")
-        _drop_old(batch.sparkSession, output_dir, KEEP_EPOCHS)
+        drop_epochs(batch.sparkSession, output_dir, KEEP_EPOCHS)
 
     writer = (area_hour_stream(spark, input_dir).writeStream.outputMode("complete")
               .foreachBatch(write_epoch).option("checkpointLocation", checkpoint_dir))
@@ -53,19 +53,22 @@ def start_area_hour_stream(spark: SparkSession, input_dir: str, output_dir: str,
 
 def latest_snapshot(spark: SparkSession, output_dir: str) -> DataFrame:
     """The text lines of the newest epoch written by the stream."""
-    return spark.read.text(f"{output_dir.rstrip('/')}/epoch={max(_epochs(spark, output_dir))}")
+    return spark.read.text(f"{output_dir.rstrip('/')}/epoch={max(epochs(spark, output_dir))}")
 
 
-def _epochs(spark: SparkSession, output_dir: str) -> list[int]:
+def epochs(spark: SparkSession, output_dir: str) -> list[int]:
     """Numbers of the complete snapshots: a listing of folders, not of their files."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(output_dir)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
     done = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("epoch=")]
     return [int(p.getName().split("=")[1]) for p in done
             if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
 
 
-def _drop_old(spark: SparkSession, output_dir: str, keep: int) -> None:
-    for epoch in sorted(_epochs(spark, output_dir))[:-keep]:
+def drop_epochs(spark: SparkSession, output_dir: str, keep: int) -> None:
+    """Delete all snapshots but the ``keep`` newest."""
+    for epoch in sorted(epochs(spark, output_dir))[:-keep]:
         old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{output_dir.rstrip('/')}/epoch={epoch}")
         old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
