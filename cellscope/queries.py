@@ -591,8 +591,8 @@ def q_e8_all(spark, sf_dir):
     return r6(corr.corr_matrix(engineered(spark, sf_dir), exclude=(), deletion="pairwise"))
 
 
-def _ranking_sql(listwise: bool, k: int, include_self: bool, direction: str) -> str:
-    base = _matrix_sql(listwise)
+def _ranking_sql(listwise: bool, k: int, include_self: bool, direction: str, *columns) -> str:
+    base = _matrix_sql(listwise, *columns)
     self_filter = "" if include_self else " AND col_a <> 'target'"
     ranked = (f"SELECT col_a AS \"column\", corr, CAST(row_number() OVER (ORDER BY corr DESC NULLS LAST, col_a) AS INTEGER) "
               f"AS rank, count(*) OVER () AS total FROM final WHERE col_b = 'target'{self_filter}")
@@ -622,6 +622,13 @@ def q_e9c(spark, sf_dir):
     return r6(corr.target_ranking(m.withColumn("corr", round6("corr")), k=5, direction="bottom"))
 
 
+@register("e9_top11_all_columns", _ranking_sql(False, 11, True, "top", ALL_MATRIX_COLUMNS))
+def q_e9d(spark, sf_dir):
+    """Top 11 of the matrix of all columns, self included (pairwise)."""
+    m = corr.corr_matrix(engineered(spark, sf_dir), exclude=(), deletion="pairwise")
+    return r6(corr.target_ranking(m.withColumn("corr", round6("corr")), k=11))
+
+
 def _hist_sql(expr: str, bins: int, src: str = "m", pre: str = M) -> str:
     return pre + f""", hv AS (SELECT {expr} AS x FROM {src} WHERE {expr} IS NOT NULL AND NOT isnan({expr})),
 hst AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,

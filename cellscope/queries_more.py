@@ -1,6 +1,7 @@
-"""Queries of operations beyond the measurement programs: ordered joins, nearness joins, running aggregates.
+"""Queries of operations beyond the measurement programs: ordered and nearness joins, running aggregates, levels,
+multisets, event-time windows, JSON texts, and the library from SQL text.
 
-Each reads ``events`` or ``orders`` whole and has a DuckDB oracle.
+Each reads ``events``, ``orders`` or the measurements whole and has a DuckDB oracle.
 """
 
 from __future__ import annotations
@@ -9,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscope.functions.time import epoch_to_timestamp, hour_of_day
+from cellscope.functions import json_text
 from cellscope.operators import grouping, near, ranges
-from cellscope.queries import HOUR_SQL, M, measurements, r6, register
+from cellscope.queries import HOUR_SQL, M, SCALED_CTE, measurements, r6, register
+from cellscope.session import scratch_path
+from cellscope.sql import install
+from cellscope.streaming.windows import EventWindows
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,3 +163,100 @@ def q_difference(spark, sf_dir):
 def q_intersection(spark, sf_dir):
     """Multiset intersection of the same snapshots."""
     return grouping.multiset_intersection(*_halves(spark, sf_dir))
+
+
+_EARLY = "ts < TIMESTAMP '2024-01-20' AND event_id % 10 <> 0"
+
+
+@register("k8_event_windows", f"""
+WITH e AS (SELECT *, {_EARLY} AS early, CAST(floor(epoch_us(ts) / 7200000000) AS BIGINT) AS slot FROM events),
+w AS (SELECT *, (slot - back) * 7200000000 AS begins FROM e, (SELECT unnest([0, 1, 2]) AS back)),
+mark AS (SELECT max(epoch_us(ts)) - 3600000000 AS reached FROM e WHERE early)
+SELECT make_timestamp(begins) AS window_start, event_type, count(*) AS n, round(sum(value), 6) AS total, round(min(value), 6) AS least,
+       round(max(value), 6) AS most, CAST(count(*) FILTER (NOT early AND begins + 21600000000 <= reached) AS BIGINT) AS n_late
+FROM w, mark GROUP BY 1, 2
+""")
+def q_windows(spark, sf_dir):
+    """Event-time windows of six hours every two, as a stream: a tenth of the early events comes days late, with the later ones."""
+    e, base = stored(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"), scratch_path(spark, "event-windows")
+    windows = EventWindows(spark, f"{base}/out", "ts", ["event_type"], "value", 6 * 3600, 2 * 3600, delay=3600)
+    for lot, rows in (("early", e.where(_EARLY)), ("late", e.where(f"NOT ({_EARLY})"))):
+        rows.write.parquet(f"{base}/in/{lot}")
+        windows.start(spark.readStream.schema(e.schema).parquet(f"{base}/in/*"), f"{base}/checkpoint").awaitTermination()
+    return r6(windows.result(with_open=True).drop("n_value", "mean").withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+
+
+_RECORDS = """WITH j AS (SELECT event_id, json_merge_patch(props, to_json({'type': event_type, 'value': value, 'big': value >= 50})) AS record FROM events)"""
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's properties and columns as one JSON text."""
+    e = stored(spark, sf_dir, "events")
+    own = F.struct(F.col("event_type").alias("type"), "value", (F.col("value") >= 50).alias("big"))
+    inner = F.regexp_replace("props", r"^\{|\}$", "")
+    return e.select("event_id", F.concat(F.lit("{"), inner, F.when(inner != "", ", ").otherwise(""), F.substr(F.to_json(own), F.lit(2))).alias("record"))
+
+
+@register("k9_json_keys", _RECORDS + """,
+v AS (SELECT unnest(json_keys(record)) AS key, record FROM j),
+t AS (SELECT key, json_type(json_extract(record, '$.' || key)) AS kind, json_extract_string(record, '$.' || key) AS x FROM v)
+SELECT key, count(*) AS n, CASE WHEN bool_and(kind IN ('UBIGINT', 'BIGINT')) THEN
+  CASE WHEN min(TRY_CAST(x AS BIGINT)) >= -128 AND max(TRY_CAST(x AS BIGINT)) < 128 THEN 'tinyint' ELSE 'smallint' END
+  WHEN bool_and(kind IN ('UBIGINT', 'BIGINT', 'DOUBLE')) THEN 'double' WHEN bool_and(kind = 'BOOLEAN') THEN 'boolean' ELSE 'string' END AS type
+FROM t GROUP BY 1
+""")
+def q_json_keys(spark, sf_dir):
+    """Keys of JSON texts with the narrowest type that holds all their values."""
+    return json_text.json_keys(_records(spark, sf_dir), "record").select("key", "n", "type")
+
+
+@register("k9_json_typed", _RECORDS + """
+SELECT event_id, CAST(json_extract(record, '$.big') AS BOOLEAN) AS big, CAST(json_extract(record, '$.k') AS BIGINT) AS k,
+       json_extract_string(record, '$.type') AS "type", round(CAST(json_extract(record, '$.value') AS DOUBLE), 6) AS value FROM j
+""")
+def q_json_typed(spark, sf_dir):
+    """The same texts as typed columns."""
+    typed = json_text.typed_json(_records(spark, sf_dir), "record").drop("record")
+    return r6(typed.withColumn("k", F.col("k").cast("bigint")))
+
+
+@register("k9_json_figures", """
+SELECT event_type, 'k' AS key, count(*) AS n, round(sum(x), 6) AS total, round(avg(x), 6) AS mean, round(min(x), 6) AS least, round(max(x), 6) AS most
+FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS DOUBLE) AS x FROM events) GROUP BY 1
+""")
+def q_json_figures(spark, sf_dir):
+    """Figures of the properties' numbers by event type."""
+    return r6(json_text.json_figures(stored(spark, sf_dir, "events"), "props", ["event_type"]).drop("n_number"))
+
+
+def _installed(spark: SparkSession, sf_dir: str, **kw) -> SparkSession:
+    install(spark, measurements(spark, sf_dir), **kw)
+    return spark
+
+
+@register("k10_sql_area_hour", M + f"""
+SELECT concat(area, '_', lpad(CAST(hour AS VARCHAR), 2, '0')) AS area_hour, round(avg_rsrp, 6) AS avg_rsrp, round(avg_jam, 6) AS avg_jam, n FROM (
+SELECT area, {HOUR_SQL} AS hour, avg(PCell_RSRP_max) AS avg_rsrp, avg("Traffic Jam Factor") AS avg_jam, count(*) AS n FROM m
+WHERE "timestamp" IS NOT NULL AND PCell_RSRP_max IS NOT NULL AND PCell_SNR_max IS NOT NULL AND speed_kmh IS NOT NULL AND "Traffic Jam Factor" IS NOT NULL
+  AND humidity IS NOT NULL AND precipProbability IS NOT NULL AND "timestamp" >= 1610000000 GROUP BY 1, 2)
+""")
+def q_sql_area_hour(spark, sf_dir):
+    """E1 from SQL text: the view with a parameter, and a scalar function over it."""
+    return r6(_installed(spark, sf_dir, ranges=False).sql(
+        "SELECT cs_area_hour_key(area, lpad(hour, 2, '0')) AS area_hour, avg_rsrp, avg_jam, n FROM cs_area_hour(since => 1610000000)"))
+
+
+@register("k10_sql_weighted_scores", M + SCALED_CTE + """
+SELECT id, round(EnvScore, 6) AS EnvScore, round(0.1 * SignalScore + 0.2 * MobilityScore + 0.6 * EnvScore - 0.3 * CongestionPenalty, 6) AS QoS_Score FROM comp
+""")
+def q_sql_scores(spark, sf_dir):
+    """H4 from SQL text, with two weights given and two by default."""
+    return r6(_installed(spark, sf_dir).sql("SELECT id, EnvScore, QoS_Score FROM cs_weighted_scores(w_signal => 0.1D, w_env => 0.6D)"))
+
+
+@register("k10_sql_top_routes", M + SCALED_CTE + """, s AS (SELECT id, 0.25 * SignalScore + 0.25 * MobilityScore + 0.25 * EnvScore - 0.25 * CongestionPenalty AS score FROM comp)
+SELECT CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) AS place, 'Route ' || id AS route, round(score, 6) AS score FROM s ORDER BY score DESC, id LIMIT 25
+""")
+def q_sql_top(spark, sf_dir):
+    """F2 from SQL text: the best 25 under equal weights."""
+    return r6(_installed(spark, sf_dir).sql("SELECT place, route, QoS_Score AS score FROM cs_top_routes(25, 0.25D, 0.25D, 0.25D, 0.25D)"))

@@ -28,9 +28,13 @@ _PARTS = {"n": F.sum, "n_value": F.sum, "total": F.sum, "least": F.min, "most":
 _MARK = "watermark long, n_rows long, n_late long, n_without_time long"
 
 
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(f"`{ts}`").cast("timestamp"))
+
+
 def windows_of(ts: str, seconds: int, slide: int) -> Column:
     """Starts (microseconds) of the windows that hold ``ts``; none where it is null."""
-    at, step = F.unix_micros(ts), slide * MICROS
+    at, step = _micros(ts), slide * MICROS
     last = at - F.pmod(at, F.lit(step))
     first = last - F.lit((-(-seconds // slide) - 1) * step)
     held = F.sequence(first, last, F.lit(step).cast("long"))
@@ -43,7 +47,7 @@ def window_parts(rows: DataFrame, ts: str, keys: Sequence[str], value: str, seco
     ``n_new``: rows of which this is the last window (rows without a time: the
     null window); ``seen``: greatest event time.
     """
-    at = F.unix_micros(ts)
+    at = _micros(ts)
     held = rows.select(at.alias("at"), F.explode_outer(windows_of(ts, seconds, slide)).alias("window"), *[F.col(f"`{k}`") for k in keys],
                        F.col(f"`{value}`").alias("x"))
     is_last = F.col("window").isNull() | (F.col("window") + F.lit(slide * MICROS) > F.col("at"))
@@ -60,7 +64,8 @@ class EventWindows:
 
     ``delay``: seconds that the watermark stays behind the greatest event time
     of all earlier epochs; a window is closed once its end is not after the
-    watermark. Rows without an event time are in no window, and are counted.
+    watermark. Rows without an event time are in no window, and are counted; times
+    without a zone are taken in the session's.
     Null keys are a key; null values count in ``n`` only. An epoch without rows
     changes nothing. ``keys`` and ``value`` may have any name but those of the
     result's own columns.
