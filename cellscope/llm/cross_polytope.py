@@ -30,15 +30,29 @@ TABLES, PROBE_AT, VOTES = 24, 1.4, 3
 BAND, FOUND = 1.1, 0.95
 
 
+def _small_hadamard(d: int) -> np.ndarray:
+    h = np.ones((1, 1))
+    while len(h) < d:
+        h = np.block([[h, h], [h, -h]])
+    return h
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """Fast Walsh-Hadamard transform of each row (a power of two long), scaled to keep norms."""
+    """Fast Walsh-Hadamard transform of each row (a power of two long), scaled to keep norms.
+
+    Two steps of a radix about the root of the width, each a product with a
+    small matrix, some rows at a time so that they stay in the cache.
+    """
     n, d = x.shape
-    h = 1
-    while h < d:
-        y = x.reshape(n, d // (2 * h), 2, h)
-        x = np.stack([y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]], axis=2).reshape(n, d)
-        h *= 2
-    return x / np.sqrt(d)
+    b = 1 << d.bit_length() // 2
+    a = d // b
+    inner, outer = _small_hadamard(b), _small_hadamard(a) / np.sqrt(d)
+    out = np.empty((n, d))
+    for lo in range(0, n, 1024):
+        y = (x[lo:lo + 1024].reshape(-1, b) @ inner).reshape(-1, a, b)
+        y = (y.transpose(0, 2, 1).reshape(-1, a) @ outer).reshape(-1, b, a)
+        out[lo:lo + 1024] = y.transpose(0, 2, 1).reshape(-1, d)
+    return out
 
 
 def rotations(x: np.ndarray, tables: int, seed: int) -> Iterator[np.ndarray]:
@@ -57,6 +71,23 @@ def axis_of(y: np.ndarray) -> np.ndarray:
     return i + y.shape[1] * (y[np.arange(len(y)), i] < 0)
 
 
+def inverted(buckets: list[np.ndarray], axes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tables' lists of points one after the other, by table and bucket; each list's place and size."""
+    n = len(buckets[0])
+    lists = np.concatenate([np.argsort(b, kind="stable") for b in buckets]).astype(np.int32)
+    size_of = np.concatenate([np.bincount(b, minlength=axes) for b in buckets])
+    table = np.repeat(np.arange(len(buckets)) * n, axes)
+    inside = np.concatenate([np.cumsum(s) - s for s in size_of.reshape(len(buckets), axes)])
+    return lists, table + inside, size_of
+
+
+def met(lists: np.ndarray, first_of: np.ndarray, size_of: np.ndarray, probes: np.ndarray) -> np.ndarray:
+    """The points in the probed lists, each as often as it is met; no other list is read."""
+    size = size_of[probes]
+    ends = np.cumsum(size)
+    return lists[np.repeat(first_of[probes] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def norms(x: np.ndarray) -> np.ndarray:
     """Length of each row, without overflow of the squares; no row is zero."""
     most = np.abs(x).max(1, keepdims=True)
@@ -95,13 +126,11 @@ def _search(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.nd
     unit = points / longest[band][:, None]
     x = padded(unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(1))))
     q = padded(queries / length[:, None], np.zeros(len(queries)))
-    buckets = [axis_of(y) for y in rotations(x, tables, seed)]
+    lists, first_of, size_of = inverted([axis_of(y) for y in rotations(x, tables, seed)], 2 * width)
     for lo in range(0, len(q), 256):
-        met = np.zeros((len(q[lo:lo + 256]), len(x)), np.uint8)
-        for bucket, y in zip(buckets, rotations(q[lo:lo + 256], tables, seed)):
-            probed = np.concatenate([y, -y], axis=1) >= probe_at / np.sqrt(width)
-            met += probed[:, bucket]
-        for i, row in enumerate(met, lo):
+        probed = np.stack([np.concatenate([y, -y], axis=1) for y in rotations(q[lo:lo + 256], tables, seed)], axis=1) >= probe_at / np.sqrt(width)
+        for i, axes in enumerate(probed.reshape(len(probed), -1), lo):
+            row = np.bincount(met(lists, first_of, size_of, np.nonzero(axes)[0]), minlength=len(x))
             others = ids != own[i]
             at = np.nonzero((row >= votes) & others)[0]
             score = points[at] @ queries[i]
