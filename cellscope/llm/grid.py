@@ -28,11 +28,11 @@ def finite_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 class Grid:
-    """Block numbers for ``points`` points and ``queries`` queries."""
+    """Block numbers for ``points`` points and ``queries`` queries, at most about ``q_block`` queries a block."""
 
-    def __init__(self, points: int, queries: int) -> None:
+    def __init__(self, points: int, queries: int, q_block: int = BLOCK) -> None:
         self.shards = max(LEAST_BLOCKS, -(-points // BLOCK))
-        self.q_blocks = max(1, -(-queries // BLOCK))
+        self.q_blocks = max(1, -(-queries // q_block))
 
     def shard(self, vec_id: Column) -> Column:
         return F.pmod(F.xxhash64(vec_id), F.lit(self.shards))

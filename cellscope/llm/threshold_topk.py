@@ -2,8 +2,9 @@
 
 An inner product is the sum of the scores that two nodes know, each for its
 half of the components.
-Phase 1: every node sends its k highest scores of each query; the totals of
-these few vectors are looked up, and the k-th highest is a safe cutoff.
+Phase 1: every node sends its highest scores of each query, k of each block;
+the halves missing of up to LISTED of a node's are fetched, and the k-th highest
+total is a safe cutoff: the more are looked up, the nearer to the final one.
 Phase 2: the cutoff over the number of nodes goes to all nodes, and each sends
 all vectors that reach it. A vector that no node sends has a lower total than
 the cutoff. Phase 3: what a vector can reach at most is what is known of it
@@ -23,6 +24,10 @@ from cellscope.llm.common import written
 from cellscope.llm.grid import Grid, best, finite_vectors, matrix, top, width_of
 
 NODES = 2
+#: Entries of a node's list that are looked up for the first cutoff, for each result asked for.
+LISTED = 8
+#: Queries of a block: a cell's entries of phase 2 are one task's rows at a time.
+Q_BLOCK = 8_192
 _SCORES = "query_id long, vec_id long, node int, partial long"
 
 
@@ -104,16 +109,22 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     with zeros after the shorter one's end. Scores must fit in 64 bits. Other
     columns are ignored. An empty table gives no rows.
     """
-    whole = finite_vectors(vectors, id_col, vector_col).select(
-        "vec_id", F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("double")).alias("v"))
-    points = written(whole, "topk-points")
-    n, width, n_queries = points.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count(F.when(is_query(F.col("vec_id")), 1))).first()
-    grid, half = Grid(n, n_queries), max(1, -(-(width or 1) // NODES))
-    sliced = points.withColumn("node", F.explode(F.sequence(F.lit(0), F.lit(NODES - 1)))).withColumn(
-        "v", F.slice("v", F.col("node") * half + 1, F.lit(half)))
-    queries = sliced.where(is_query(F.col("vec_id"))).withColumnRenamed("vec_id", "query_id")
+    whole = written(finite_vectors(vectors, id_col, vector_col).select(
+        "vec_id", F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("double")).alias("v")), "topk-vectors")
+    asking = whole.where(is_query(F.col("vec_id")))
+    copy = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    first_copies = whole.withColumn("copy", copy).where(F.col("copy") <= k + 1).select("vec_id", "v")
+    points = written(first_copies, "topk-points")
+    n, width = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    grid, half = Grid(n, asking.count(), Q_BLOCK), max(1, -(-(width or 1) // NODES))
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("node", F.explode(F.sequence(F.lit(0), F.lit(NODES - 1)))).withColumn(
+            "v", F.slice("v", F.col("node") * half + 1, F.lit(half)))
+
+    queries = sliced(asking).withColumnRenamed("vec_id", "query_id")
     by_node = lambda df: df.withColumn("cell", F.col("cell") * NODES + F.col("node"))
-    left = by_node(grid.points(sliced))
+    left = by_node(grid.points(sliced(points)))
 
     def at_nodes(right: DataFrame, run) -> DataFrame:
         right = right.select(*(F.col(c).alias(c) for c in right.columns))  # columns of its own, not left's
@@ -123,15 +134,22 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
         order = Window.partitionBy("query_id").orderBy(F.desc(score))
         return rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") == k).select("query_id", F.col(score).alias(name))
 
-    # Phase 1
     own = by_node(grid.queries(queries))
-    lists = at_nodes(own, _highest(k))
+
+    def fetched(asked: DataFrame) -> DataFrame:
+        """Scores of the pairs (query_id, vec_id, node) at that node."""
+        cell = grid.cell(grid.shard(F.col("vec_id")), grid.q_block(F.col("query_id"))) * NODES + F.col("node")
+        right = asked.select("query_id", "vec_id", "node", F.lit(None).cast("array<double>").alias("v"), cell.alias("cell")).unionByName(
+            own.select("query_id", F.lit(None).cast("long").alias("vec_id"), "node", "v", "cell"))
+        return at_nodes(right, _fetch).drop("node")
+
+    # Phase 1
     order = Window.partitionBy("query_id", "node").orderBy(F.desc("partial"), "vec_id")
-    first = lists.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select("query_id", "vec_id").distinct()
-    x, q = points.withColumnRenamed("v", "x"), points.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    dot = F.aggregate(F.zip_with("x", "q", lambda a, b: F.coalesce(a.cast("long") * b.cast("long"), F.lit(0).cast("long"))),
-                      F.lit(0).cast("long"), lambda a, b: a + b)
-    known = first.join(x, "vec_id").join(q, "query_id").select("query_id", dot.alias("total"))
+    lists = at_nodes(own, _highest(k)).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k * LISTED)
+    first = written(lists.groupBy("query_id", "vec_id").agg(F.sum("partial").alias("has"), F.count(F.lit(1)).alias("n"), F.min("node").alias("node")), "topk-lists")
+    half_known = first.where(F.col("n") < NODES).select("query_id", "vec_id", (NODES - 1 - F.col("node")).alias("node"), "has")
+    known = first.where(F.col("n") == NODES).select("query_id", F.col("has").alias("total")).unionByName(
+        half_known.join(fetched(half_known), ["query_id", "vec_id"]).select("query_id", (F.col("has") + F.col("partial")).alias("total")))
     cutoff = written(kth(known, "total", "cutoff"), "topk-cutoff")
     # Phase 2: a score reaches cutoff / NODES exactly if it reaches that number rounded up. Fewer than k vectors: all do.
     least = F.ceil(F.col("cutoff") / F.lit(NODES).cast("decimal(20,0)")).cast("long")
@@ -148,9 +166,5 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     open_ = seen.where(F.col("n") < NODES).join(bar, "query_id").where(most >= F.col("bar"))
     asked = open_.select("query_id", "vec_id", (NODES - 1 - F.col("node")).alias("node"), F.col("score").alias("has"))
     asked = written(asked, "topk-asked")
-    cell = grid.cell(grid.shard(F.col("vec_id")), grid.q_block(F.col("query_id"))) * NODES + F.col("node")
-    right = asked.select("query_id", "vec_id", "node", F.lit(None).cast("array<double>").alias("v"), cell.alias("cell")).unionByName(
-        own.select("query_id", F.lit(None).cast("long").alias("vec_id"), "node", "v", "cell"))
-    fetched = at_nodes(right, _fetch).drop("node")
-    resolved = asked.join(fetched, ["query_id", "vec_id"]).select("query_id", "vec_id", (F.col("has") + F.col("partial")).alias("score"))
+    resolved = asked.join(fetched(asked), ["query_id", "vec_id"]).select("query_id", "vec_id", (F.col("has") + F.col("partial")).alias("score"))
     return top(done.select("query_id", "vec_id", "score").unionByName(resolved), k)
