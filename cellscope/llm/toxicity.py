@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 SAMPLE_TOXIC, SAMPLE_OTHER = 1500, 3000
 #: Words on each side of a match that are its context.
 WINDOW = 8
-#: Different contexts that a term has at least, how much likelier toxic examples use it, terms at most.
-LEAST_CONTEXTS, LEAST_ODDS, TERMS = 4, 20.0, 500
+#: Different contexts that a term has at least, how much likelier toxic examples use it.
+LEAST_CONTEXTS, LEAST_ODDS = 4, 20.0
+#: Code points of the terms that are looked for in runs of letters of scripts written without spaces.
+GRAMS = (1, 2, 3, 4)
 #: Share of words among the terms that toxic examples have by mere chance, at most about; share of words that makes contexts alike.
 FALSE_TERMS, ALIKE = 0.05, 2 / 3
 #: Lengths of stems; words and contexts that a stem has at least.
@@ -47,6 +49,20 @@ def _is_letter(c: str) -> bool:
     return c.isalnum() or category(c)[0] == "M"  # marks are parts of letters
 
 
+def _unspaced(c: str) -> bool:
+    """Letters of scripts written without spaces between words: Thai, Lao, Myanmar, Khmer, Han, Kana."""
+    return ("\u0e00" <= c <= "\u0eff" or "\u1000" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff" or "\u3005" <= c <= "\u30ff"
+            or "\u3400" <= c <= "\u9fff" or "\uf900" <= c <= "\ufaff" or "\U00020000" <= c <= "\U0003ffff")
+
+
+def _grams(run: str) -> list[str]:
+    """Runs of 1 to 4 letters within the parts of ``run`` that are in a script without spaces."""
+    if run.isascii():
+        return []
+    parts = "".join(c if _unspaced(c) else " " for c in run).split()
+    return [p[i:i + n] for p in parts for n in GRAMS for i in range(len(p) - n + 1)]
+
+
 def parts_of(token: str) -> list[tuple[str, list[str]]]:
     """The words of a token cut at its signs, signs like letters kept inside, each with its runs of letters and digits."""
     word = word_of(token)
@@ -61,8 +77,10 @@ def parts_of(token: str) -> list[tuple[str, list[str]]]:
 
 
 def words_of(token: str) -> set[str]:
-    """All words that a token holds: the whole, and its parts."""
-    return {w for piece, runs in parts_of(token) for w in (piece, *runs)} | ({word_of(token)} - {""})
+    """All words that a token holds: the whole, its parts, and short runs of letters in scripts without spaces."""
+    parts = parts_of(token)
+    return ({w for piece, runs in parts for w in (piece, *runs)} | ({word_of(token)} - {""})
+            | {g for _, runs in parts for x in runs for g in _grams(x)})
 
 
 class Words(dict):
@@ -74,6 +92,7 @@ class Words(dict):
 
 
 def edits_allowed(term: str) -> int:
+    """Edits of a misspelling: none of terms under five code points (one would meet too many other words), then one, from nine on two."""
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
@@ -180,7 +199,8 @@ def _contexts(texts: list[tuple[str, ...]], least: dict[str, int], words_in: Wor
                 if u in found and len(found[u]) < least[u]:
                     places[u].append(i)
         for u, at in places.items():
-            windows = [frozenset(Model._window(words, i)) for i in at]
+            # In scripts without spaces the rest of the token is context too.
+            windows = [frozenset((*Model._window(words, i), *(g for g in _grams(words[i]) if len(g) == 2))) for i in at]
             if not any(len(a & b) >= ALIKE * max(len(a), len(b)) for a in windows for kept in found[u] for b in kept):
                 found[u].append(windows)
     return {u for u, kept in found.items() if len(kept) >= least[u]}
@@ -194,9 +214,9 @@ def _lexicon(tokens: list[list[str]], labels: list[int]) -> tuple[list[str], lis
     n, clean, words_in = [Counter(), Counter()], set(), Words()
     for y in (0, 1):
         for ws in texts[y]:
-            n[y].update({w for t in {ws[i] for i in _outside(ws)} for w in words_in[t] if len(w) > 2})
+            n[y].update({w for t in {ws[i] for i in _outside(ws)} for w in words_in[t]})
     for ws in texts[0]:
-        clean.update(w for t in set(ws) for w in words_in[t] if len(w) > 2)
+        clean.update(w for t in set(ws) for w in words_in[t])
     docs = [max(1, len(t)) for t in texts]
     strong = {w: _by_chance(k, k + n[0][w], docs[1] / sum(docs)) for w, k in n[1].items()
               if k >= LEAST_CONTEXTS and (k / docs[1]) / ((n[0][w] + 0.1) / docs[0]) >= LEAST_ODDS}
@@ -213,8 +233,8 @@ def _lexicon(tokens: list[list[str]], labels: list[int]) -> tuple[list[str], lis
     different = _contexts(list(texts[1]), dict.fromkeys(terms, LEAST_CONTEXTS), words_in)
     short = [p for p in good if not any(p[:k] in good for k in STEM_CHARS if k < len(p))]
     # As long as all its words agree: a short stem would meet words of other texts.
-    stems = sorted({commonprefix([w for w in n[1] if w.startswith(p) and all(map(_is_letter, w))]) for p in short})[:TERMS]
-    return sorted((w for w in terms if w in different), key=lambda w: (-n[1][w], w))[:TERMS], stems, clean
+    stems = sorted({commonprefix([w for w in n[1] if w.startswith(p) and all(map(_is_letter, w))]) for p in short})
+    return sorted((w for w in terms if w in different), key=lambda w: (-n[1][w], w)), stems, clean
 
 
 class Model:
@@ -229,6 +249,7 @@ class Model:
         self.trie = Trie(self.terms, self.stems)
         # What other examples write is no misspelling.
         own = set(self.terms)
+        self._short = {t for t in own if all(map(_unspaced, t))}
         self.innocent = {w for w in clean if w not in own and self.trie.nearest(w)}
         around = [Counter(), Counter()]
         for ws, y in zip(tokens, labels):
@@ -258,6 +279,8 @@ class Model:
             out += inside if 1 in inside and whole != 1 else [whole] if whole else inside
         if not out and (word := word_of(token)) and (whole := self._kind(word)):
             out = [whole]
+        if not out and self._short and not token.isascii():
+            out = [1 for _, runs in parts_of(token) for x in runs for g in _grams(x) if g in self._short]
         return out
 
     def matches(self, tokens: list[str]) -> list[tuple[int, int, bool]]:
@@ -318,7 +341,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other: in
 
     Null ids, texts and labels are no examples; a repeated label counts as
     its largest. About ``toxic`` and ``other`` labelled rows, chosen by a hash
-    of the id, are the bound of the fit, which runs on the driver. None
+    of the id, are the bound of the fit, which runs on the driver (beyond twice
+    that, the first by hash). Terms are as many as the sample bears out: words
+    of any length, and runs of 1 to 4 letters of scripts without spaces. None
     without examples of both kinds.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -327,7 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other: in
         return None
     draw = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic") == 1, min(1.0, toxic / counts[1])).otherwise(min(1.0, other / counts[0]))
-    picked = known.where("toxic IN (0, 1)").where(draw < share).limit(2 * (toxic + other))
+    picked = known.where("toxic IN (0, 1)").where(draw < share).orderBy(draw, "doc_id").limit(2 * (toxic + other))
     rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(picked), "doc_id").toPandas()
     rows = rows.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
     if rows["toxic"].nunique() < 2:
