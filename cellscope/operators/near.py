@@ -6,17 +6,20 @@ hash shuffle, and test the exact condition on what meets in a cell.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellscope.functions._util import checked_broadcast
+from cellscope.operators.ranges import RUNNING, _cut
 from cellscope.session import materialize
 
 #: Cells of one level are this many times as wide as those of the level below.
 LEVEL = 4
+#: The same for totals, where an interval may cover so many cells whole.
+TOTALS_LEVEL = 16
 #: Rows of one side that meet in a cell before it is split.
 DENSE = 10_000
 
@@ -35,7 +38,7 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: str, stop: str, on: Sequence[str] = (), closed: bool = False,
-                  how: str = "inner") -> DataFrame:
+                  how: str = "inner", totals: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
     """Each point with each interval that holds it: ``start <= point < stop`` (``closed``: ``<= stop``), and equal ``on``.
 
     Columns of ``points``, then those of ``intervals`` (without ``on``); clashing
@@ -48,17 +51,28 @@ def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: st
     use (at most 64, one small aggregate finds them); long intervals so cost
     no more rows than short ones. Cells full of points and intervals are split
     by adaptive execution.
+
+    ``totals``: each interval that holds a point once, all its columns, with aggregates of its
+    points (``{"total": ("sum", "value")}``, with ``sum``, ``count``, ``min``,
+    ``max``; nulls are skipped, ``*`` counts rows) instead of the pairs, which
+    are never made: see ``_interval_totals``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")
+    if totals is not None and (how != "inner" or {f for f, _ in totals.values()} - set(RUNNING)):
+        raise ValueError(f"totals are of an inner join, by {sorted(RUNNING)}")
+    if {c.lower() for c in totals or {}} & {c.lower() for c in intervals.columns}:
+        raise ValueError("intervals have columns of the totals' names")
     clash = ({c.lower() for c in intervals.columns} - {k.lower() for k in on}) & {c.lower() for c in points.columns}
-    if clash:
+    if clash and totals is None:
         raise ValueError(f"both sides have columns {sorted(clash)}")
     lo, hi = _number(intervals, start), _number(intervals, stop)
     keys = [f"near_k{i}" for i in range(len(on))]
     spans = intervals.select(*[F.col(f"`{k}`").alias(i) for k, i in zip(on, keys)], lo.alias("near_lo"), hi.alias("near_hi"),
-                             F.struct(*[F.col(f"`{c}`") for c in intervals.columns if c not in on]).alias("near_interval"))
+                             F.struct(*[F.col(f"`{c}`") for c in intervals.columns if totals is not None or c not in on]).alias("near_interval"))
     spans = spans.where((F.col("near_lo") <= F.col("near_hi")) if closed else (F.col("near_lo") < F.col("near_hi"))).dropna(subset=keys or ["near_lo"])
+    if totals is not None:
+        return _interval_totals(points.withColumns({"near_x": _number(points, point), **{i: F.col(f"`{k}`") for k, i in zip(on, keys)}}), spans, keys, closed, totals)
     length = F.greatest(F.col("near_hi") - F.col("near_lo"), F.lit(1e-6))
     spans = spans.withColumn("near_level", F.least(F.lit(40), F.ceil(F.log(float(LEVEL), length))).cast("int"))
     levels = sorted(r[0] for r in spans.select("near_level").distinct().collect())
@@ -79,6 +93,73 @@ def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: st
     return met.unionByName(alone, allowMissingColumns=True).drop("near_row")
 
 
+def _interval_totals(points: DataFrame, spans: DataFrame, keys: Sequence[str], closed: bool, totals: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Each span with the totals of its points, by running aggregates in cells instead of pairs.
+
+    Cells of a span's level are at most as long as it, so it ends in another
+    cell than it starts in: its points are the rest of the first cell, whole
+    cells, and the beginning of the last. Each of these is a row among the
+    points of its cell, and takes the aggregate up to there, from behind or from
+    the front; nothing is subtracted, so a sum has the span's own terms only.
+    Cells are cut into ranges of rows (``ranges``), so that none is too full
+    for a task. Spans of no length (``closed``) have the point itself as cell.
+    Numbers less than 1e-300 apart count as equal where a span ends.
+    """
+    base, lo, hi = float(TOTALS_LEVEL), F.col("near_lo"), F.col("near_hi")
+    width = F.pow(F.lit(base), F.col("near_level"))
+    spot = -1000  # the level of cells that are one point
+    spans = spans.withColumn("near_id", F.monotonically_increasing_id()).withColumn(
+        "near_level", F.least(F.lit(255), F.greatest(F.lit(-249), F.floor(F.log(base, F.least(hi - lo, F.lit(1.7e308)))))).cast("int"))
+    one = F.floor(lo / width) == F.floor(hi / width)
+    spans = spans.withColumn("near_level", F.when(lo == hi, spot).otherwise(F.col("near_level") - one.cast("int")))
+    spans = materialize(spans, "near-spans")
+    levels = sorted(r[0] for r in spans.select("near_level").distinct().collect())
+    at_spot = F.col("near_level") == spot
+
+    def cell(x: Column) -> Column:
+        return F.when(at_spot, F.lit(0)).otherwise(F.floor(x / width))
+
+    def piece(cell: Column, x: Column, front: bool, side: int) -> Column:
+        return F.struct(cell.alias("near_cell"), x.cast("double").alias("near_x"), F.lit(front).alias("near_front"), F.lit(side).alias("near_side"))
+    # At one number, points have side 1: a piece from behind takes them in, one from the front where the span is closed.
+    first, last = piece(cell(lo), lo, False, 0), piece(cell(hi), hi, True, 2 if closed else 0)
+    whole = F.when(cell(hi) - cell(lo) > 1, F.transform(F.sequence(cell(lo) + 1, cell(hi) - 1), lambda c: piece(c, F.lit(float("-inf")), False, 0)))
+    pieces = spans.withColumn("near_piece", F.explode(F.when(at_spot, F.array(first)).otherwise(F.concat(F.array(first, last), F.coalesce(whole, F.array())))))
+    pieces = pieces.select(*keys, "near_level", "near_piece.*", F.when(at_spot, lo).otherwise(0.0).alias("near_spot"), "near_id",
+                           F.when((F.col("near_piece.near_x") == lo) & ~F.col("near_piece.near_front"), F.col("near_interval")).alias("near_interval"))
+    wanted = {f"near_t{i}": (f, f"near_v{i}") for i, (f, _) in enumerate(totals.values())} | {"near_n": ("count", "near_one")}
+    spread = points.where(F.col("near_x").isNotNull()).dropna(subset=list(keys) or ["near_x"]).withColumn(
+        "near_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    spread = spread.select(*keys, "near_level", cell(F.col("near_x")).alias("near_cell"), "near_x", F.lit(1).alias("near_side"),
+                           F.when(at_spot, F.col("near_x")).otherwise(0.0).alias("near_spot"), F.lit(1).alias("near_one"),
+                           *[(F.lit(1) if c == "*" else F.col(f"`{c}`")).alias(f"near_v{i}") for i, (_, c) in enumerate(totals.values())])
+    group = [*keys, "near_level", "near_cell", "near_spot"]
+    rows = _cut(spread.unionByName(pieces, allowMissingColumns=True), group, ["near_x", "near_side"], "near_part", "near_row", "near-ranges")
+    order = ["near_x", "near_side", "near_row"]
+    cells = Window.partitionBy("near_part", *group).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    front, behind = cells.orderBy(*order), cells.orderBy(*[F.desc(c) for c in order])
+    local = rows.select("*", *[RUNNING[f](c).over(front).alias(f"{n}f") for n, (f, c) in wanted.items()])
+    local = local.select("*", *[RUNNING[f](c).over(behind).alias(f"{n}b") for n, (f, c) in wanted.items()]).where(F.col("near_id").isNotNull())
+    # Cells that lie in several ranges are the first or the last of each: at most two a range, with what the other ranges have of them.
+    ends = rows.groupBy("near_part").agg(F.min(F.struct(*group)).alias("a"), F.max(F.struct(*group)).alias("b"))
+    ends = materialize(ends.select(F.explode(F.array("a", "b")).alias("end")).select("end.*").distinct(), "near-ends")
+    parts = rows.join(F.broadcast(ends), group).groupBy("near_part", *group).agg(*[RUNNING[f](c).alias(n) for n, (f, c) in wanted.items()])
+    carried = {n: F.sum if f in ("sum", "count") else RUNNING[f] for n, (f, _) in wanted.items()}
+    others = Window.partitionBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select("near_part", *group, *[carried[n](n).over(others.orderBy("near_part")).alias(f"{n}p") for n in wanted],
+                         *[carried[n](n).over(others.orderBy(F.desc("near_part"))).alias(f"{n}q") for n in wanted])
+    met = local.join(F.broadcast(carry), ["near_part", *group], "left")
+
+    def both(n: str) -> Column:
+        own = F.when(F.col("near_front"), F.col(f"{n}f")).otherwise(F.col(f"{n}b"))
+        other = F.when(F.col("near_front"), F.col(f"{n}p")).otherwise(F.col(f"{n}q"))
+        if wanted[n][0] in ("sum", "count"):
+            return F.coalesce(own + other, own, other)
+        return F.greatest(own, other) if wanted[n][0] == "max" else F.least(own, other)
+    found = met.groupBy("near_id").agg(F.first("near_interval", ignorenulls=True).alias("near_interval"), *[carried[n](both(n)).alias(n) for n in wanted])
+    return found.where("near_n > 0").select("near_interval.*", *[F.col(f"near_t{i}").alias(c) for i, c in enumerate(totals)])
+
+
 def band_join(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], right_xy: tuple[str, str], reach: tuple[float, float],
               prefix: str = "near_", dense: int = DENSE, distinct_by: str | None = None) -> DataFrame:
     """Pairs of rows whose two numbers (or times, in seconds) differ by at most ``reach`` each.

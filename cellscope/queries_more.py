@@ -59,8 +59,8 @@ def q_interval(spark, sf_dir):
     e = stored(spark, sf_dir, "events")
     at = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     spans = e.where("event_type = 'error'").select(F.col("event_id").alias("error_id"), at.alias("lo"), (at + F.col("value") * 60).alias("hi"))
-    met = near.interval_join(e.select(at.alias("at"), "value"), spans, "at", "lo", "hi")
-    return r6(met.groupBy("error_id").agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total")))
+    met = near.interval_join(e.select(at.alias("at"), "value"), spans, "at", "lo", "hi", totals={"n_events": ("count", "*"), "total": ("sum", "value")})
+    return r6(met.groupBy("error_id").agg(F.sum("n_events").alias("n_events"), F.sum("total").alias("total")))
 
 
 @register("k2_interval_join_by_key", """

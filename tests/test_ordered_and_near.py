@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellscope.operators import near, ranges
+from cellscope.queries_more import q_interval
 
 
 @pytest.fixture(params=["true", "false"], autouse=True)
@@ -123,3 +124,45 @@ def test_band(spark, dense):
     assert near.band_join(a.where("id < 0"), b, ("x", "y"), ("u", "y"), (.5, 2.0)).count() == 0
     with pytest.raises(ValueError):
         near.band_join(a, b, ("x", "y"), ("u", "y"), (0.0, 1.0))
+
+
+@pytest.mark.parametrize("closed", [False, True])
+def test_interval_totals(spark, closed):
+    rng = random.Random(6)
+    points = rows_of(rng, 300) + [("hot", 50, 7, 1.0)] * 2
+    spans = [(rng.choice(["hot", "a", None, "k1"]), rng.choice([None, 50, rng.randint(-20, 99)]), rng.choice([0, .25, 1, 3, 17, 40, 300, -2]), i) for i in range(150)]
+    spans = [(k, a, None if a is None else a + d, i) for k, a, d, i in spans] + [("hot", 10, 60, 3)] * 2
+    spans = [(k, None if a is None else float(a), None if b is None else float(b), i) for k, a, b, i in spans]
+    pdf, idf = spark.createDataFrame(points, SCHEMA), spark.createDataFrame(spans, "key string, lo double, hi double, span int")
+    totals = {"n": ("count", "*"), "values": ("count", "value"), "total": ("sum", "value"), "low": ("min", "value"), "high": ("max", "value")}
+
+    def want(keyed):
+        out = []
+        for s in spans:
+            hits = [p[3] for p in points if p[1] is not None and s[1] is not None and s[1] <= p[1] and (p[1] <= s[2] if closed else p[1] < s[2])
+                    and (not keyed or p[0] is not None and s[0] == p[0])]
+            values = [v for v in hits if v is not None]
+            if hits:
+                out.append((*s, len(hits), len(values), round(sum(values), 6) if values else None,
+                            min(values, default=None), max(values, default=None)))
+        return Counter(out)
+
+    def got(*args):
+        found = near.interval_join(*args, closed, totals=totals)
+        return Counter((*r[:-3], r[-3] if r[-3] is None else round(r[-3], 6), *r[-2:]) for r in map(tuple, found.collect()))
+    assert got(pdf, idf, "t", "lo", "hi", ["key"]) == want(True)
+    assert got(pdf.drop("key"), idf, "t", "lo", "hi", ()) == want(False)
+    assert not got(pdf, idf.where("span < 0"), "t", "lo", "hi", ["key"]) and not got(pdf.where("id < 0"), idf, "t", "lo", "hi", ["key"])
+    with pytest.raises(ValueError):
+        near.interval_join(pdf, idf, "t", "lo", "hi", ["key"], how="left", totals=totals)
+
+
+def test_interval_totals_make_no_pairs(spark, sf_small):
+    """Crowded intervals: 4 million pairs, with no join of points and intervals in the plan."""
+    points = spark.range(2000).select((F.col("id") / 1000).alias("at"), F.lit(.5).alias("value"))
+    found = near.interval_join(points, points.select("at", (F.col("at") + 9).alias("hi")).toDF("lo", "hi"), "at", "lo", "hi",
+                               totals={"n": ("count", "*"), "total": ("sum", "value")})
+    assert found.agg(F.sum("n"), F.sum("total"), F.count("*")).first()[:] == (2000 * 2001 // 2, 2000 * 2001 / 4, 2000)
+    for query in (found, q_interval(spark, sf_small)):
+        plan = query._jdf.queryExecution().optimizedPlan().toString()
+        assert "near_at" not in plan and "Join Inner, ((near_level" not in plan
