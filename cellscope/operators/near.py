@@ -20,6 +20,8 @@ from cellscope.session import materialize
 LEVEL = 4
 #: The same for totals, where an interval may cover so many cells whole.
 TOTALS_LEVEL = 16
+#: Cells of a band join are so many times as wide as its reach.
+BAND_STEP = 2
 #: Rows of one side that meet in a cell before it is split.
 DENSE = 10_000
 
@@ -160,6 +162,30 @@ def _interval_totals(points: DataFrame, spans: DataFrame, keys: Sequence[str], c
     return found.where("near_n > 0").select("near_interval.*", *[F.col(f"near_t{i}").alias(c) for i, c in enumerate(totals)])
 
 
+def _band_cell(x: Column, reach: float) -> Column:
+    # Off the multiples of reach, where dates and whole numbers lie: one is not at the edge of its neighbour's reach.
+    return F.floor(x / (BAND_STEP * reach) + 0.25)
+
+
+def _placed(df: DataFrame, xy: tuple[str, str], name: str) -> DataFrame:
+    """The rows with two numbers: their columns by place (name0, name1, ...), and the numbers (name_x, name_y)."""
+    out = df.select(*[F.col(f"`{c}`").alias(f"{name}{i}") for i, c in enumerate(df.columns)], *[_number(df, c).alias(f"{name}_{a}") for c, a in zip(xy, "xy")])
+    return out.dropna(subset=[f"{name}_x", f"{name}_y"])
+
+
+def _band_copies(right: DataFrame, xy: tuple[str, str], reach: tuple[float, float], half: bool) -> DataFrame:
+    """Each row in the cells (cx, cy) that its reach meets, ``home`` in its own; ``half``: in its own and those before it."""
+    two = _placed(right, xy, "two")
+    for a, r in zip("xy", reach):
+        # A little more than the reach, as differences are rounded.
+        x, far = F.col(f"two_{a}"), F.lit(r * (1 + 1e-9))
+        two = two.withColumn(f"c{a}", F.explode(F.sequence(_band_cell(x - far, r), _band_cell(x + far, r))))
+    own = [_band_cell(F.col(f"two_{a}"), r) for a, r in zip("xy", reach)]
+    if half:
+        two = two.where((F.col("cx") < own[0]) | (F.col("cx") == own[0]) & (F.col("cy") <= own[1]))
+    return two.withColumn("home", (F.col("cx") == own[0]) & (F.col("cy") == own[1]))
+
+
 def band_join(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], right_xy: tuple[str, str], reach: tuple[float, float],
               prefix: str = "near_", dense: int = DENSE, distinct_by: str | None = None) -> DataFrame:
     """Pairs of rows whose two numbers (or times, in seconds) differ by at most ``reach`` each.
@@ -169,34 +195,39 @@ def band_join(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], right
     ``distinct_by``: for a table with itself, a column that names rows: each
     pair comes once, the smaller name first, and no row pairs with itself.
 
-    A left row is in one cell of a grid with steps of ``reach``; a right row
-    is copied to its cell and the eight around it, so a pair meets once. A
-    cell with more than ``dense`` left rows is split into as many shares; its
-    right rows are copied to each, so that no task gets a dense cell whole.
+    A left row is in one cell of a grid with steps of ``BAND_STEP`` times
+    ``reach``; a right row is copied to the cells that its reach meets (two
+    each way, of this step), so a pair meets once. Where both sides are the
+    same frame and ``distinct_by`` is given, two cells meet from one side only:
+    a row is copied to its own cell and to those before it, and the pair is
+    turned where the later name comes first. A cell with more than ``dense``
+    left rows is split into as many shares; its right rows are copied to each,
+    so that no task gets a dense cell whole.
     """
     if min(reach) <= 0:
         raise ValueError("reach must be positive")
+    half = left is right and tuple(left_xy) == tuple(right_xy) and distinct_by is not None
 
-    def place(df: DataFrame, xy: tuple[str, str], name: str) -> DataFrame:
-        out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name),
-                        *[_number(df, c).alias(f"{name}_{a}") for c, a in zip(xy, "xy")])
-        out = out.dropna(subset=[f"{name}_x", f"{name}_y"])
-        return out.withColumns({f"{name}_c{a}": F.floor(F.col(f"{name}_{a}") / r) for a, r in zip("xy", reach)})
-
-    one, two = place(left, left_xy, "one"), place(right, right_xy, "two")
-    cells = one.groupBy("one_cx", "one_cy").count().where(F.col("count") > dense)
+    one = _placed(left, left_xy, "one").withColumns({f"c{a}": _band_cell(F.col(f"one_{a}"), r) for a, r in zip("xy", reach)})
+    cells = one.groupBy("cx", "cy").count().where(F.col("count") > dense)
     # Dense cells: at most one for each `dense` left rows; broadcast only when their table is small.
-    cells = materialize(cells.select(F.col("one_cx").alias("cx"), F.col("one_cy").alias("cy"), F.ceil(F.col("count") / dense).cast("int").alias("shares")), "dense-cells")
+    cells = materialize(cells.select("cx", "cy", F.ceil(F.col("count") / dense).cast("int").alias("shares")), "dense-cells")
     cells = checked_broadcast(cells)
-    one = one.withColumns({"cx": F.col("one_cx"), "cy": F.col("one_cy")}).join(cells, ["cx", "cy"], "left")
-    share = F.pmod(F.xxhash64("one"), F.coalesce("shares", F.lit(1)))
+    one = one.join(cells, ["cx", "cy"], "left")
+    share = F.pmod(F.xxhash64(*[f"one{i}" for i in range(len(left.columns))]), F.coalesce("shares", F.lit(1)))
     one = one.withColumn("share", F.when(F.col("shares").isNull(), 0).otherwise(share).cast("int")).drop("shares")
-    for a in "xy":
-        two = two.withColumn(f"c{a}", F.explode(F.array(*[F.col(f"two_c{a}") + d for d in (-1, 0, 1)])))
-    two = two.join(cells, ["cx", "cy"], "left").withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).drop("shares")
+    two = _band_copies(right, right_xy, reach, half)
+    two = two.join(cells, ["cx", "cy"], "left")
+    two = two.withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).drop("shares")
     met = one.join(two, ["cx", "cy", "share"])
     for a, r in zip("xy", reach):
         met = met.where(F.abs(F.col(f"one_{a}") - F.col(f"two_{a}")) <= r)
+    first, second = ([F.col(f"{name}{i}") for i in range(len(df.columns))] for df, name in ((left, "one"), (right, "two")))
     if distinct_by:
-        met = met.where(F.col(f"one.`{distinct_by}`") < F.col(f"two.`{distinct_by}`"))
-    return met.select("one.*", *[F.col(f"two.`{c}`").alias(f"{prefix}{c}") for c in right.columns])
+        name, other = first[left.columns.index(distinct_by)], second[right.columns.index(distinct_by)]
+        if half:
+            met = met.where((name < other) | (name > other) & ~F.col("home"))
+            first, second = ([F.when(name < other, x).otherwise(y) for x, y in zip(*sides)] for sides in ((first, second), (second, first)))
+        else:
+            met = met.where(name < other)
+    return met.select(*[x.alias(c) for x, c in zip(first, left.columns)], *[x.alias(f"{prefix}{c}") for x, c in zip(second, right.columns)])

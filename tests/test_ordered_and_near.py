@@ -157,6 +157,19 @@ def test_interval_totals(spark, closed):
         near.interval_join(pdf, idf, "t", "lo", "hi", ["key"], how="left", totals=totals)
 
 
+def test_band_copies(spark):
+    """On the edges of the reach, times too; of a frame with itself, rows in fewer copies than nine, none lost or twice."""
+    df = spark.range(3000).select("id", (F.col("id") % 30 - 12).alias("x"), F.expr("timestamp_seconds((id * 7 % 20) * 86400)").alias("t"))
+    rows = [(r["id"], r["x"], r["t"]) for r in df.collect()]
+    met = near.band_join(df, df, ("x", "t"), ("x", "t"), (1.0, 86400.0), distinct_by="id")
+    want = Counter((p[0], q[0]) for p in rows for q in rows if p[0] < q[0] and abs(p[1] - q[1]) <= 1 and abs((p[2] - q[2]).days) <= 1)
+    assert Counter(map(tuple, met.select("id", "near_id").collect())) == want
+    other = near.band_join(df.where("id < 1500"), df.where("id >= 1000"), ("x", "t"), ("x", "t"), (1.0, 86400.0), distinct_by="id")
+    assert Counter(map(tuple, other.select("id", "near_id").collect())) == Counter({k: n for k, n in want.items() if k[0] < 1500 and k[1] >= 1000})
+    assert all(abs(r["x"] - r["near_x"]) <= 1 and r["id"] < r["near_id"] for r in met.collect())
+    assert near._band_copies(df, ("x", "t"), (1.0, 86400.0), True).count() <= 3 * len(rows) < near._band_copies(df, ("x", "t"), (1.0, 86400.0), False).count() <= 4 * len(rows)
+
+
 def test_interval_totals_make_no_pairs(spark, sf_small):
     """Crowded intervals: 4 million pairs, with no join of points and intervals in the plan."""
     points = spark.range(2000).select((F.col("id") / 1000).alias("at"), F.lit(.5).alias("value"))
