@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ from cellscope.llm.token_counts import _tokenizer
 
 #: Tokens of a segment, about: the blocks that are coded in step.
 SEGMENT = BLOCK * LANES
-CACHE_WORDS, CHUNK_CHARS = 300_000, 8_000_000
-#: Texts of these characters only are in normal form, and lower-case letter by letter.
+CACHE_WORDS, CHUNK_CHARS = 400_000, 12_000_000
+#: Texts of these characters only are in normal form, and lower-case letter by letter; their white space is ASCII.
 _PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7eÀ-ÖØ-öø-ÿ¡«»¿‐-‧]*")
 _WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
@@ -40,22 +41,76 @@ class WordEncoder:
     """
 
     def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
         self.library = _tokenizer(path)
+        #: The library's model alone, for words that are lower-cased and split already.
+        self.words = Tokenizer(self.library.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for name, i in vocabulary.items() if name.endswith("</w>")]] = True
+        #: Ids of runs without white space (words are such runs), now and before the cache was last full.
         self.cache: dict[str, bytes] = {}
+        self.past: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def _chunk(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        words = [_WORDS.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        new = [w for w in dict.fromkeys(chain.from_iterable(w for w in words if w)) if w not in self.cache]
-        for k in range(0, len(new), 10_000):
-            self.cache.update(zip(new[k:k + 10_000], self._ids(new[k:k + 10_000])))
-        get = self.cache.__getitem__
-        whole = iter(self._ids([t for t, w in zip(texts, words) if w is None]))
-        return [next(whole) if w is None else b"".join(map(get, w)) for w in words]
+    def _learn(self, words: list[str]) -> None:
+        """Takes the ids of ``words`` into the cache, many by one text: each ends with its only end-of-word id."""
+        for k in range(0, len(words), 500):
+            part = words[k:k + 500]
+            ids = np.array(self.words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            stops = 4 * (np.flatnonzero(self.ends.take(ids)) + 1)
+            if len(stops) == len(part) and stops[-1] == 4 * len(ids):
+                raw, stops = ids.tobytes(), stops.tolist()
+                self.cache.update(zip(part, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+            else:
+                self.cache.update(zip(part, self._ids(part)))
+
+    def _runs(self, names: list[str]) -> list[bytes]:
+        """Ids of different runs of plain lower-case characters."""
+        runs = list(map(self.cache.get, names))
+        new = [i for i, ids in enumerate(runs) if ids is None]
+        if len(self.cache) + len(new) > CACHE_WORDS:
+            # A new cache; what is still asked for comes over from the last one.
+            self.past, self.cache = self.cache, {name: ids for name, ids in zip(names, runs) if ids is not None}
+        cache, past, whole, mixed = self.cache, self.past, [], {}
+        for i in new:
+            name = names[i]
+            if (ids := past.get(name)) is not None:
+                cache[name] = ids
+            elif name.isalpha():
+                whole.append(name)
+            else:
+                mixed[name] = _WORDS.findall(name)
+        self._learn(list(dict.fromkeys(chain(whole, (w for w in chain.from_iterable(mixed.values()) if w not in cache)))))
+        for name, words in mixed.items():
+            if len(words) != 1:
+                cache[name] = b"".join([cache[w] for w in words])
+        for i in new:
+            runs[i] = cache[names[i]]
+        return runs
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of plain texts: of each different run between white space once, then taken by text."""
+        lower = [t.lower() for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(lower, pa.large_string() if sum(map(len, lower)) > 1 << 28 else pa.string()))
+        coded = split.flatten().dictionary_encode()
+        runs = self._runs(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        stops = np.cumsum([0, *map(len, runs)]) >> 2
+        values = pa.array(np.frombuffer(b"".join(runs), np.uint32))
+        ids = pa.LargeListArray.from_arrays(pa.array(stops), values).take(coded.indices).flatten().to_numpy()
+        sizes = np.diff(stops).take(coded.indices.to_numpy())
+        at = np.concatenate([[0], np.cumsum(sizes)]).take(split.offsets.to_numpy()).tolist()
+        return [ids[i:j] for i, j in zip(at, at[1:])]
+
+    def _chunk(self, texts: list[str]) -> Iterator[np.ndarray]:
+        plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        easy = iter(self._plain([t for t, p in zip(texts, plain) if p]) if any(plain) else [])
+        whole = iter(self._ids([t for t, p in zip(texts, plain) if not p]))
+        return (next(easy) if p else np.frombuffer(next(whole), np.uint32) for p in plain)
 
     def __call__(self, texts: Iterator[str | None]) -> Iterator[np.ndarray]:
         part, size = [], 0
@@ -63,9 +118,9 @@ class WordEncoder:
             part.append(text or "")
             size += len(part[-1])
             if size > CHUNK_CHARS:
-                yield from (np.frombuffer(b, np.uint32) for b in self._chunk(part))
+                yield from self._chunk(part)
                 part, size = [], 0
-        yield from (np.frombuffer(b, np.uint32) for b in self._chunk(part))
+        yield from self._chunk(part)
 
 
 def word_encoder(path: str) -> WordEncoder:
